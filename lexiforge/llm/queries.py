@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, simhash, token_store, tokens, topk
+from . import exact_dedup, langid, licenses, mixing, packing, simhash, token_store, tokens, topk, toxicity
+from .common import crc_mod
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -20,6 +21,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs, crc_mod(F.col("doc_id"), 3) != 1)
+    out = langid.predict(docs, model)
+    return out.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("_")), F.lit(".txt")))
+    return licenses.license_scan(docs.select("doc_id", "text", path.alias("path")), id_col="doc_id")
+
+
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), crc_mod(F.col("id"), 4) != 2)
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -52,8 +73,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_language": op1,
         "op2_exact_dedup": op2,
+        "op3_licenses": op3,
         "op4_source_mix": op4,
+        "op5_toxicity": op5,
         "op6_token_files": op6,
         "op7_packing": op7,
         "op8_simhash": op8,
