@@ -57,7 +57,7 @@ def first_filled(*names: Column | str) -> Column:
     return F.coalesce(*filled, F.lit(""))
 
 
-def matches(x: Column | str, pattern: str, flags: str = "iu") -> Column:
+def matches(x: Column | str, pattern: str, flags: str = "iuU") -> Column:
     """Whether a pattern occurs; null has none. The pattern is a literal, so that Java compiles it once."""
     lead = f"(?{flags})" if flags else ""
     return F.coalesce(c(x).rlike(lead + pattern), F.lit(False))

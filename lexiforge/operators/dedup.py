@@ -15,20 +15,19 @@ def dedup_question_hash(df: DataFrame, question: str = "question", order: str =
     return keyed.join(first, ["question_hash", order], "left_semi")
 
 
-def fold_pairs(df: DataFrame, question: str = "question", answer: str = "answer", order: str = "seq", rounds: int = 8) -> DataFrame:
+def fold_pairs(df: DataFrame, question: str = "question", answer: str = "answer", order: str = "seq") -> DataFrame:
     """df with opener and kept: the greedy order-first matching between question keys and answer keys.
 
     A row opens a slot if its question is new and its answer was not seen with an opened question; later rows of an
     opened question compete with a longer answer, the first of the longest stays in the opener's place. Each round finds
     all rows that are first of both their question and their answer among what is left and removes what they block, over
-    distinct (question, answer) keys only. What a chain leaves after `rounds` rounds is finished in order by one task
-    that holds those keys alone.
+    distinct (question, answer) keys only, until none is left: as many rounds as half the longest chain of keys.
     """
     spark = df.sparkSession
     rows = df.withColumns({"_q": F.md5(question_key(question)), "_a": F.md5(question_key(answer)), "_len": F.length(F.coalesce(c(answer), F.lit("")))})
     left = rows.groupBy("_q", "_a").agg(F.min(order).alias("_s"))
     opened = None
-    for _ in range(rounds):
+    while True:
         first_q = left.groupBy("_q").agg(F.min("_s").alias("_qs"))
         first_a = left.groupBy("_a").agg(F.min("_s").alias("_as"))
         now = left.join(first_q, "_q").join(first_a, "_a").filter("_s = _qs and _s = _as").select("_q", "_a", "_s")
@@ -38,8 +37,6 @@ def fold_pairs(df: DataFrame, question: str = "question", answer: str = "answer"
         left = _cut(spark, left)
         if left.isEmpty():
             break
-    else:
-        opened = opened.unionByName(_finish(left))
     slots = opened.select("_q", F.col("_s").alias("opener"))
     rivals = rows.join(slots, "_q").filter(F.col(order) >= F.col("opener"))
     best = rivals.groupBy("_q").agg(F.min(F.struct(-F.col("_len"), F.col(order).alias("s"))).alias("b")).select("_q", F.col("b.s").alias("_best"))
@@ -47,21 +44,6 @@ def fold_pairs(df: DataFrame, question: str = "question", answer: str = "answer"
     return out.drop("_q", "_a", "_len", "_best")
 
 
-def _finish(left: DataFrame) -> DataFrame:
-    def run(rows):
-        import pandas as pd
-
-        rows, qs, answers, out = rows.sort_values("_s"), set(), set(), []
-        for q, a, s in rows[["_q", "_a", "_s"]].itertuples(index=False):
-            if q not in qs and a not in answers:
-                qs.add(q)
-                answers.add(a)
-                out.append((q, a, s))
-        return pd.DataFrame(out, columns=["_q", "_a", "_s"])
-
-    return left.groupBy(F.lit(0)).applyInPandas(run, left.select("_q", "_a", "_s").schema)
-
-
 def _cut(spark, df: DataFrame) -> DataFrame:
     from ..sources.storage import cut
 
