@@ -713,6 +713,47 @@ def _(spark, d):
     return stream.ran(stream.scored(pairs, RULES).select("seq", "eval_score", "label"), "pairs", "append")
 
 
+# Smaller pieces.
+NAMES = [("d1", "Luật một"), ("d3", "Nghị định ba")]
+
+
+@query("document_name_mapping", f"WITH {QA_SQL} SELECT DISTINCT source_doc, CASE WHEN contains(source_doc, 'd1') THEN 'Luật một' WHEN contains(source_doc, 'd3') THEN 'Nghị định ba' ELSE source_doc END AS name FROM qa")
+def _(spark, d):
+    from .sources.files import document_name
+
+    return qa(spark, d).select("source_doc").distinct().withColumn("name", document_name("source_doc", NAMES))
+
+
+TOPICS = {"default": "Chung, {date}", "bhyt": "BHYT, {date}"}
+
+
+@query("topic_prompt", "SELECT DISTINCT event_type, CASE WHEN event_type = 'click' THEN 'BHYT, 01/12/2025' ELSE 'Chung, 01/12/2025' END AS prompt FROM events")
+def _(spark, d):
+    topic = F.when(F.col("event_type") == "click", "bhyt").otherwise(F.col("event_type"))
+    return table(spark, d, "events").select("event_type", export.topic_prompt(TOPICS, topic, "01/12/2025").alias("prompt")).distinct()
+
+
+@query("prompt_render", f"WITH {META_SQL} SELECT seq, md5('Tạo 5 câu cho ' || coalesce(doc_number, '(Không xác định số hiệu)') || coalesce(' ngày ' || issued_date, '') || coalesce(' của ' || issued_by, '') || ': ' || file_name) AS prompt_md5 FROM m")
+def _(spark, d):
+    docs = metadata.extract_metadata(headed(spark, d)).select("seq", F.col("file_name").alias("content"), *[f"metadata.{f}" for f in ("doc_number", "issued_date", "issued_by")])
+    return generate.prompts(docs, "Tạo {num_qa} câu cho {doc_number}: {content}").select("seq", F.md5("prompt").alias("prompt_md5"))
+
+
+@query("recent_errors", "SELECT event_id, substring(props, 1, 200) AS message FROM events ORDER BY ts DESC LIMIT 50")
+def _(spark, d):
+    return report.recent_errors(table(spark, d, "events").select("event_id", "ts", F.col("props").alias("message"))).select("event_id", "message")
+
+
+@query("applicable_laws", f"WITH {LAWS_SQL} SELECT id, name FROM laws WHERE effective_date <= DATE '{DAY}' AND (expiry_date IS NULL OR expiry_date > DATE '{DAY}')")
+def _(spark, d):
+    return temporal.applicable(registry(spark), DAY).select("id", "name")
+
+
+@query("chunk_total", "SELECT count(*) AS chunks FROM (" + CHUNK_SQL + ")")
+def _(spark, d):
+    return chunk.chunk_total(table(spark, d, "documents"), name="doc_id", content="text", size=1200, overlap=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
