@@ -34,23 +34,38 @@ def split_by_document(df: DataFrame, train: float = 0.70, validation: float = 0.
         rows = [(n, "train" if k < first else "validation" if k < second else "test") for k, n in enumerate(names)]
         placed = df.sparkSession.createDataFrame(rows, "_doc string, split string")
     else:
-        n = docs.count()
-        first, second = thresholds(n, train, validation)
-        rank = F.row_number().over(Window.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.col("_doc"))), "_doc")) - 1
-        placed = docs.select("_doc", F.when(rank < first, "train").when(rank < second, "validation").otherwise("test").alias("split"))
+        ranked = hash_ranks(docs.select("_doc"), seed)
+        first, second = thresholds(docs.count(), train, validation)
+        placed = ranked.select("_doc", F.when(F.col("_rank") < first, "train").when(F.col("_rank") < second, "validation").otherwise("test").alias("split"))
     return df.join(placed, "_doc").drop("_doc")
 
 
+def hash_ranks(docs: DataFrame, seed: int) -> DataFrame:
+    """_doc and _rank from 0 by md5(seed|name). Counts of the hash's first four digits are added up (65,536 rows), and each
+    such bucket is ranked in its own task, so that no task holds all names."""
+    hashed = docs.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}|"), F.col("_doc")))).withColumn("_b", F.substring("_h", 1, 4))
+    counts = hashed.groupBy("_b").agg(F.count("*").alias("_n"))
+    before = counts.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy("_h", "_doc")) - 1
+    return hashed.withColumn("_in", inside).join(F.broadcast(before), "_b").select("_doc", (F.col("_before") + F.col("_in")).alias("_rank"))
+
+
 def random_split(df: DataFrame, train: float = 0.8, validation: float = 0.1) -> DataFrame:
     """By row and without a seed, as the old export has it."""
     u = F.rand()
     return df.withColumn("_u", u).withColumn("split", F.when(F.col("_u") < train, "train").when(F.col("_u") < train + validation, "validation").otherwise("test")).drop("_u")
 
 
-def split_info(df: DataFrame) -> DataFrame:
-    """split, samples, documents, doc_ids (sorted)."""
-    by = df.withColumn("_doc", document_key(df).cast("string")).groupBy("split", "_doc").agg(F.count("*").alias("n"))
-    return by.groupBy("split").agg(F.sum("n").alias("samples"), F.count("*").alias("documents"), F.array_sort(F.collect_list("_doc")).alias("doc_ids"))
+def split_documents(df: DataFrame) -> DataFrame:
+    """split, document, samples."""
+    return df.groupBy("split", document_key(df).cast("string").alias("document")).agg(F.count("*").alias("samples"))
+
+
+def split_info(df: DataFrame, ids: bool = True) -> DataFrame:
+    """split, samples, documents, and doc_ids (sorted), which for many documents split_documents has as a table."""
+    by = split_documents(df)
+    listed = [F.array_sort(F.collect_list("document")).alias("doc_ids")] if ids else []
+    return by.groupBy("split").agg(F.sum("samples").alias("samples"), F.count("*").alias("documents"), *listed)
 
 
 def leakage(df: DataFrame) -> DataFrame:

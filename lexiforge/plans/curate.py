@@ -125,7 +125,8 @@ class Curation:
             good, removed = score.filter_low_quality(good)
             self.save(removed, "filtered")
         placed = self.save(split.split_by_document(good, get("output.train_ratio"), get("output.val_ratio"), get("output.seed")), "split")
-        self.save(split.split_info(placed), "split_info")
+        self.save(split.split_info(placed, ids=False), "split_info")
+        self.save(split.split_documents(placed), "split_documents")
         self.save(split.leakage(placed), "leakage")
         return placed
 
