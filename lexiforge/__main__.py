@@ -33,7 +33,8 @@ def main(argv: list[str] | None = None) -> int:
 
     from .operators import report, temporal
     from .plans.curate import Curation
-    from .plans.settings import Settings, make_provider
+    from .plans.providers import make_provider
+    from .plans.settings import Settings
     from .sources import files, sinks
 
     if a.what == "run":

@@ -193,56 +193,3 @@ def _over(base: dict, own: dict) -> dict:
     for k, v in own.items():
         out[k] = _over(out[k], v) if isinstance(v, dict) and isinstance(out.get(k), dict) else v
     return out
-
-
-# Addresses of services with a common interface, and the key that local ones take.
-PRESETS = {
-    "ollama": ("http://localhost:11434/v1", "ollama"),
-    "lmstudio": ("http://localhost:1234/v1", "lm-studio"),
-    "vllm": ("http://localhost:8000/v1", "vllm"),
-    "together": ("https://api.together.xyz/v1", None),
-    "groq": ("https://api.groq.com/openai/v1", None),
-    "fireworks": ("https://api.fireworks.ai/inference/v1", None),
-    "deepseek": ("https://api.deepseek.com/v1", None),
-    "openrouter": ("https://openrouter.ai/api/v1", None),
-    "nvidia": ("https://integrate.api.nvidia.com/v1", None),
-    "perplexity": ("https://api.perplexity.ai", None),
-}
-PROVIDERS: dict[str, Any] = {}
-
-
-def register_provider(name: str, make: Any) -> None:
-    """make(settings of the provider) -> an object with name and call(prompt)."""
-    PROVIDERS[name] = make
-
-
-class HttpProvider:
-    """Any service with the common chat-completions interface, by the standard library alone."""
-
-    def __init__(self, name: str, base_url: str, api_key: str | None = None, model: str = "", temperature: float = 0.7, max_tokens: int = 4096, timeout: float = 120):
-        self.name, self.base_url, self.api_key, self.model = name, base_url.rstrip("/"), api_key, model
-        self.temperature, self.max_tokens, self.timeout = temperature, max_tokens, timeout
-
-    def call(self, prompt: str) -> str | None:
-        import json
-        import urllib.request
-
-        body = {"model": self.model, "messages": [{"role": "user", "content": prompt}], "temperature": self.temperature, "max_tokens": self.max_tokens}
-        head = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.api_key}"} if self.api_key else {})
-        with urllib.request.urlopen(urllib.request.Request(f"{self.base_url}/chat/completions", json.dumps(body).encode(), head), timeout=self.timeout) as got:  # noqa: S310
-            return json.load(got)["choices"][0]["message"]["content"]
-
-
-def make_provider(name: str, own: dict):
-    """A registered provider, a preset, or any service with a base_url."""
-    if name in PROVIDERS:
-        return PROVIDERS[name](own)
-    url, key = PRESETS.get(name, (None, None))
-    url = own.get("base_url") or url
-    if not url:
-        raise ConfigurationError(f"unknown provider {name!r} without base_url")
-    return HttpProvider(name, url, own.get("api_key") or key, own.get("model", ""), own.get("temperature", 0.7), own.get("max_tokens", 4096))
-
-
-def available_providers() -> list[str]:
-    return sorted({*PROVIDERS, *PRESETS, "custom"})

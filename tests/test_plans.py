@@ -5,7 +5,8 @@ import pytest
 
 from lexiforge.operators import generate, parse, report
 from lexiforge.plans.curate import Curation
-from lexiforge.plans.settings import ConfigurationError, HttpProvider, Settings, make_provider
+from lexiforge.plans.providers import HttpProvider, available_providers, make_provider, make_providers
+from lexiforge.plans.settings import ConfigurationError, Settings
 from lexiforge.sources import files
 
 
@@ -29,6 +30,16 @@ def test_providers():
     assert make_provider("mine", {"base_url": "http://x/v1/"}).base_url == "http://x/v1"
     with pytest.raises(ConfigurationError):
         make_provider("mine", {})
+    assert len(make_providers({"name": "groq", "api_keys": ["a", "b"]})) == 2 and len(available_providers()) == 15
+
+
+def test_requests_of_each_kind():
+    answers = {"openai": {"choices": [{"message": {"content": "x"}}]}, "anthropic": {"content": [{"text": "x"}]}, "gemini": {"candidates": [{"content": {"parts": [{"text": "x"}]}}]}}
+    for name, answer in answers.items():
+        p, sent = make_provider(name, {"api_key": "k", "model": "m"}), []
+        p.send = lambda *a, answer=answer, sent=sent: sent.append(a) or answer
+        assert p.call("hello") == "x" and "hello" in str(sent[0][1]) and "k" in str(sent[0][2])
+        assert ("temperature" in str(sent[0][1])) == (name != "anthropic")
 
 
 def test_retries():
