@@ -43,3 +43,14 @@ def test_entry_lists_every_operator(spark):
     q = entry.queries()
     assert all(sum(n.startswith(f"op{k}_") for n in q) == 1 for k in range(1, 11)) and "pipeline" in q
     assert set(entry.oracle_sql()) <= set(q)
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark, odd, empty):
+    import corpus_pipeline as c
+
+    for name, stage in c.STAGES:
+        out = stage(spark, odd, D)
+        assert {str(r.doc_id) for r in out.select("doc_id").collect()} <= {"1", "2", "3", "4", "5", "6", "7", "8", "None"}
+        if name != "packing":
+            assert out.columns == odd.columns
+        assert stage(spark, empty, D).count() == 0
