@@ -98,7 +98,7 @@ def prompt_text(question: Column | str, template: str = "vistral", system: str =
     return _fill(X.CHAT_TEMPLATES[template][0], system=system, user=c(question))
 
 
-def topic_prompt(topics: dict[str, str], topic: Column | str, date: str) -> Column:
+def topic_prompt(topic: Column | str, date: str, topics: dict[str, str] = X.TOPIC_PROMPTS) -> Column:
     """The system prompt of a topic (the one of "default" for others) with {date} filled in."""
     known = F.create_map(*[x for k, v in topics.items() for x in (F.lit(k), F.lit(v.replace("{date}", date)))])
     return F.coalesce(F.try_element_at(known, c(topic)), F.lit(topics["default"].replace("{date}", date)))

@@ -724,13 +724,12 @@ def _(spark, d):
     return qa(spark, d).select("source_doc").distinct().withColumn("name", document_name("source_doc", NAMES))
 
 
-TOPICS = {"default": "Chung, {date}", "bhyt": "BHYT, {date}"}
+TOPIC = "CASE event_type WHEN 'click' THEN 'bhyt' WHEN 'purchase' THEN 'bhtn' ELSE 'other' END"
 
 
-@query("topic_prompt", "SELECT DISTINCT event_type, CASE WHEN event_type = 'click' THEN 'BHYT, 01/12/2025' ELSE 'Chung, 01/12/2025' END AS prompt FROM events")
+@query("topic_prompt", f"SELECT DISTINCT event_type, CASE {TOPIC} WHEN 'bhyt' THEN {sq(X.TOPIC_PROMPTS['bhyt'].replace('{date}', '01/12/2025'))} WHEN 'bhtn' THEN {sq(X.TOPIC_PROMPTS['bhtn'].replace('{date}', '01/12/2025'))} ELSE {sq(X.TOPIC_PROMPTS['default'].replace('{date}', '01/12/2025'))} END AS prompt FROM events")
 def _(spark, d):
-    topic = F.when(F.col("event_type") == "click", "bhyt").otherwise(F.col("event_type"))
-    return table(spark, d, "events").select("event_type", export.topic_prompt(TOPICS, topic, "01/12/2025").alias("prompt")).distinct()
+    return table(spark, d, "events").select("event_type", export.topic_prompt(F.expr(TOPIC), "01/12/2025").alias("prompt")).distinct()
 
 
 @query("prompt_render", f"WITH {META_SQL} SELECT seq, md5('Tạo 5 câu cho ' || coalesce(doc_number, '(Không xác định số hiệu)') || coalesce(' ngày ' || issued_date, '') || coalesce(' của ' || issued_by, '') || ': ' || file_name) AS prompt_md5 FROM m")
