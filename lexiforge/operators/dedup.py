@@ -67,7 +67,7 @@ def near_pairs(df: DataFrame, question: str = "question", order: str = "seq", th
     """i, j, similarity: pairs of questions at most `band` places apart whose trigram sets are alike but not equal.
 
     A band join: places fall into buckets of band + 1, and a row meets its own and the next bucket by an equi-join, so
-    the work is rows x band. limit is the reference's own bound on compared rows; None compares all.
+    the work is rows x band. limit bounds the rows that are compared; None compares all.
     """
     base = df.select(F.col(order).alias("_o"), trigrams(question).alias("g"))
     numbered = _numbered(base, "_o")
