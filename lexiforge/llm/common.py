@@ -57,3 +57,24 @@ def col(df: DataFrame, name: str) -> Column:
 def crc_mod(column: Column, m: int) -> Column:
     """crc32 of an id's decimal text, modulo m; -1 for a null id."""
     return F.coalesce(F.crc32(column.cast("string")) % F.lit(m), F.lit(-1))
+
+
+def release() -> None:
+    """Gives memory that a task no longer needs back to the system: reused Python workers would hold it until they end."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def slices(batch, rows: int):
+    """An Arrow batch in pieces of at most so many rows; an empty one has none."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)

@@ -19,8 +19,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import col, cut, fresh_path
-from .tokens import END_ID, encoder
+from .common import col, cut, fresh_path, release, slices
+from .tokens import END_ID, ROWS, encoder
 
 # Fixed values of the seekable format.
 SKIPPABLE = 0x184D2A5E
@@ -29,8 +29,8 @@ SEEKABLE_FOOTER = 0x8F92EAB1
 WITH_CHECKSUMS = 0x80
 
 FRAME_BYTES = 1 << 20
-#: Text bytes of one file, about.
-FILE_CHARS = 48 << 20
+#: Text bytes of one file, about; a task holds one file's texts while they are sorted.
+FILE_BYTES = 32 << 20
 LEVEL = 3
 
 
@@ -138,11 +138,12 @@ def opened(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
-def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
+def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Encodes every text (null: empty), appends end_id, writes files in ascending id order; returns their manifest.
 
     Manifest: file_no, path, n_docs, n_ids, n_bytes. Null ids come first; repeated ids stand next to each other. Other
-    columns are ignored. An empty table has an empty manifest. path: a folder that all executors share.
+    columns are ignored. An empty table has an empty manifest. path: a folder that all executors share; file_bytes: about so many
+    bytes of text go to one file.
     """
     import pyarrow as pa
 
@@ -162,19 +163,21 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None,
                 system.create_dir(folder, recursive=True)
                 out = system.open_output_stream(temporary)
                 writer = Writer(out)
-            texts = [x.as_py() or "" for x in b.column(1)]
-            for x, ids in zip(b.column(0).to_pylist(), own.many(texts), strict=True):
-                writer.add(x, ids.tobytes() + end)
+            for part in slices(b, ROWS):
+                texts = [x.as_py() or "" for x in part.column(1)]
+                for x, ids in zip(part.column(0).to_pylist(), own.many(texts), strict=True):
+                    writer.add(x, ids.tobytes() + end)
         if writer is not None:
             writer.close()
             size = out.tell()
             out.close()
             system.move(temporary, final)
+            release()
             yield pa.RecordBatch.from_pydict({"file_no": pa.array([no], pa.int32()), "path": [f"{path}/tokens-{no:06d}.zst"], "n_docs": [len(writer.ids)], "n_ids": [sum(writer.counts)], "n_bytes": [size]})
 
     ids = docs.select(col(docs, id_col).cast("long").alias("id"), col(docs, text_col).alias("t"))
     chars = ids.agg(F.sum(F.coalesce(F.octet_length("t"), F.lit(0)))).first()[0] or 0
-    files = int(max(1, -(-chars // FILE_CHARS), min(spark.sparkContext.defaultParallelism, -(-chars // (8 << 20)))))
+    files = int(max(1, -(-chars // file_bytes), min(spark.sparkContext.defaultParallelism, -(-chars // (8 << 20)))))
     ordered = ids.repartitionByRange(files, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
     manifest = ordered.mapInArrow(run, "file_no int, path string, n_docs long, n_ids long, n_bytes long")
     at = fresh_path(spark, "token-manifest")

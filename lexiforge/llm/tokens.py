@@ -18,13 +18,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import col, release, slices
 
 END_ID = 2
 #: Units of at most UNIT characters are remembered: two generations of CACHE each per worker.
-UNIT, CACHE = 32, 450_000
+UNIT, CACHE = 32, 200_000
 #: Characters of texts that are encoded together, and units of one call's texts.
-TOGETHER, JOINED = 12_000_000, 128
+TOGETHER, JOINED = 3_000_000, 128
+#: Rows of one step of a task.
+ROWS = 1024
 #: Documents of more characters are counted in overlapping chunks.
 CHUNK, OVERLAP = 16_384, 256
 
@@ -222,7 +224,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         else:
             library, own = tokenizer(tokenizer_path), encoder(tokenizer_path)
             spans = lambda t: library.encode(t, add_special_tokens=False).offsets
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, ROWS)):
             texts = [x.as_py() or "" for x in b.column(1)]
             long = [spans is not None and len(t) > chunk for t in texts]
             whole = [t for t, far in zip(texts, long, strict=True) if not far]
@@ -231,6 +233,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
             chunks = [-(-len(t) // chunk) if far else 1 for t, far in zip(texts, long, strict=True)]
             sizes = [len(t.encode("utf-8", "surrogatepass")) for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([c > limit for c in counts], pa.bool_()), pa.array(chunks, pa.int32())], names=["id", "n_bytes", "n_tokens", "over_limit", "n_chunks"])
+        release()
 
     ids = docs.select(col(docs, id_col).alias("id"), col(docs, text_col).alias("t"))
     out = ids.mapInArrow(run, f"id {ids.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean, n_chunks int")

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, small
+from .common import col, release, small
 
 THRESHOLD = 0.3
 #: Bound of the labelled sample: about so many rows of label 1 and CLEAN times as many of label 0, of at most MAX_CHARS characters.
@@ -30,7 +30,7 @@ STEMS = (4, 5, 6, 7)
 LEXICON = 2000
 #: Words on each side of a hit that make up its context.
 WINDOW = 6
-WORDS_KEPT = 400_000
+WORDS_KEPT = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 # Quotation marks; words that report speech; words that address somebody (English, German, French, Spanish).
 QUOTES = set("\"“”„«»‹›‟")
@@ -141,6 +141,11 @@ class Model:
     def __getstate__(self):
         return {"entries": self.entries, "weights": self.weights, "_automaton": None, "_known": {}}
 
+    def forget(self) -> None:
+        """Drops what was remembered of words, at the end of a task."""
+        self._known.clear()
+        release()
+
     def hits(self, text: str) -> tuple[list[tuple[str, int, int]], int]:
         """(word, position among the words, kind) of every hit, and the number of words."""
         if self._automaton is None:
@@ -291,6 +296,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for b in batches:
             got = [own.score(x.as_py()) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.float64()), pa.array([int(s >= threshold) for s in got], pa.int32())], names=["id", "score", "predicted"])
+        own.forget()
 
     ids = docs.select(col(docs, id_col).alias("id"), col(docs, text_col).alias("t"))
     return ids.mapInArrow(run, f"id {ids.schema['id'].dataType.simpleString()}, score double, predicted int").withColumnRenamed("id", id_col)
@@ -306,5 +312,6 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold:
     def run(batches: Iterator) -> Iterator:
         for b in batches:
             yield b.filter(pa.array([shared.value.score(x.as_py()) < threshold for x in b.column(at)], pa.bool_()))
+        shared.value.forget()
 
     return docs.mapInArrow(run, docs.schema)
