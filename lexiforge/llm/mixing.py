@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, col, cut, written
+from .common import WORD, col, cut, small, written
 
 #: Base weights by a source's rank, repeating.
 WEIGHTS = (5, 2, 1)
@@ -58,6 +58,8 @@ def _keyed(docs: DataFrame, id_col: str, source_col: str, text_col: str, quality
     wide = docs.select(F.struct(*[col(docs, c) for c in docs.columns]).alias("row"), col(docs, id_col).alias("id"), col(docs, source_col).alias("source"), words(text).alias("size"), uniform(F.coalesce(col(docs, id_col).cast("string"), F.md5(F.coalesce(text, F.lit("")))), seed=seed).alias("u"))
     if quality is None:
         return wide.withColumn("key", -F.log("u"))
+    quality = cut(quality)
+    quality = small(quality, quality.count(), 32)  # else whole texts would move to meet their weights
     return wide.join(quality, wide.id == quality.q_id, "left").withColumn("key", -F.log("u") / F.coalesce(F.col("q_w"), F.lit(1.0))).drop("q_id", "q_w")
 
 
@@ -112,7 +114,8 @@ def _applied(keyed: DataFrame, plan: DataFrame) -> DataFrame:
     own = F.struct("key", F.col("id").isNull().alias("no_id"), "id", "size")
     step = F.floor((1 - F.exp(-F.col("key"))) * F.col("n_steps"))
     extra = F.when(F.col("cut_step").isNull(), F.lit(0)).when(step < F.col("cut_step"), 1).when((step == F.col("cut_step")) & (own <= F.col("cut")), 1).otherwise(0)
-    out = keyed.join(plan, F.col("source").eqNullSafe(F.col("m_source")))
+    # One row a source: where they are few, documents need not be shuffled to meet them.
+    out = keyed.join(small(plan, plan.count(), 512), F.col("source").eqNullSafe(F.col("m_source")))
     out = out.withColumn("copies", F.col("epochs") + F.coalesce(extra, F.lit(0)))
     kept = [c for c in ("row", "id") if c in keyed.columns]
     return out.select(*kept, "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))

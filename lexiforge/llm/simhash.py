@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut, written
+from .common import col, cut, release, small, written
 
 BITS = 64
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -61,6 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for b in batches:
             got = np.array([fingerprint(t.as_py(), words, seed) for t in b.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got)], names=["id", "fp"])
+        release()
 
     ids = docs.select(col(docs, id_col).alias("id"), col(docs, text_col).alias("t"))
     return ids.mapInArrow(run, f"id {ids.schema['id'].dataType.simpleString()}, fp long")
@@ -222,6 +223,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = simhash_components(docs, id_col, text_col, **parameters)
     own = F.col(id_col)
     gone = written(found.filter(~own.eqNullSafe(F.col("component_id"))).select(own.alias("g_id")).distinct(), "near-gone")
+    gone = small(gone, gone.count(), 24)
     kept = found.filter(own.eqNullSafe(F.col("component_id")))
     twice = cut(kept.groupBy(own.alias("g_id")).agg(F.count("*").alias("c")).filter("c > 1").select("g_id"))
     out = docs.join(gone, col(docs, id_col).eqNullSafe(gone.g_id), "left_anti")
