@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import col, cut, release, small, written
@@ -53,18 +53,26 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * total > count, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """id, fp (the fingerprint as a signed long) of every row."""
+def text_hash(text: Column) -> Column:
+    """The md5 of a text; null counts as empty."""
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, seed: int = SEED, hashed: bool = False) -> DataFrame:
+    """id, fp (the fingerprint as a signed long) of every row; h (text_hash), too, where hashed."""
     import pyarrow as pa
 
+    names = ["id", "fp", *["h"] * hashed]
+
     def run(batches: Iterator) -> Iterator:
         for b in batches:
             got = np.array([fingerprint(t.as_py(), words, seed) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got)], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got), *b.columns[2:]], names=names)
         release()
 
-    ids = docs.select(col(docs, id_col).alias("id"), col(docs, text_col).alias("t"))
-    return ids.mapInArrow(run, f"id {ids.schema['id'].dataType.simpleString()}, fp long")
+    text = col(docs, text_col)
+    ids = docs.select(col(docs, id_col).alias("id"), text.alias("t"), *[text_hash(text).alias("h")] * hashed)
+    return ids.mapInArrow(run, f"id {ids.schema['id'].dataType.simpleString()}, fp long" + ", h string" * hashed)
 
 
 class BKTree:
@@ -202,6 +210,12 @@ def contracted(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
 
+def _with_component(distinct: DataFrame, radius: int) -> DataFrame:
+    """distinct (one row per fingerprint fp), with comp: the least fingerprint of its component."""
+    found = cut(contracted(links(distinct.select("fp"), radius)))
+    return distinct.join(found, distinct.fp == found.node, "left").select(*distinct.columns, F.coalesce("comp", "fp").alias("comp"))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
     """One row per input row: id, fp (signed long), fingerprint (hex), component_id (least id reachable).
 
@@ -210,26 +224,37 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     prints = written(fingerprints(docs, id_col, text_col, words, seed), "simhash")
     distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("least")))
-    found = cut(contracted(links(distinct.select("fp"), radius)))
-    of = distinct.join(found, distinct.fp == found.node, "left").select("fp", "least", F.coalesce("comp", "fp").alias("comp"))
+    of = _with_component(distinct, radius)
     ids = of.groupBy("comp").agg(F.min("least").alias("component_id"))
     of = of.join(ids, "comp").select(F.col("fp").alias("c_fp"), "component_id")
     out = prints.join(of, F.col("fp") == F.col("c_fp"))
     return out.select(F.col("id").alias(id_col), "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
-    """The rows of docs that stand for their component (the least id; rows repeated under one id stay once)."""
-    found = simhash_components(docs, id_col, text_col, **parameters)
-    own = F.col(id_col)
-    gone = written(found.filter(~own.eqNullSafe(F.col("component_id"))).select(own.alias("g_id")).distinct(), "near-gone")
-    gone = small(gone, gone.count(), 24)
-    kept = found.filter(own.eqNullSafe(F.col("component_id")))
-    twice = cut(kept.groupBy(own.alias("g_id")).agg(F.count("*").alias("c")).filter("c > 1").select("g_id"))
-    out = docs.join(gone, col(docs, id_col).eqNullSafe(gone.g_id), "left_anti")
-    if twice.count():
-        once = docs.join(twice, col(docs, id_col).eqNullSafe(twice.g_id), "left_anti").join(gone, col(docs, id_col).eqNullSafe(gone.g_id), "left_anti")
-        wide = docs.select(F.struct(*[col(docs, c) for c in docs.columns]).alias("row"), col(docs, id_col).alias("d_id"), F.md5(F.coalesce(col(docs, text_col), F.lit(""))).alias("d_h"))
-        again = wide.join(twice, F.col("d_id").eqNullSafe(F.col("g_id")), "left_semi").groupBy("d_id").agg(F.min_by("row", "d_h").alias("row"))
-        out = once.unionByName(again.select("row.*"))
-    return out
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
+    """The rows of docs that stand for their component, one for each: the least id (null last), then the least md5 of the text.
+
+    Rows are found again by (id, md5 of the text), because ids may be null or shared by different texts; of rows repeated
+    whole one stays.
+    """
+    prints = written(fingerprints(docs, id_col, text_col, words, seed, hashed=True), "simhash")
+    first = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
+    distinct = cut(prints.groupBy("fp").agg(F.min(first).alias("first"), F.count("*").alias("n")))
+    of = cut(_with_component(distinct, radius))
+    shared = of.groupBy("comp").agg(F.min("first").alias("stays"), F.sum("n").alias("rows")).filter("rows > 1")
+    shared = of.join(shared, "comp").select(F.col("fp").alias("s_fp"), "stays")
+    rows = prints.join(shared, F.col("fp") == F.col("s_fp"))
+    rows = written(rows.groupBy("id", "h").agg(F.count("*").alias("c"), F.first("stays").alias("stays")), "near-shared")
+    stays = F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("h") == F.col("stays.h"))
+    key = F.col("id").alias("g_id"), F.col("h").alias("g_h")
+    # A row that is repeated whole goes as well, and comes back once.
+    gone = rows.filter(~stays | (F.col("c") > 1)).select(*key)
+    twice = rows.filter(stays & (F.col("c") > 1)).select(*key)
+    n_gone, n_twice = gone.count(), twice.count()
+    wide = docs.select(F.struct(*[col(docs, c) for c in docs.columns]).alias("row"), col(docs, id_col).alias("d_id"), text_hash(col(docs, text_col)).alias("d_h"))
+    same = F.col("d_id").eqNullSafe(F.col("g_id")) & (F.col("d_h") == F.col("g_h"))
+    out = wide.join(small(gone, n_gone, 80), same, "left_anti").select("row")
+    if n_twice:
+        again = wide.join(small(twice, n_twice, 80), same, "left_semi").groupBy("d_id", "d_h").agg(F.first("row").alias("row"))
+        out = out.unionByName(again.select("row"))
+    return out.select("row.*")

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import xxhash
 from hypothesis import given, settings
@@ -108,3 +110,21 @@ def test_odd_rows(odd, empty):
     assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "2", "3", "6", "8", "None"]
     assert simhash.drop_near_copies(odd.filter("doc_id = 7")).count() == 1
     assert simhash.drop_near_copies(empty).count() == 0
+
+
+def test_null_and_shared_ids_keep_one_row_of_each_component(spark):
+    rng = np.random.default_rng(3)
+    text = lambda: " ".join(f"w{k}" for k in rng.integers(0, 10**6, 3000))
+    t = [text() for _ in range(9)]
+    close = lambda k: t[k] + " more"
+    rows = [(3, t[0]), (5, t[1]), (5, close(0)), (None, close(0)), (None, t[2]), (None, t[3]), (None, close(3)), (None, t[4]), (None, t[4])]
+    rows += [(5, t[5]), (7, t[6]), (7, t[7]), (7, close(7)), (8, t[8]), (8, t[8]), (9, close(1))]
+    prints = [brute_print(x) for _, x in rows]
+    comp = brute_components(prints)
+    assert len(set(comp)) == len(t)
+    want = {}
+    for (i, x), c in zip(rows, comp, strict=True):
+        key = (i is None, i or 0, hashlib.md5(x.encode()).hexdigest())
+        want[c] = min(want.get(c, (key, i, x)), (key, i, x), key=lambda v: v[0])
+    out = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in out) == sorted((str(i), x) for _, i, x in want.values())
