@@ -228,7 +228,7 @@ p AS (SELECT a.i, b.i AS j, len(list_intersect(a.g, b.g)) AS n, len(a.g) + len(b
 SELECT i, j, round_even(n / greatest(m - n, 1), 3) AS similarity FROM p WHERE n / greatest(m - n, 1) >= 0.8 AND n / greatest(m - n, 1) < 1""",
 )
 def _(spark, d):
-    return dedup.near_pairs(qa(spark, d))
+    return dedup.near_pairs(qa(spark, d), limit=None)
 
 
 # Reports.
@@ -272,7 +272,7 @@ report_query(
     f", k AS (SELECT count(*) AS n FROM e GROUP BY lower({SQ})), x AS (SELECT (SELECT count(*) FROM k WHERE n > 1) AS duplicate_questions, count(*) FILTER (length(answer) < 50) AS short_answers, count(*) FILTER (NOT ({' OR '.join(hit('answer', p) for p in CITED.values())})) AS no_citation, count(*) AS n FROM e) SELECT duplicate_questions, short_answers, no_citation, duplicate_questions > 0 OR short_answers > 0 OR no_citation > n * 0.1 AS has_issues FROM x",
 )
 report_query("pipeline_summary", report.pipeline_summary, "SELECT count(*) AS qa_total, count(*) FILTER (label = 'good') AS qa_good, count(*) FILTER (label = 'good') / greatest(1, count(*)) * 100 AS success_rate FROM e")
-QUERIES["full_report"] = lambda spark, d: report.full_report(labelled(spark, d), dedup.near_pairs(qa(spark, d))).select("evaluation", "citations", "format_issues", "quality_summary", "near_duplicates")
+QUERIES["full_report"] = lambda spark, d: report.full_report(labelled(spark, d), dedup.near_pairs(qa(spark, d), limit=None)).select("evaluation", "citations", "format_issues", "quality_summary", "near_duplicates")
 
 
 @query("format_issue_rows", W + LABELLED_SQL.strip() + f" SELECT 'truncated' AS issue, source_doc || ':' || seq AS idx, length(answer) AS length, CASE WHEN length(answer) > 50 THEN right(answer, 50) ELSE answer END AS ending FROM e WHERE answer <> '' AND NOT regexp_matches({SA}, '[.!?。]$')")

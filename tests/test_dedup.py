@@ -1,3 +1,5 @@
+import hashlib
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -47,3 +49,15 @@ def test_neighbours_within_the_band(spark):
 def test_equal_and_short_questions_are_no_near_pairs(spark):
     df = spark.createDataFrame([(0, "same"), (1, "same"), (2, "ab"), (3, "ab")], "seq long, question string")
     assert dedup.near_pairs(df).count() == 0
+
+
+def test_near_dup_queries_compare_all_rows(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    text = "the quick brown fox jumps over the lazy dog while nobody looks "
+    rows = [(k, hashlib.md5(str(k).encode()).hexdigest() * 2) for k in range(2300) if k not in (2202, 2209)]
+    rows += [(2202, text[:59] + "x"), (2209, text[:59] + "y")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    q = entry.queries()
+    assert [(r.i, r.j) for r in q["near_dup_pairs"](spark, str(tmp_path)).collect()] == [(2202, 2209)]
+    assert q["full_report"](spark, str(tmp_path)).first().near_duplicates == 1
