@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
         end = np.array([end_id], "<u4").tobytes()
         for b in (part for whole in batches for part in slices(whole, ROWS)):
             rows, crc = [], []
-            for k, ids in enumerate(own.many([x.as_py() or "" for x in b.column(1)])):
+            for k, ids in enumerate(own.many(b.column(1))):
                 raw = ids.tobytes() + end
                 n = len(raw) // 4
                 edges = [0, *range(n % size or size, n + 1, size)]

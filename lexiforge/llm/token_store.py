@@ -164,8 +164,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None,
                 out = system.open_output_stream(temporary)
                 writer = Writer(out)
             for part in slices(b, ROWS):
-                texts = [x.as_py() or "" for x in part.column(1)]
-                for x, ids in zip(part.column(0).to_pylist(), own.many(texts), strict=True):
+                for x, ids in zip(part.column(0).to_pylist(), own.many(part.column(1)), strict=True):
                     writer.add(x, ids.tobytes() + end)
         if writer is not None:
             writer.close()

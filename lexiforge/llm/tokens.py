@@ -3,14 +3,15 @@
 Byte-level BPE first cuts a text into pieces and no piece reaches across the place between a character that isn't white
 space and a single space with another such character after it: each of the cutter's alternatives takes a space only as
 the first character of a piece, and runs of white space are looked at one character ahead only. A text is therefore
-encoded as the concatenation of its units between those places, and the library is asked once for each unit.
+encoded as the concatenation of its units between those places, and the library is asked once for each unit. Units of
+letters, digits and marks only are cut further into the cutter's own pieces, which units share.
 """
 
 from __future__ import annotations
 
-import re
-from array import array
-from collections.abc import Iterator
+import json
+import os
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -21,143 +22,277 @@ from pyspark.sql import functions as F
 from .common import col, release, slices
 
 END_ID = 2
-#: Units of at most UNIT characters are remembered: two generations of CACHE each per worker.
-UNIT, CACHE = 32, 200_000
-#: Characters of texts that are encoded together, and units of one call's texts.
+#: Units of at most UNIT bytes are remembered, about CACHE of them per worker.
+UNIT, CACHE = 40, 250_000
+#: Bytes of texts that are encoded together, and units of one call's texts.
 TOGETHER, JOINED = 3_000_000, 128
 #: Rows of one step of a task.
 ROWS = 1024
-#: Documents of more characters are counted in overlapping chunks.
+#: Documents of more bytes are counted in overlapping chunks.
 CHUNK, OVERLAP = 16_384, 256
 
+# Fixed values, in RE2: white space (Unicode's White_Space and U+001C to U+001F); letters, digits and marks (neither
+# letter, number nor white space) of the Latin blocks and general punctuation, without the apostrophe.
+_WHITE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_LETTER = r"A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}"
+_DIGIT = "0-9"
+_MARK = r"!-&(-/:-@\[-`{-~\x{A1}-\x{A9}\x{AB}-\x{B1}\x{B4}\x{B6}-\x{B8}\x{BB}\x{BF}\x{D7}\x{F7}\x{2010}-\x{2027}"
+_SOLID = f"[{_LETTER}{_DIGIT}{_MARK}]+"
+#: Units whose pieces are exactly the matches of _PIECE; a line feed in them stands between two solid characters.
+_REGULAR = rf"^ ?{_SOLID}(?:\n{_SOLID})*$"
+_PIECE = rf"( ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[{_MARK}]+|\n)"
+#: Stands between pieces; _REGULAR holds none.
+_BETWEEN = "\x01"
+
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str):
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
 
 
-#: A single space between two characters that aren't white space.
-_STABLE = re.compile(r" (?<=\S )(?=\S)")
-#: In RE2: a space beside another white space character, or at an end (fixed values: Unicode's White_Space and U+001C to U+001F).
-_WHITE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-_UNEVEN = rf"^ | $|[{_WHITE}] | [{_WHITE}]"
+def byte_level(spec: dict) -> bool:
+    """Whether a tokenizer file's parts are those that the cuts are proven for; others get whole texts."""
+    cutter, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    plain = not spec.get("normalizer") and not spec.get("truncation") and not spec.get("padding")
+    cut = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
+    pairs = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    added = all(not (t["single_word"] or t["lstrip"] or t["rstrip"]) and t["content"] and not any(map(str.isspace, t["content"])) for t in spec.get("added_tokens", []))
+    if not (plain and cut and pairs and added):
+        return False
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    return all(c in model["vocab"] for c in ByteLevel.alphabet())
 
 
-def units(text: str) -> list[str]:
-    """The text between its stable cuts; each unit but the first had a space before it."""
-    return _STABLE.split(text)
+def _bytes_of(texts) -> np.ndarray:
+    import pyarrow.compute as pc
+
+    return pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def strings(texts):
+    """An Arrow array of whole texts without nulls (null: empty)."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if not isinstance(texts, pa.Array):
+        texts = pa.array(texts, pa.large_string())
+    return pc.fill_null(texts.cast(pa.large_string()), "")
 
 
 class Encoder:
-    """ids of whole texts as arrays of unsigned 32-bit numbers, exactly as the library's encode() gives them."""
+    """ids of whole texts as unsigned 32-bit numbers, exactly as the library's encode() gives them."""
 
     def __init__(self, path: str):
-        self.library, self.young, self.old = tokenizer(path), {}, {}
-        self.marks = {c: self._ask([c])[0] for c in ".,;:!?"}
-        added = self.library.get_added_tokens_decoder()
-        self.bar, self.bar_id = next(((t.content, i) for i, t in added.items() if t.special and not t.lstrip and not t.rstrip), (None, None))
-
-    def _ask(self, asked: list[str]) -> list[bytes]:
-        got = self.library.encode_batch_fast(asked, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in got]
-
-    def _ask_joined(self, asked: list[str]) -> list[bytes]:
-        """As _ask, many at once: a special token between them, which the library cuts out before all else."""
-        if not asked or self.bar is None or any(self.bar[0] in u for u in asked):
-            return self._ask(asked)
-        ids = [e.ids for e in self.library.encode_batch_fast([self.bar.join(asked[k : k + JOINED]) + self.bar for k in range(0, len(asked), JOINED)], add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(ids), "<u4", sum(map(len, ids)))
-        ends = np.flatnonzero(flat == self.bar_id)
-        raw, starts = flat.tobytes(), np.r_[0, ends[:-1] + 1]
-        return [raw[4 * a : 4 * z] for a, z in zip(starts.tolist(), ends.tolist(), strict=True)]
-
-    def many(self, texts: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        at = 0
+        import pyarrow as pa
+
+        self.library = tokenizer(path)
+        spec = json.loads(self.library.to_str())
+        self.by_units = byte_level(spec)
+        if self.by_units:
+            from tokenizers import Tokenizer, pre_tokenizers
+
+            self.pieces = Tokenizer(self.library.model)
+            self.pieces.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(_BETWEEN), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.added = [t["content"] for t in spec["added_tokens"]]
+            self.bar = next(((t["content"], t["id"]) for t in spec["added_tokens"]), None)
+            of = spec["model"]["vocab"]
+            #: Bytes of the text that each token stands for.
+            self.widths = np.zeros(max([*of.values(), *(t["id"] for t in spec["added_tokens"])]) + 1, np.int64)
+            self.widths[list(of.values())] = [len(t) for t in of]
+            for t in spec["added_tokens"]:
+                self.widths[t["id"]] = len(t["content"].encode())
+        #: Remembered keys (a unit with the space before it, if it has one) and the places of their ids in the pool.
+        self.known, self.begins, self.sizes, self.pool = pa.array([], pa.large_string()), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def flat(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where those of each text end."""
+        texts, ids, ends, base = strings(texts), [], [], 0
+        for part in self._parts(texts):
+            if self.by_units:
+                at, last = self._runs(part)
+                got, to = self._gather(at)
+                to = to[last]
+                self._trim(at)
+            else:
+                found = [e.ids for e in self.library.encode_batch_fast(part.to_pylist(), add_special_tokens=False)]
+                got, to = np.fromiter(chain.from_iterable(found), np.uint32), np.cumsum([len(x) for x in found])
+            ids.append(got)
+            ends.append(to + base)
+            base += len(got)
+        return (np.concatenate(ids), np.concatenate(ends)) if ids else (np.empty(0, np.uint32), np.empty(0, np.int64))
+
+    def many(self, texts) -> list[np.ndarray]:
+        ids, ends = self.flat(texts)
+        return [ids[a:z] for a, z in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+
+    def counts(self, texts) -> np.ndarray:
+        """The number of ids of each text."""
+        texts, out = strings(texts), [np.empty(0, np.int64)]
+        for part in self._parts(texts):
+            if self.by_units:
+                at, last = self._runs(part)
+                out.append(np.diff(np.cumsum(self.sizes[at])[last], prepend=0))
+                self._trim(at)
+            else:
+                out.append(np.array([len(e.ids) for e in self.library.encode_batch_fast(part.to_pylist(), add_special_tokens=False)], np.int64))
+        return np.concatenate(out)
+
+    def _parts(self, texts) -> Iterator:
+        ends, at = np.cumsum(_bytes_of(texts)), 0
         while at < len(texts):
-            to, n = at, 0
-            while to < len(texts) and (to == at or n + len(texts[to]) <= TOGETHER):
-                n += len(texts[to])
-                to += 1
-            out += self._some(texts[at:to])
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TOGETHER, "right")))
+            yield texts.slice(at, to - at)
             at = to
-        return out
 
-    def _some(self, texts: list[str]) -> list[np.ndarray]:
+    def _runs(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Places among the remembered keys of all units of the texts, and the place of each text's last unit."""
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        whole = pa.array(texts, pa.large_string())
-        uneven = pc.match_substring_regex(whole, _UNEVEN).to_numpy(zero_copy_only=False)
-        if uneven.any():
-            even = pc.split_pattern(whole.filter(pa.array(~uneven)), " ")
-            odd = [units(t) for t, u in zip(texts, uneven, strict=True) if u]
-            lengths = np.empty(len(texts), np.int64)
-            lengths[~uneven] = pc.list_value_length(even).to_numpy()
-            lengths[uneven] = [len(x) for x in odd]
-            flat = pa.concat_arrays([even.flatten(), pa.array(chain.from_iterable(odd), pa.large_string())])
-            order = np.r_[np.flatnonzero(~uneven), np.flatnonzero(uneven)]  # document of each run of units
-        else:
-            even = pc.split_pattern(whole, " ")
-            lengths, flat, order = pc.list_value_length(even).to_numpy().astype(np.int64), even.flatten(), np.arange(len(texts))
+        lists = pc.split_pattern(texts, " ")
+        lengths = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        flat = lists.flatten()
         coded = flat.dictionary_encode()
-        words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        values = self._units(words)
-        firsts_at = np.r_[0, np.cumsum(lengths[order])[:-1]]
-        firsts = self._ask([words[k] for k in which[firsts_at].tolist()])
-        which = which.copy()
-        which[firsts_at] = len(values) + np.arange(len(firsts))
-        values += firsts
-        pool = np.frombuffer(b"".join(values), "<u4")
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        begins = np.cumsum(sizes) - sizes
-        n = sizes[which]
-        ends = np.cumsum(n)
-        ids = pool[np.repeat(begins[which] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-        cuts = np.r_[0, ends[np.r_[firsts_at[1:], len(which)] - 1]]
-        out: list = [None] * len(texts)
-        for doc, a, z in zip(order.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            out[doc] = ids[a:z]
+        words, which = coded.dictionary, coded.indices.to_numpy()
+        first = np.zeros(len(which), bool)
+        first[np.cumsum(lengths) - lengths] = True
+        # A space is no cut where the word before it ends or the word after it begins with white space, or is empty.
+        before = pc.match_substring_regex(words, rf"(?:^|[{_WHITE}])$").to_numpy(zero_copy_only=False)
+        after = pc.match_substring_regex(words, rf"^(?:$|[{_WHITE}])").to_numpy(zero_copy_only=False)
+        begins = np.r_[True, first[1:] | ~(before[which[:-1]] | after[which[1:]])]
+        starts = np.flatnonzero(begins)
+        ends = np.r_[starts[1:], len(which)]
+        long, opens = ends - starts > 1, first[starts]
+        single = starts[~long & ~opens]
+        used = np.zeros(len(words), bool)
+        used[which[single]] = True
+        spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), words.filter(pa.array(used)), pa.scalar(" ", pa.large_string()))
+        odd, other = np.flatnonzero(long | opens), []
+        for run in odd.tolist():
+            a, z = starts[run], ends[run]
+            text = flat[a].as_py() if z - a == 1 else " ".join(words.take(pa.array(which[a:z])).to_pylist())
+            other.append(text if opens[run] else f" {text}")
+        rest = pa.array(other, pa.large_string()).dictionary_encode()
+        at = self._keyed(pa.concat_arrays([spaced, rest.dictionary]))
+        out = np.empty(len(starts), np.int64)
+        out[~long & ~opens] = at[(np.cumsum(used) - 1)[which[single]]]
+        out[odd] = at[len(spaced) + rest.indices.to_numpy()]
+        return out, np.r_[np.flatnonzero(opens)[1:] - 1, len(starts) - 1]
+
+    def _keyed(self, keys) -> np.ndarray:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        at = pc.fill_null(pc.index_in(keys, value_set=self.known), -1).to_numpy().astype(np.int64)
+        missing = at < 0
+        if missing.any():
+            at[missing] = self._learn(keys.filter(pa.array(missing)))
+        return at
+
+    def _learn(self, new) -> np.ndarray:
+        """Asks the library for new keys; returns their places among the remembered ones."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        regular = pc.match_substring_regex(new, _REGULAR)
+        for content in self.added:
+            regular = pc.and_not(regular, pc.match_substring(new, content))
+        regular = regular.to_numpy(zero_copy_only=False)
+        out = np.empty(len(new), np.int64)
+        if not regular.all():
+            odd = new.filter(pa.array(~regular))
+            out[~regular] = self._remember(odd, *self._ask(odd.to_pylist()))
+        if not regular.any():
+            return out
+        solid = new.filter(pa.array(regular))
+        marked = pc.replace_substring_regex(solid, _PIECE, rf"\1{_BETWEEN}")
+        counts = pc.count_substring(marked, _BETWEEN).to_numpy().astype(np.int64)
+        parts = pc.split_pattern(_joined(marked), _BETWEEN).flatten()
+        coded = parts.slice(0, len(parts) - 1).dictionary_encode()
+        pieces, which = coded.dictionary, coded.indices.to_numpy()
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.known), -1).to_numpy().astype(np.int64)
+        if (at < 0).any():
+            ask = pieces.filter(pa.array(at < 0))
+            at[at < 0] = self._remember(ask, *self._ask_pieces(ask))
+        places = at[which]
+        ends = np.cumsum(counts)
+        own = places[ends - 1]
+        several = counts > 1
+        if several.any():
+            inside = np.repeat(several, counts)
+            ids, to = self._gather(places[inside])
+            to = to[np.cumsum(counts[several]) - 1]
+            own[several] = self._remember(solid.filter(pa.array(several)), ids, np.diff(to, prepend=0))
+        out[regular] = own
         return out
 
-    def _units(self, words: list[str]) -> list[bytes]:
-        """ids of units with a space before each."""
-        if len(self.young) > CACHE:
-            self.young, self.old = {}, self.young
-        young, old, marks = self.young, self.old, self.marks
-        values = list(map(young.get, words))
-        missing = [k for k, x in enumerate(values) if x is None]
-        ask: dict[str, None] = {}
-        for k in missing:
-            u = words[k]
-            if (x := old.get(u)) is not None:
-                values[k] = young[u] = x
-            elif u and u[-1] in marks and u[:-1].isalpha():  # letters and a mark are pieces of their own
-                ask[u[:-1]] = None
-            else:
-                ask[u] = None
-        new = [u for u in ask if u not in young]
-        got = dict(zip(new, self._ask_joined([f" {u}" for u in new]), strict=True))
-        for k in missing:
-            if values[k] is None:
-                u = words[k]
-                if (x := got.get(u)) is None:
-                    x = young.get(u)
-                if x is None:
-                    core = got.get(u[:-1])
-                    x = (young[u[:-1]] if core is None else core) + marks[u[-1]]
-                values[k] = x
-        young.update((u, x) for u, x in got.items() if len(u) <= UNIT)
-        young.update((words[k], values[k]) for k in missing if len(words[k]) <= UNIT)
-        return values
+    def _ask_pieces(self, pieces) -> tuple[np.ndarray, np.ndarray]:
+        """ids and numbers of ids of single pieces: many in a text, which the second tokenizer cuts between them only."""
+        words = pieces.to_pylist()
+        asked = [_BETWEEN.join(words[k : k + JOINED]) for k in range(0, len(words), JOINED)]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in self.pieces.encode_batch_fast(asked, add_special_tokens=False)), np.uint32)
+        ends, to = np.cumsum(self.widths[ids]), np.cumsum(_bytes_of(pieces))
+        at = np.searchsorted(ends, to)
+        if len(ids) and (at[-1] != len(ids) - 1 or (ends[at] != to).any()):
+            raise ValueError("pieces and tokens do not end together")
+        return ids, np.diff(at, prepend=-1)
+
+    def _ask(self, asked: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """ids and numbers of ids of any texts: many at once with an added token between, which the library cuts out before all else."""
+        if self.bar is None or any(c in t for c in self.added for t in asked):
+            found = [e.ids for e in self.library.encode_batch_fast(asked, add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(x) for x in found], np.int64)
+        content, bar = self.bar
+        texts = [content.join(asked[k : k + JOINED]) + content for k in range(0, len(asked), JOINED)]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)), np.uint32)
+        bars = ids == bar
+        return ids[~bars], np.diff(np.flatnonzero(bars), prepend=-1) - 1
+
+    def _remember(self, keys, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        import pyarrow as pa
+
+        n, base = len(self.known), len(self.pool)
+        self.known = pa.concat_arrays([self.known, keys])
+        self.begins = np.r_[self.begins, base + np.cumsum(sizes) - sizes]
+        self.sizes = np.r_[self.sizes, sizes]
+        self.pool = np.concatenate([self.pool, ids])
+        return n + np.arange(len(keys))
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of keys in a row, and where those of each end."""
+        n = self.sizes[at]
+        ends = np.cumsum(n)
+        return self.pool[np.repeat(self.begins[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+    def _trim(self, at: np.ndarray) -> None:
+        """Forgets all but the short keys that were just used, once there are too many."""
+        import pyarrow as pa
+
+        if len(self.known) <= CACHE and len(self.pool) <= 8 * CACHE:
+            return
+        keep = np.zeros(len(self.known), bool)
+        keep[at] = True
+        keep &= _bytes_of(self.known) <= UNIT
+        kept = np.flatnonzero(keep)
+        ids, ends = self._gather(kept)
+        self.known, self.pool, self.sizes = self.known.filter(pa.array(keep)), ids, self.sizes[kept]
+        self.begins = ends - self.sizes
 
     def __call__(self, text: str) -> bytes:
-        return self.many([text])[0].tobytes()
+        return self.flat([text])[0].tobytes()
+
+
+def _joined(texts):
+    """An Arrow array of one string: all strings in a row."""
+    import pyarrow as pa
+
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2].slice(int(offsets[0]), int(offsets[-1] - offsets[0]))
+    return pa.LargeStringArray.from_buffers(1, pa.py_buffer(np.array([0, len(data)], np.int64)), data)
 
 
 @lru_cache(maxsize=4)
@@ -228,7 +363,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
             texts = [x.as_py() or "" for x in b.column(1)]
             long = [spans is not None and len(t) > chunk for t in texts]
             whole = [t for t, far in zip(texts, long, strict=True) if not far]
-            plain = iter([len(x) for x in own.many(whole)] if spans else map(short, whole))
+            plain = iter(own.counts(whole).tolist() if spans else map(short, whole))
             counts = [spliced_count(t, spans, chunk, overlap) if far else next(plain) for t, far in zip(texts, long, strict=True)]
             chunks = [-(-len(t) // chunk) if far else 1 for t, far in zip(texts, long, strict=True)]
             sizes = [len(t.encode("utf-8", "surrogatepass")) for t in texts]
