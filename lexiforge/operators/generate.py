@@ -11,6 +11,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed as X
 from ..functions.text import cache_key
 from .parse import PAIRS, parse_pairs, parse_verdict
 
@@ -24,13 +25,7 @@ class Provider(Protocol):
 def error_kind(message: str) -> tuple[str, bool]:
     """(kind, whether to try again) by what a message says; the first row that fits counts."""
     m = message.lower()
-    for words, kind, again in (
-        (("rate", "429", "quota"), "rate_limit", True),
-        (("401", "403", "auth", "key"), "auth_error", False),
-        (("timeout", "timed out"), "timeout", True),
-        (("500", "502", "503"), "server_error", True),
-        (("connection", "network"), "connection_error", True),
-    ):
+    for words, kind, again in X.CALL_ERRORS:
         if any(w in m for w in words):
             return kind, again
     return "unknown", True
@@ -98,7 +93,7 @@ def asked(df: DataFrame, provider: Provider, prompt: str = "prompt", retries: Re
 
 def prompts(chunks: DataFrame, template: str, num_qa: int = 5) -> DataFrame:
     """chunks with prompt: {num_qa}, {doc_number} (with date and issuer where known) and {content} filled in."""
-    number = F.coalesce(F.col("doc_number"), F.lit("(Không xác định số hiệu)"))
+    number = F.coalesce(F.col("doc_number"), F.lit(X.UNKNOWN_NUMBER))
     number = F.concat(number, F.coalesce(F.concat(F.lit(" ngày "), F.col("issued_date")), F.lit("")), F.coalesce(F.concat(F.lit(" của "), F.col("issued_by")), F.lit("")))
     text = F.replace(F.replace(F.lit(template), F.lit("{num_qa}"), F.lit(str(num_qa))), F.lit("{doc_number}"), number)
     return chunks.withColumn("prompt", F.replace(text, F.lit("{content}"), F.coalesce(F.col("content"), F.lit(""))))

@@ -24,7 +24,10 @@ def header_number(content: Column | str, truncated_decrees: bool = True) -> Colu
 
     truncated_decrees: decree numbers that were cut before their ending count and get it appended.
     """
-    text = collapsed(header(content))
+    return _number(collapsed(header(content)), truncated_decrees)
+
+
+def _number(text: Column, truncated_decrees: bool = True) -> Column:
     forms = []
     for pattern, kind in X.HEADER_NUMBERS:
         if pattern.endswith("NĐ)") and not truncated_decrees:
@@ -38,7 +41,10 @@ def header_number(content: Column | str, truncated_decrees: bool = True) -> Colu
 
 def issued_date(content: Column | str) -> Column:
     """DD/MM/YYYY of the first valid date form."""
-    text = collapsed(header(content))
+    return _date(collapsed(header(content)))
+
+
+def _date(text: Column) -> Column:
     forms = []
     for pattern in X.DATES:
         d, m, y = (_found(text, pattern, k) for k in (1, 2, 3))
@@ -50,7 +56,10 @@ def issued_date(content: Column | str) -> Column:
 
 
 def issuer(content: Column | str) -> Column:
-    text = collapsed(header(content))
+    return _issuer(collapsed(header(content)))
+
+
+def _issuer(text: Column) -> Column:
     forms = []
     for pattern, name, named in X.ISSUERS:
         got = _found(text, pattern, 1 if named else 0)
@@ -69,16 +78,16 @@ def title(content: Column | str) -> Column:
 
 def extract_metadata(docs: DataFrame, content: str = "content") -> DataFrame:
     """docs with a metadata struct: doc_number, doc_number_short, doc_type, issued_date, issued_by, title."""
-    found = docs.withColumn("_n", header_number(content))
+    found = docs.withColumn("_t", collapsed(header(content))).withColumn("_n", _number(F.col("_t")))
     meta = F.struct(
         F.when(F.col("_n").isNotNull(), F.concat_ws(" ", "_n.kind", "_n.number")).alias("doc_number"),
         F.col("_n.number").alias("doc_number_short"),
         F.col("_n.kind").alias("doc_type"),
-        issued_date(content).alias("issued_date"),
-        issuer(content).alias("issued_by"),
+        _date(F.col("_t")).alias("issued_date"),
+        _issuer(F.col("_t")).alias("issued_by"),
         title(content).alias("title"),
     )
-    return found.withColumn("metadata", meta).drop("_n")
+    return found.withColumn("metadata", meta).drop("_n", "_t")
 
 
 def number_text(content: Column | str) -> Column:
@@ -102,9 +111,4 @@ def number_from_file(name: Column | str) -> Column:
         parts = [F.regexp_extract(n, pattern, m) if isinstance(m, int) else F.lit(m) for m in made]
         return F.when(n.rlike(pattern), F.struct(F.concat(*parts).alias("number"), F.lit(kind).alias("kind")))
 
-    return F.coalesce(
-        form(r"^(\d+)_(\d{4})_(TT)-([A-Z]+)_", "Thông tư", 1, "/", 2, "/", 3, "-", 4),
-        form(r"^(\d+)_(\d{4})_(ND|NĐ)-CP_", "Nghị định", 1, "/", 2, "/NĐ-CP"),
-        form(r"^(\d+)_(\d{4})_(QH\d+)_", "Luật số", 1, "/", 2, "/", 3),
-        form(r"^(\d+)_(QD|QĐ)-([A-Z]+)_", "Quyết định", 1, "/", 2, "-", 3),
-    )
+    return F.coalesce(*[form(pattern, kind, *made) for pattern, kind, made in X.FILE_NUMBERS])

@@ -125,8 +125,7 @@ def check_lengths(df: DataFrame) -> DataFrame:
 def check_citations(df: DataFrame) -> DataFrame:
     """Counts with percents: with_doc_number, with_article, with_clause, with_point, no_citation."""
     a = _text(df, "answer")
-    found = {"with_doc_number": r"\d+/\d{4}/[A-Za-z\-]+", "with_article": r"[Dd]iều\s+\d+", "with_clause": r"[Kk]hoản\s+\d+", "with_point": r"điểm\s+[a-zđ]"}
-    flags = {n: matches(a, p) for n, p in found.items()}
+    flags = {n: matches(a, p) for n, p in X.CHECKED_CITATIONS.items()}
     none = F.lit(True)
     for p in flags.values():
         none = none & ~p
@@ -143,8 +142,8 @@ def check_format(df: DataFrame) -> DataFrame:
 
 def check_content(df: DataFrame) -> DataFrame:
     q, a = F.lower(_text(df, "question")), F.lower(_text(df, "answer"))
-    vague = matches(a, r"không thể trả lời|cần thêm thông tin|tùy thuộc vào|liên hệ.*để biết thêm", "d")
-    generic = matches(q, r"^(thông tư|nghị định|luật|văn bản) này", "")
+    vague = matches(a, X.VAGUE_ANSWER, "d")
+    generic = matches(q, X.GENERIC_QUESTION, "")
     out = df.agg(F.count("*").alias("_n"), F.count_if(vague).alias("vague_answers"), F.count_if(generic).alias("generic_questions"))
     return out.select(*[percent_text(F.col(n), F.col("_n")).alias(n) for n in ("vague_answers", "generic_questions")])
 
@@ -171,7 +170,7 @@ def dataset_issues(df: DataFrame) -> DataFrame:
 
     dup = df.groupBy(question_key("question").alias("k")).agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > 1).alias("duplicate_questions"))
     a = _text(df, "answer")
-    found = matches(a, r"\d+/\d{4}/[A-Za-z\-]+|[Dd]iều\s+\d+|[Kk]hoản\s+\d+|điểm\s+[a-zđ]")
+    found = matches(a, "|".join(X.CHECKED_CITATIONS.values()))
     rest = df.agg(F.count("*").alias("_n"), F.count_if(F.length(a) < 50).alias("short_answers"), F.count_if(~found).alias("no_citation"))
     out = dup.crossJoin(F.broadcast(rest))
     return out.select("duplicate_questions", "short_answers", "no_citation", ((F.col("duplicate_questions") > 0) | (F.col("short_answers") > 0) | (F.col("no_citation") > F.col("_n") * 0.1)).alias("has_issues"))

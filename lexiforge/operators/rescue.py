@@ -1,7 +1,7 @@
 """Repair of answers whose citations lack a document number.
 
-The rewrite rules come from a small grammar (article, clause, point, kind of document, ...). The first rule that changes
-an answer wins; rules are tried in groups of GROUP so that no generated method grows too large.
+The first of fixed.RESCUE_RULES that matches an answer wins. An answer is tested against the alternation of each GROUP of
+rules, and against the single rules of its first group only, so that the plan does not grow with the rules.
 """
 
 from __future__ import annotations
@@ -15,86 +15,6 @@ from .metadata import header_number, number_from_file
 
 GROUP = 8
 
-# The grammar's words (fixed values).
-_ARTICLE = r"Điều\s+\d+[a-zđ]?"
-_DOTTED = r"Điều\s+\d+\.\d+"
-_CLAUSE = r"khoản\s+\d+[a-zđ]?"
-_CLAUSE_CAP = r"Khoản\s+\d+[a-zđ]?"
-_CLAUSE_ANY = r"[Kk]hoản\s+\d+[a-zđ]?"
-_POINT = r"điểm\s+[a-zđ]"
-_GROUNDS = r"Căn cứ\s+"
-_GROUNDS_WIDE = r"Căn\s+cứ\s+"
-_BY = r"Theo\s+"
-_OF = r"\s*của"
-_NO_NUMBER = r"\s+văn\s+bản\s+không\s+có\s+số\s+hiệu"
-_KIND4 = r"(?:Nghị định|Thông tư|Luật|Quyết định)"
-_KIND3 = r"(?:Nghị định|Thông tư|Luật)"
-_THIS = r"\s+này"
-_SEP = r"\s*,?\s*"
-_APPENDIX = r"[Pp]hụ\s+lục\s+[IVX\d]+\s+kèm\s+theo"
-_GUIDE = r"Theo\s+hướng\s+dẫn\s+tại\s+mục\s+[\d.]+"
-
-
-def rules() -> list[tuple[str, str, str, bool]]:
-    """(pattern, text before the number, text after it, with date and issuer); group 1 stays before, group 2 after it."""
-    out: list[tuple[str, str, str, bool]] = []
-
-    def add(pattern: str, lead: str = " ", tail: str = "", full: bool = False) -> None:
-        out.append((pattern, lead, tail, full))
-
-    # A number that is said to be missing.
-    for start in (_BY, _GROUNDS):
-        for place in (rf"{_POINT}\s+{_CLAUSE}\s*{_ARTICLE}", rf"{_CLAUSE}\s*{_ARTICLE}", rf"{_ARTICLE}{_SEP}{_CLAUSE_CAP}", _ARTICLE):
-            add(rf"({start}{place}{_OF}){_NO_NUMBER}", full=True)
-    for place in (rf"{_GUIDE}{_OF}", rf"Theo\s+[Mm]ục\s+[\d.]+{_SEP}Điểm\s+[a-zđ]{_OF}", rf"Theo\s+Điểm\s+[\d.]+\s*Điều\s+\d+{_OF}", rf"{_GROUNDS_WIDE}[Kk]hoản\s+\d+{_OF}", r"ban\s+hành\s+kèm\s+theo"):
-        add(rf"({place}){_NO_NUMBER}", full=True)
-    add(rf"của{_NO_NUMBER}", lead="của ", full=True)
-    # A number that is said to be unclear.
-    add(rf"(của)\s+{_KIND4}\s+chưa\s+rõ\s+số\s+hiệu")
-    add(rf"{_KIND4}\s+chưa\s+rõ\s+số\s+hiệu", lead="")
-    # "of the decree," without a number.
-    for place in (rf"{_GROUNDS_WIDE}{_CLAUSE_ANY}\s*{_ARTICLE}", rf"{_GROUNDS_WIDE}{_ARTICLE}", rf"{_BY}{_CLAUSE_ANY}\s*{_ARTICLE}", rf"{_BY}{_ARTICLE}", rf"{_BY}Điểm\s+[a-zđ]\s+{_CLAUSE_ANY}\s*{_ARTICLE}", rf"{_GROUNDS_WIDE}theo\s+{_CLAUSE_ANY}\s*{_ARTICLE}"):
-        add(rf"({place}{_OF})\s+{_KIND4}\s*,", tail=",")
-    # "of this decree".
-    for place in (rf"{_ARTICLE}{_OF}", _APPENDIX, rf"quy\s+định\s+tại\s+{_ARTICLE}{_OF}", rf"quy\s+định\s+tại\s+{_APPENDIX}"):
-        add(rf"({place})\s+{_KIND4}{_THIS}")
-    add(rf"(Theo\s+[Kk]hoản\s+\d+{_OF})\s+văn\s+bản", full=True)
-    add(rf"({_GUIDE})\s*,", tail=",")
-    # "this decree" after a place.
-    for place in (rf"{_ARTICLE}{_SEP}{_CLAUSE_ANY}{_SEP}{_POINT}", rf"{_ARTICLE}{_SEP}{_CLAUSE_ANY}", _ARTICLE):
-        add(rf"({_GROUNDS}{place})\s+{_KIND3}{_THIS}")
-    add(rf"({_GROUNDS}{_ARTICLE})\s*,\s*{_KIND3}{_THIS}")
-    add(rf"({_GROUNDS}{_CLAUSE_ANY}{_SEP}{_ARTICLE})\s+{_KIND3}{_THIS}")
-    add(rf"({_GROUNDS}{_DOTTED}){_SEP}{_KIND3}{_THIS}")
-    for place in (rf"{_CLAUSE_ANY}\s*{_ARTICLE}", _ARTICLE):
-        add(rf"({_BY}{place})\s+{_KIND3}{_THIS}")
-    add(rf"({_BY}{_CLAUSE_ANY}\s*{_ARTICLE})\s+(?:Thông tư|Nghị định)\s+hướng\s+dẫn")
-    add(r"(Căn cứ\s+[Pp]hụ lục kèm theo)\s+(?:Nghị định|Thông tư)")
-    for place in (rf"{_ARTICLE}{_SEP}{_CLAUSE_ANY}", _ARTICLE):
-        add(rf"({_GROUNDS}{place})\s+Luật\s+BHXH(\s*:)")
-    # Bare places before a colon or comma.
-    for place, mark in (
-        (rf"{_ARTICLE}{_SEP}{_CLAUSE_ANY}{_SEP}{_POINT}", ":"),
-        (rf"{_ARTICLE}{_SEP}{_CLAUSE_ANY}", ":"),
-        (rf"{_ARTICLE}{_SEP}[Kk]hoản\s+[a-zđ]", ":"),
-        (_ARTICLE, ":"),
-        (_ARTICLE, ","),
-        (_DOTTED, ","),
-        (rf"{_CLAUSE_ANY}{_SEP}{_ARTICLE}", ":"),
-        (_CLAUSE_ANY, ":"),
-        (rf"{_POINT}\s+[Kk]hoản\s+\d+", ":"),
-    ):
-        add(rf"({_GROUNDS}{place})(\s*{mark})")
-    for place in (rf"{_ARTICLE}{_SEP}{_CLAUSE_ANY}", _ARTICLE):
-        add(rf"({_BY}{place})(\s*,)")
-    add(r"(Căn cứ\s+[Vv]í dụ\s+\d+\s+Điều\s+\d+)(\s+)")
-    add(r"(Căn cứ\s+[Vv]í dụ\s+\d+)(\s+trong\s+văn\s+bản)")
-    add(r"(Căn cứ\s+mục\s+\d+\s+[Hh]ướng\s+dẫn)(\s*:?)")
-    add(r"(Căn cứ\s+[Pp]hần\s+[IVX\d]+\.?\d*[a-z]?)(\s*:)")
-    add(r"(Căn cứ\s+quy\s+định\s+tại)(\s+)", tail=",")
-    return out
-
-
 def has_number(answer: Column | str) -> Column:
     a = F.coalesce(F.col(answer) if isinstance(answer, str) else answer, F.lit(""))
     return ~F.lower(a).contains(X.NO_NUMBER) & matches(a, X.RESCUED_NUMBER, "")
@@ -110,7 +30,9 @@ def resolve_numbers(qa: DataFrame, docs: DataFrame, source: str = "source_doc")
     docs: file_name, content, metadata (of extract_metadata) and perhaps seq; of several rows with a name the last counts.
     """
     order = F.col("seq") if "seq" in docs.columns else F.lit(0)
-    own = F.struct("metadata", header_number("content", truncated_decrees=False).alias("n"))
+    # The content is only looked at where the metadata has no number.
+    number = F.when(F.length("metadata.doc_number") > 0, F.lit(None)).otherwise(header_number("content", truncated_decrees=False))
+    own = F.struct("metadata", number.alias("n"))
     known = docs.groupBy(F.col("file_name").alias("_f")).agg(F.max_by(own, order).alias("_d"))
     m, n = F.col("_d.metadata"), F.col("_d.n")
     none = F.lit(None).cast("string")
@@ -124,38 +46,46 @@ def resolve_numbers(qa: DataFrame, docs: DataFrame, source: str = "source_doc")
     return qa.join(known, F.col(source) == F.col("_f"), "left").withColumn("doc_info", found).drop("_f", "_d")
 
 
+def _any(rules: list) -> str:
+    """One pattern for several rules; most places of a text fail at the first letter."""
+    return f"(?U)(?=[{X.RESCUE_LETTERS}])(?:" + "|".join(p for p, *_ in rules) + ")"
+
+
+def applies(answer: Column | str) -> Column:
+    """Whether any rule matches. A predicate on the plain column: filters on it may be pushed below the rewriting."""
+    return (F.col(answer) if isinstance(answer, str) else answer).rlike(_any(X.RESCUE_RULES))
+
+
 def rewritten(df: DataFrame, answer: str = "answer", info: str = "doc_info", to: str = "_new") -> DataFrame:
     """df with `to`: the answer after the first rule that matches it (which always changes it), else null.
 
-    The rules are tried as short-circuited predicates; only the one that matched is then applied, at its first place.
+    Only the rule that matched is applied, at its first place.
     """
     plain = F.concat_ws(" ", F.col(f"{info}.kind"), F.col(f"{info}.number"))
     full = F.concat(plain, F.coalesce(F.concat(F.lit(" ngày "), F.col(f"{info}.issued_date")), F.lit("")), F.coalesce(F.concat(F.lit(" của "), F.col(f"{info}.issued_by")), F.lit("")))
-    every = rules()
-    which = F.lit(None).cast("int")
+    every = X.RESCUE_RULES
+    patterns = [f"(?U){p}" for p, *_ in every]
+    group = F.lit(None).cast("int")
     for at in reversed(range(0, len(every), GROUP)):
-        cases = None
-        for k in range(at, min(at + GROUP, len(every))):
-            hit = F.col(answer).rlike(f"(?U){every[k][0]}")
-            cases = F.when(hit, k + 1) if cases is None else cases.when(hit, k + 1)
-        which = F.coalesce(cases, which)
+        group = F.when(F.col(answer).rlike(_any(every[at : at + GROUP])), at).otherwise(group)
+    own = F.transform(F.slice(F.array(*map(F.lit, patterns)), F.col("_group") + 1, F.lit(GROUP)), lambda p: F.rlike(F.col(answer), p))
+    which = F.col("_group") + F.array_position(own, F.lit(True)).cast("int")
     quoted = lambda t: F.regexp_replace(t, r"([\\\$])", r"\\$1")  # noqa: E731  the replacement gives \ and $ a meaning
     parts = [(f"(?Us)\\A(.*?)(?-s:{p})", "$1" + "$2" * (count_groups(p) > 0) + lead, tail + "$3" * (count_groups(p) > 1), is_full) for p, lead, tail, is_full in every]
     pick = lambda n: F.element_at(F.array(*[F.lit(x[n]) for x in parts]), F.col("_rule"))
-    df = df.withColumn("_rule", F.when(F.col(f"{info}.number").isNotNull(), which))
+    df = df.withColumn("_group", F.when(F.col(f"{info}.number").isNotNull(), group)).withColumn("_rule", F.when(F.col("_group").isNotNull(), which))
     made = F.concat(pick(1), quoted(F.when(pick(3), full).otherwise(plain)), pick(2))
-    return df.withColumn(to, F.when(F.col("_rule").isNotNull(), F.regexp_replace(F.col(answer), pick(0), made))).drop("_rule")
+    return df.withColumn(to, F.when(F.col("_rule").isNotNull(), F.regexp_replace(F.col(answer), pick(0), made))).drop("_group", "_rule")
 
 
 def rescue(qa: DataFrame, docs: DataFrame, answer: str = "answer") -> tuple[DataFrame, DataFrame]:
     """(rescued, still bad): rows whose number resolves, whose answer has none and is not made up, and which a rule changes."""
     keep = qa.columns
-    out = rewritten(resolve_numbers(qa, docs), answer)
-    ok = F.col("doc_info").isNotNull() & ~has_number(answer) & ~is_invalid(answer) & F.col("_new").isNotNull()
-    out = out.withColumn("_ok", F.coalesce(ok, F.lit(False)))
-    good = out.filter("_ok").withColumns({answer: F.col("_new"), "rescued": F.lit(True), "doc_added": F.col("doc_info.number"), "eval_score": F.lit(10.0), "eval_reason": F.concat(F.lit(X.REASON_RESCUED), F.col("doc_info.number"))})
+    known = resolve_numbers(qa, docs)
+    ok = F.coalesce(F.col("doc_info.number").isNotNull() & ~has_number(answer) & ~is_invalid(answer) & applies(answer), F.lit(False))
+    good = rewritten(known.filter(ok), answer).withColumns({answer: F.col("_new"), "rescued": F.lit(True), "doc_added": F.col("doc_info.number"), "eval_score": F.lit(10.0), "eval_reason": F.concat(F.lit(X.REASON_RESCUED), F.col("doc_info.number"))})
     extra = [c for c in ("rescued", "doc_added", "eval_score", "eval_reason") if c not in keep]
-    return good.select(*keep, *extra), out.filter(~F.col("_ok")).select(*keep)
+    return good.select(*keep, *extra), known.filter(~ok).select(*keep)
 
 
 def fix_placeholders(qa: DataFrame, docs: DataFrame, answer: str = "answer") -> DataFrame:
