@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import c, normalized, question_key, rounded, short_md5, strip
+from ..sources.storage import cut, written
+
+#: Keys that one task may fold in order.
+SMALL_REST = 200_000
 
 
 def dedup_question_hash(df: DataFrame, question: str = "question", order: str = "seq") -> DataFrame:
@@ -15,28 +19,28 @@ def dedup_question_hash(df: DataFrame, question: str = "question", order: str =
     return keyed.join(first, ["question_hash", order], "left_semi")
 
 
-def fold_pairs(df: DataFrame, question: str = "question", answer: str = "answer", order: str = "seq") -> DataFrame:
+def fold_pairs(df: DataFrame, question: str = "question", answer: str = "answer", order: str = "seq", small_rest: int = SMALL_REST) -> DataFrame:
     """df with opener and kept: the greedy order-first matching between question keys and answer keys.
 
     A row opens a slot if its question is new and its answer was not seen with an opened question; later rows of an
     opened question compete with a longer answer, the first of the longest stays in the opener's place. Each round finds
     all rows that are first of both their question and their answer among what is left and removes what they block, over
-    distinct (question, answer) keys only, until none is left: as many rounds as half the longest chain of keys.
+    distinct (question, answer) keys only. Once at most small_rest keys are left (they were counted), one task folds them in
+    order, so that long chains of few keys do not take a round for each link.
     """
-    spark = df.sparkSession
     rows = df.withColumns({"_q": F.md5(question_key(question)), "_a": F.md5(question_key(answer)), "_len": F.length(F.coalesce(c(answer), F.lit("")))})
     left = rows.groupBy("_q", "_a").agg(F.min(order).alias("_s"))
     opened = None
     while True:
         first_q = left.groupBy("_q").agg(F.min("_s").alias("_qs"))
         first_a = left.groupBy("_a").agg(F.min("_s").alias("_as"))
-        now = left.join(first_q, "_q").join(first_a, "_a").filter("_s = _qs and _s = _as").select("_q", "_a", "_s")
-        now = _cut(spark, now)
+        now = cut(left.join(first_q, "_q").join(first_a, "_a").filter("_s = _qs and _s = _as").select("_q", "_a", "_s"))
         opened = now if opened is None else opened.unionByName(now)
-        left = left.join(now.select("_q"), "_q", "left_anti").join(now.select("_a"), "_a", "left_anti")
-        left = _cut(spark, left)
-        if left.isEmpty():
+        left = cut(left.join(now.select("_q"), "_q", "left_anti").join(now.select("_a"), "_a", "left_anti"))
+        if (rest := left.count()) <= small_rest:
             break
+    if rest:
+        opened = opened.unionByName(_opened_in_order(left))
     slots = opened.select("_q", F.col("_s").alias("opener"))
     rivals = rows.join(slots, "_q").filter(F.col(order) >= F.col("opener"))
     best = rivals.groupBy("_q").agg(F.min(F.struct(-F.col("_len"), F.col(order).alias("s"))).alias("b")).select("_q", F.col("b.s").alias("_best"))
@@ -44,10 +48,24 @@ def fold_pairs(df: DataFrame, question: str = "question", answer: str = "answer"
     return out.drop("_q", "_a", "_len", "_best")
 
 
-def _cut(spark, df: DataFrame) -> DataFrame:
-    from ..sources.storage import cut
+def _opened_in_order(left: DataFrame) -> DataFrame:
+    """_q, _a, _s of the keys that open a slot; one task, for a small rest."""
+    import pyarrow as pa
+
+    def run(batches):
+        questions, answers = set(), set()
+        for b in batches:
+            q, a = b.column(0).to_pylist(), b.column(1).to_pylist()
+            keep = []
+            for k, (x, y) in enumerate(zip(q, a, strict=True)):
+                if x not in questions and y not in answers:
+                    questions.add(x)
+                    answers.add(y)
+                    keep.append(k)
+            yield b.take(pa.array(keep, pa.int64()))
 
-    return cut(df)
+    own = left.select("_q", "_a", "_s")
+    return own.repartition(1).sortWithinPartitions("_s").mapInArrow(run, own.schema)
 
 
 def dedup_pairs(df: DataFrame, **columns) -> tuple[DataFrame, DataFrame]:
@@ -63,32 +81,37 @@ def trigrams(x):
     return F.when(F.length(t) >= 3, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
 
 
-def near_pairs(df: DataFrame, question: str = "question", order: str = "seq", threshold: float = 0.8, limit: int | None = 2000, band: int = 99) -> DataFrame:
+def near_pairs(df: DataFrame, question: str = "question", order: str = "seq", threshold: float = 0.8, limit: int | None = None, band: int = 99) -> DataFrame:
     """i, j, similarity: pairs of questions at most `band` places apart whose trigram sets are alike but not equal.
 
     A band join: places fall into buckets of band + 1, and a row meets its own and the next bucket by an equi-join, so
-    the work is rows x band. limit bounds the rows that are compared; None compares all.
+    the work is rows x band. All rows are compared; limit, which is off, bounds them to the first ones.
     """
     base = df.select(F.col(order).alias("_o"), trigrams(question).alias("g"))
-    numbered = _numbered(base, "_o")
+    numbered = in_order(base, "_o").withColumn("size", F.size("g"))
     if limit is not None:
         numbered = numbered.filter(F.col("i") < limit)
     width = band + 1
-    left = numbered.select("i", "g", F.floor(F.col("i") / width).alias("b"))
-    right = left.select(F.col("i").alias("j"), F.col("g").alias("h"), F.explode(F.array(F.col("b"), F.col("b") - 1)).alias("b"))
-    pairs = left.join(right, "b").filter((F.col("j") > F.col("i")) & (F.col("j") <= F.col("i") + band))
+    left = numbered.select("i", "g", "size", F.floor(F.col("i") / width).alias("b"))
+    right = left.select(F.col("i").alias("j"), F.col("g").alias("h"), F.col("size").alias("other"), F.explode(F.array(F.col("b"), F.col("b") - 1)).alias("b"))
+    close = (F.col("j") > F.col("i")) & (F.col("j") <= F.col("i") + band)
+    alike = F.least("size", "other") >= F.lit(threshold) * F.greatest("size", "other")  # sets of other sizes can't be alike
+    pairs = left.join(right, "b").filter(close & alike)
     shared = F.size(F.array_intersect("g", "h"))
-    pairs = pairs.withColumn("n", shared).withColumn("s", F.col("n") / F.greatest(F.size("g") + F.size("h") - F.col("n"), F.lit(1)))
+    pairs = pairs.withColumn("n", shared).withColumn("s", F.col("n") / F.greatest(F.col("size") + F.col("other") - F.col("n"), F.lit(1)))
     return pairs.filter((F.col("s") >= threshold) & (F.col("s") < 1)).select("i", "j", rounded(F.col("s"), 3).alias("similarity"))
 
 
-def _numbered(df: DataFrame, order: str, step: int = 100_000) -> DataFrame:
-    """Places from 0 by order: counts of steps are added up, and each step is ordered in its own task."""
-    stepped = df.withColumn("_step", F.floor(F.col(order) / step))
-    counts = stepped.groupBy("_step").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    place = F.row_number().over(Window.partitionBy("_step").orderBy(order)) - 1
-    return stepped.withColumn("_in", place).join(before, "_step").withColumn("i", F.col("_before") + F.col("_in")).drop("_step", "_in", "_before")
+def in_order(df: DataFrame, order: str) -> DataFrame:
+    """df with i, its place from 0 by order. Rows are dealt by ranges of order and sorted in their tasks; the counts of the
+    tasks are added up, so that no task holds all rows whatever the values of order are."""
+    place = F.monotonically_increasing_id()
+    dealt = written(df.repartitionByRange(order).sortWithinPartitions(order).withColumn("_place", place), "in-order")
+    task = F.shiftrightunsigned("_place", 33)
+    counts = dealt.groupBy(task.alias("_task")).agg(F.count("*").alias("_n"))  # a row per task
+    before = counts.select("_task", F.coalesce(F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = F.col("_place") - F.shiftleft(task, 33)
+    return dealt.withColumn("_task", task).join(F.broadcast(before), "_task").withColumn("i", F.col("_before") + inside).drop("_task", "_place", "_before")
 
 
 def duplicate_groups(df: DataFrame, question: str = "question", answer: str = "answer") -> DataFrame:

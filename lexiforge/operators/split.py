@@ -22,12 +22,14 @@ def document_key(df: DataFrame):
     return first_filled(*[n for n in ("source_doc", "source", "doc_id", "document") if n in df.columns])
 
 
-def split_by_document(df: DataFrame, train: float = 0.70, validation: float = 0.15, seed: int = 42, exact: bool = False, order: str = "seq") -> DataFrame:
+def split_by_document(df: DataFrame, train: float = 0.70, validation: float = 0.15, seed: int = 42, exact: bool = False, order: str = "seq", most: int = 1_000_000) -> DataFrame:
     """df with split. Documents are ranked by a hash of seed and name; exact ranks them as Python's seeded shuffle of the
-    names in order of first appearance does (the distinct names then go to the driver, which the hash rank avoids)."""
+    names in order of first appearance does: the distinct names then go to the driver, so more than `most` are an error."""
     df = df.withColumn("_doc", document_key(df).cast("string"))
     docs = df.groupBy("_doc").agg(F.min(order).alias("_first")) if order in df.columns else df.select("_doc").distinct().withColumn("_first", F.lit(0))
     if exact:
+        if (n := docs.count()) > most:
+            raise ValueError(f"{n} documents are too many for an exact shuffle; ranks by hash have no such bound")
         names = [r["_doc"] for r in docs.orderBy("_first", "_doc").select("_doc").collect()]
         random.Random(seed).shuffle(names)
         first, second = thresholds(len(names), train, validation)

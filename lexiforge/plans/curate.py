@@ -66,8 +66,8 @@ class Curation:
 
     @staticmethod
     def with_seq(pairs: DataFrame) -> DataFrame:
-        """seq: a stable ordinal by document, chunk and place."""
-        return pairs.withColumn("seq", F.shiftleft(F.abs(F.xxhash64("source_doc")) % 2**31, 31) + F.col("chunk_id") * 1024 + F.col("place"))
+        """seq: document, chunk and place as a text that sorts like them; no two rows share one."""
+        return pairs.withColumn("seq", F.concat_ws("|", F.coalesce("source_doc", F.lit("")), F.lpad(F.col("chunk_id").cast("string"), 10, "0"), F.lpad(F.col("place").cast("string"), 6, "0")))
 
     def retry_failed(self) -> DataFrame:
         """Asks again for failed chunks only and adds what comes to the pairs."""
