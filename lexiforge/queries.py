@@ -1,7 +1,8 @@
 """The queries of the curation engine over the driver's tables, each with DuckDB SQL where SQL can express it.
 
-Pairs are derived from `documents` by the expressions in QA, which both engines read: eight kinds of answers and four of
-questions make every branch of the rules occur.
+Pairs are derived from `documents` by the expressions in QA, which both engines read: eight kinds of answers, each before a
+whole text, and four kinds of questions make every branch of the rules occur. A question is a short text by nature: it is made
+of the first 60 characters of a document, which is how the pairs are defined and no limit of a query.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ QA = [
     "'d' || CAST(doc_id % 40 AS VARCHAR(20)) AS source_doc",
     "CAST(doc_id % 7 AS INT) AS chunk_id",
     "CASE doc_id % 11 WHEN 3 THEN 'Thông tư này quy định ' WHEN 5 THEN 'Văn bản này là gì ' WHEN 7 THEN 'Tôi muốn biết Nghị định này áp dụng ' ELSE '' END || substring(text, 1, 60) || CASE doc_id % 5 WHEN 0 THEN '' ELSE '?' END AS question",
-    "CASE doc_id % 8 WHEN 0 THEN 'Căn cứ Điều 12, Khoản 3 Luật số 41/2024/QH15, mức hưởng là 75%. ' WHEN 1 THEN 'Theo Nghị định số 158/2025/NĐ-CP thì thời hạn là 30 ngày. ' WHEN 2 THEN 'Căn cứ Điều 21, Khoản 2 Thông tư này, mức đóng là 8%. ' WHEN 3 THEN 'Theo quy định tại văn bản hiện hành, người lao động được hưởng. ' WHEN 4 THEN 'Điều 5 nêu rõ trợ cấp 2 triệu đồng. ' WHEN 5 THEN '' WHEN 6 THEN 'Theo Điều 7 của văn bản không có số hiệu, mức hưởng là 60%. ' ELSE 'Căn cứ Điều 9: trợ cấp 3 tháng lương theo 58/2014/QH13 và Thông tư 59/2015/TT-BLDTBXH. ' END || substring(text, 1, 200) AS answer",
+    "CASE doc_id % 8 WHEN 0 THEN 'Căn cứ Điều 12, Khoản 3 Luật số 41/2024/QH15, mức hưởng là 75%. ' WHEN 1 THEN 'Theo Nghị định số 158/2025/NĐ-CP thì thời hạn là 30 ngày. ' WHEN 2 THEN 'Căn cứ Điều 21, Khoản 2 Thông tư này, mức đóng là 8%. ' WHEN 3 THEN 'Theo quy định tại văn bản hiện hành, người lao động được hưởng. ' WHEN 4 THEN 'Điều 5 nêu rõ trợ cấp 2 triệu đồng. ' WHEN 5 THEN '' WHEN 6 THEN 'Theo Điều 7 của văn bản không có số hiệu, mức hưởng là 60%. ' ELSE 'Căn cứ Điều 9: trợ cấp 3 tháng lương theo 58/2014/QH13 và Thông tư 59/2015/TT-BLDTBXH. ' END || text AS answer",
 ]
 LAWS = [
     ("41/2024/QH15", "Bảo hiểm xã hội", "Luật", "2025-07-01", None),
@@ -35,7 +36,7 @@ LAWS = [
     ("74/2025/QH15", "Việc làm", "Luật", "2027-01-01", None),
     ("59/2015/TT-BLDTBXH", "Hướng dẫn", "Thông tư", "2016-02-15", "2025-12-01"),
 ]
-HEADERS = "CASE doc_id % 6 WHEN 0 THEN 'Luật số: 41/2024/QH15' WHEN 1 THEN 'Số: 143/2018/NĐ - CP' WHEN 2 THEN 'Số: 12/2025/TT-BNV' WHEN 3 THEN 'Số: 2222/QĐ-BHXH' WHEN 4 THEN 'Số: 143/2018/NĐ' ELSE 'Không số' END || chr(10) || CASE doc_id % 4 WHEN 0 THEN 'Hà Nội, ngày 5 tháng 7 năm 2025' WHEN 1 THEN 'ngày 31 tháng 2 năm 2024' WHEN 2 THEN 'ngày 12 tháng 11 năm 2018' ELSE '' END || chr(10) || CASE doc_id % 3 WHEN 0 THEN 'Chính phủ ban hành' WHEN 1 THEN 'Bộ Y Te ban hành' ELSE '' END || chr(10) || 'THÔNG TƯ' || chr(10) || substring(text, 1, 300)"
+HEADERS = "CASE doc_id % 6 WHEN 0 THEN 'Luật số: 41/2024/QH15' WHEN 1 THEN 'Số: 143/2018/NĐ - CP' WHEN 2 THEN 'Số: 12/2025/TT-BNV' WHEN 3 THEN 'Số: 2222/QĐ-BHXH' WHEN 4 THEN 'Số: 143/2018/NĐ' ELSE 'Không số' END || chr(10) || CASE doc_id % 4 WHEN 0 THEN 'Hà Nội, ngày 5 tháng 7 năm 2025' WHEN 1 THEN 'ngày 31 tháng 2 năm 2024' WHEN 2 THEN 'ngày 12 tháng 11 năm 2018' ELSE '' END || chr(10) || CASE doc_id % 3 WHEN 0 THEN 'Chính phủ ban hành' WHEN 1 THEN 'Bộ Y Te ban hành' ELSE '' END || chr(10) || 'THÔNG TƯ' || chr(10) || text"
 
 QA_SQL = f"qa AS (SELECT {', '.join(QA)} FROM documents)"
 LAWS_SQL = "laws AS (SELECT * FROM (VALUES " + ", ".join(f"({k}, '{i}', '{n}', '{t}', DATE '{e}', {f'DATE {x!r}' if x else 'NULL::DATE'})" for k, (i, n, t, e, x) in enumerate(LAWS)) + ") v(ord, id, name, type, effective_date, expiry_date))"
@@ -195,7 +196,7 @@ def _(spark, d):
 
 FOLD_SQL = f"""
 WITH RECURSIVE {QA_SQL},
-k AS (SELECT *, row_number() OVER (ORDER BY seq) AS i, lower({STRIP.format('question')}) AS q, lower({STRIP.format('answer')}) AS a, length(answer) AS n FROM qa),
+k AS (SELECT *, row_number() OVER (ORDER BY seq) AS i, md5(lower({STRIP.format('question')})) AS q, md5(lower({STRIP.format('answer')})) AS a, length(answer) AS n FROM qa),
 r AS (SELECT 0::BIGINT AS i, []::VARCHAR[] AS qs, []::VARCHAR[] AS ans, []::BIGINT[] AS os
   UNION ALL SELECT k.i, CASE WHEN list_contains(qs, q) OR list_contains(ans, a) THEN qs ELSE list_append(qs, q) END,
     CASE WHEN list_contains(qs, q) OR list_contains(ans, a) THEN ans ELSE list_append(ans, a) END,
@@ -223,7 +224,7 @@ def _(spark, d):
 @query(
     "near_dup_pairs",
     f"""WITH {QA_SQL}, t AS MATERIALIZED (SELECT count(*) OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING) - 1 AS i, lower({STRIP.format('question')}) AS s FROM qa),
-g AS (SELECT i, CASE WHEN length(s) < 3 THEN [] ELSE list_distinct(list_transform(range(1, length(s) - 1), lambda k: substring(s, k, 3))) END AS g FROM t WHERE i < 2000),
+g AS (SELECT i, CASE WHEN length(s) < 3 THEN [] ELSE list_distinct(list_transform(range(1, length(s) - 1), lambda k: substring(s, k, 3))) END AS g FROM t),
 p AS (SELECT a.i, b.i AS j, len(list_intersect(a.g, b.g)) AS n, len(a.g) + len(b.g) AS m FROM g a JOIN g b ON b.i > a.i AND b.i < a.i + 100)
 SELECT i, j, round_even(n / greatest(m - n, 1), 3) AS similarity FROM p WHERE n / greatest(m - n, 1) >= 0.8 AND n / greatest(m - n, 1) < 1""",
 )
@@ -260,10 +261,10 @@ def pct(condition: str, name: str) -> str:
     return f"count(*) FILTER ({condition}) || ' (' || printf('%.1f', round_even(count(*) FILTER ({condition}) / count(*) * 100, 1)) || '%)' AS {name}"
 
 
-CITED = {"with_doc_number": r"\d+/\d{4}/[A-Za-z\-]+", "with_article": r"[Dd]iều\s+\d+", "with_clause": r"[Kk]hoản\s+\d+", "with_point": r"điểm\s+[a-zđ]"}
+CITED = X.CHECKED_CITATIONS
 report_query("check_citations", report.check_citations, "SELECT " + ", ".join(pct(hit("answer", p), n) for n, p in CITED.items()) + ", " + pct("NOT (" + " OR ".join(hit("answer", p) for p in CITED.values()) + ")", "no_citation") + " FROM e")
 report_query("check_format", report.check_format, "SELECT " + pct(f"NOT suffix({SQ}, '?')", "no_question_mark") + ", " + pct("regexp_matches(question, '^\\p{Ll}')", "starts_lowercase") + ", " + pct("contains(answer, '...') OR contains(answer, '____') OR contains(answer, '…')", "has_placeholder") + " FROM e")
-report_query("check_content", report.check_content, "SELECT " + pct(hit("lower(answer)", "không thể trả lời|cần thêm thông tin|tùy thuộc vào|liên hệ.*để biết thêm", ""), "vague_answers") + ", " + pct(hit("lower(question)", "^(thông tư|nghị định|luật|văn bản) này", ""), "generic_questions") + " FROM e")
+report_query("check_content", report.check_content, "SELECT " + pct(hit("lower(answer)", X.VAGUE_ANSWER, ""), "vague_answers") + ", " + pct(hit("lower(question)", X.GENERIC_QUESTION, ""), "generic_questions") + " FROM e")
 report_query("doc_distribution_ends", report.distribution, "SELECT 'top' AS part, source_doc, n FROM (SELECT source_doc, count(*) AS n, min(seq) AS f FROM e GROUP BY 1 ORDER BY n DESC, f LIMIT 5) UNION ALL SELECT 'bottom', source_doc, n FROM (SELECT source_doc, count(*) AS n, min(seq) AS f FROM e GROUP BY 1 ORDER BY n, f DESC LIMIT 5)")
 report_query("doc_distribution_totals", report.distribution_totals, "SELECT count(*) AS total_documents, avg(n) AS avg_qa_per_doc, max(n) AS max_qa, min(n) AS min_qa FROM (SELECT count(*) AS n FROM e GROUP BY source_doc)")
 report_query(
@@ -377,7 +378,7 @@ def _(spark, d):
 
 def _rewrite_sql() -> str:
     cases = []
-    for pattern, lead, tail, full in rescue.rules():
+    for pattern, lead, tail, full in X.RESCUE_RULES:
         groups = T.count_groups(pattern)
         text = f"{sq(chr(92) + '1' if groups else '')} || {sq(lead)} || {'full_n' if full else 'plain_n'} || {sq(tail + (chr(92) + '2' if groups > 1 else ''))}"
         new = f"regexp_replace(answer, {sq('(?s:)' + pattern)}, {text})"
