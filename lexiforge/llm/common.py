@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.storage import cut, fresh_path, remove, shared_dir, written, written_at  # noqa: F401
+
 #: The ASCII white space that the operators' contracts name: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -15,35 +14,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_BYTES = 32 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        at = tempfile.mkdtemp(prefix="lexiforge-")
-        spark.conf.set("spark.lexiforge.checkpoint", at)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(at)
-    return at
-
-
-def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df, cut from its lineage by a Parquet table in the shared folder, so that a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df, cut from its lineage by a checkpoint (for the small frames of iterations)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def small(df: DataFrame, rows: int, bytes_a_row: int) -> DataFrame:
     """df with a broadcast hint if rows that were counted before prove that it is small; else as it is."""
     return F.broadcast(df) if rows * bytes_a_row <= BROADCAST_BYTES else df
@@ -74,7 +44,9 @@ def release() -> None:
         pass
 
 
-def slices(batch, rows: int):
-    """An Arrow batch in pieces of at most so many rows; an empty one has none."""
+def slices(batch, rows: int, size: int = 8 << 20):
+    """An Arrow batch in pieces of at most so many rows and about so many bytes; an empty one has none."""
+    each = max(1, batch.nbytes // max(1, batch.num_rows))
+    rows = max(1, min(rows, size // each))
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)

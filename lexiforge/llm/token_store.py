@@ -13,14 +13,15 @@ from __future__ import annotations
 import io
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import col, cut, fresh_path, release, slices
-from .tokens import END_ID, ROWS, encoder
+from .common import col, cut, fresh_path, release, remove, slices, written, written_at
+from .tokens import END_ID, ROWS, encoder, tokenizer
 
 # Fixed values of the seekable format.
 SKIPPABLE = 0x184D2A5E
@@ -29,8 +30,8 @@ SEEKABLE_FOOTER = 0x8F92EAB1
 WITH_CHECKSUMS = 0x80
 
 FRAME_BYTES = 1 << 20
-#: Text bytes of one file, about; a task holds one file's texts while they are sorted.
-FILE_BYTES = 32 << 20
+#: ids of one file, about, and the most files: beyond FILES * FILE_IDS ids files grow (a task's sort spills).
+FILE_IDS, FILES = 8 << 20, 16_384
 LEVEL = 3
 
 
@@ -47,7 +48,8 @@ class Writer:
         import zstandard
 
         self.out, self.frame_bytes, self.zstd = out, frame_bytes, zstandard.ZstdCompressor(level=level)
-        self.pending, self.size, self.frames, self.ids, self.null, self.counts, self.frame_of = [], 0, [], [], [], [], []
+        self.pending, self.size, self.frames = [], 0, []
+        self.ids, self.null, self.counts, self.frame_of = array("q"), array("B"), array("Q"), array("I")
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         if self.size and self.size + len(ids) > self.frame_bytes:
@@ -69,7 +71,7 @@ class Writer:
     def close(self) -> None:
         if self.pending:
             self._flush()
-        index = self.zstd.compress(b"".join([np.array(self.ids, "<i8").tobytes(), np.array(self.null, "u1").tobytes(), np.array(self.counts, "<u8").tobytes(), np.array(self.frame_of, "<u4").tobytes()]))
+        index = self.zstd.compress(b"".join(np.array(x).astype(kind).tobytes() for x, kind in ((self.ids, "<i8"), (self.null, "u1"), (self.counts, "<u8"), (self.frame_of, "<u4"))))
         self.out.write(struct.pack("<III", SKIPPABLE_INDEX, len(index) + 4, len(self.ids)) + index)
         table = b"".join(struct.pack("<III", *f) for f in self.frames) + struct.pack("<IBI", len(self.frames), WITH_CHECKSUMS, SEEKABLE_FOOTER)
         self.out.write(struct.pack("<II", SKIPPABLE, len(table)) + table)
@@ -138,24 +140,50 @@ def opened(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
-def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> DataFrame:
+def binaries(data, ends: np.ndarray):
+    """A binary Arrow array of consecutive parts of a buffer; ends: where each ends, in bytes."""
+    import pyarrow as pa
+
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.r_[0, ends].astype(np.int32)), pa.py_buffer(data)])
+
+
+def encoded(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """id, ids (little-endian numbers of the narrowest type that holds the vocabulary) of every row; that type."""
+    import pyarrow as pa
+
+    kind = "<u2" if tokenizer(tokenizer_path).get_vocab_size() <= 1 << 16 else "<u4"
+    width = np.dtype(kind).itemsize
+
+    def run(batches: Iterator) -> Iterator:
+        own = encoder(tokenizer_path)
+        for b in (part for whole in batches for part in slices(whole, ROWS)):
+            ids, ends = own.flat(b.column(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), binaries(ids.astype(kind), width * ends)], names=["id", "ids"])
+        release()
+
+    rows = docs.select(col(docs, id_col).cast("long").alias("id"), col(docs, text_col).alias("t"))
+    return rows.mapInArrow(run, "id long, ids binary"), kind
+
+
+def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, file_ids: int = FILE_IDS, files: int = FILES) -> DataFrame:
     """Encodes every text (null: empty), appends end_id, writes files in ascending id order; returns their manifest.
 
     Manifest: file_no, path, n_docs, n_ids, n_bytes. Null ids come first; repeated ids stand next to each other. Other
-    columns are ignored. An empty table has an empty manifest. path: a folder that all executors share; file_bytes: about so many
-    bytes of text go to one file.
+    columns are ignored. An empty table has an empty manifest. path: a folder that all executors share; file_ids: about so
+    many ids go to one file, more where that would make more than `files` files. Texts are encoded where they are read;
+    only ids are shuffled. Rows of one id are told apart by their place, so that they may fill several files.
     """
     import pyarrow as pa
 
     spark = docs.sparkSession
     path = path or fresh_path(spark, "token-files")
+    ids, kind = encoded(docs, tokenizer_path, id_col, text_col)
 
     def run(batches: Iterator) -> Iterator:
         from pyspark import TaskContext
 
         no, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
-        own, out, writer, size = encoder(tokenizer_path), None, None, 0
-        end = np.array([end_id], "<u4").tobytes()
+        out, writer, end = None, None, np.array([end_id], "<u4").tobytes()
         system, folder = opened(path)
         temporary, final = f"{folder}/_{no:06d}.{attempt}", f"{folder}/tokens-{no:06d}.zst"
         for b in batches:
@@ -164,24 +192,23 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None,
                 out = system.open_output_stream(temporary)
                 writer = Writer(out)
             for part in slices(b, ROWS):
-                for x, ids in zip(part.column(0).to_pylist(), own.many(part.column(1)), strict=True):
-                    writer.add(x, ids.tobytes() + end)
+                for x, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    writer.add(x, np.frombuffer(raw, kind).astype("<u4").tobytes() + end)
         if writer is not None:
             writer.close()
             size = out.tell()
             out.close()
             system.move(temporary, final)
-            release()
             yield pa.RecordBatch.from_pydict({"file_no": pa.array([no], pa.int32()), "path": [f"{path}/tokens-{no:06d}.zst"], "n_docs": [len(writer.ids)], "n_ids": [sum(writer.counts)], "n_bytes": [size]})
 
-    ids = docs.select(col(docs, id_col).cast("long").alias("id"), col(docs, text_col).alias("t"))
-    chars = ids.agg(F.sum(F.coalesce(F.octet_length("t"), F.lit(0)))).first()[0] or 0
-    files = int(max(1, -(-chars // file_bytes), min(spark.sparkContext.defaultParallelism, -(-chars // (8 << 20)))))
-    ordered = ids.repartitionByRange(files, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
-    manifest = ordered.mapInArrow(run, "file_no int, path string, n_docs long, n_ids long, n_bytes long")
-    at = fresh_path(spark, "token-manifest")
-    manifest.write.parquet(at)
-    return spark.read.schema(manifest.schema).parquet(at)
+    rows, at = written_at(ids.withColumn("place", F.monotonically_increasing_id()), "token-ids")
+    total = (rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0) // np.dtype(kind).itemsize
+    wanted = max(1, -(-total // file_ids), min(spark.sparkContext.defaultParallelism, -(-total // (1 << 20))))
+    order = [F.col("id").asc_nulls_first(), F.col("place").asc()]
+    ordered = rows.repartitionByRange(int(min(wanted, files)), *order).sortWithinPartitions(*order).select("id", "ids")
+    manifest = written(ordered.mapInArrow(run, "file_no int, path string, n_docs long, n_ids long, n_bytes long"), "token-manifest")
+    remove(spark, at)
+    return manifest
 
 
 def read_tokens(manifest: DataFrame, ids: bool = False) -> DataFrame:
@@ -189,7 +216,7 @@ def read_tokens(manifest: DataFrame, ids: bool = False) -> DataFrame:
     import pyarrow as pa
 
     spark = manifest.sparkSession
-    before = F.sum("n_ids").over(Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1))  # one row per file
+    before = F.sum("n_ids").over(Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1))  # a row per file, of which there are FILES at most
     files = cut(manifest.select("path", F.coalesce(before, F.lit(0)).alias("base")))
     n = max(1, files.count())
 
