@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
@@ -300,74 +301,166 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def spliced_count(text: str, encode, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """Tokens of a text from overlapping chunks. encode: text -> token spans [(start, end), ...] in characters.
+def _floor(raw: bytes, at: int) -> int:
+    """The place of the character that the byte at `at` belongs to."""
+    while 0 < at < len(raw) and raw[at] & 0xC0 == 0x80:
+        at -= 1
+    return min(at, len(raw))
 
-    Both chunks' encodings of an overlap are compared; they are spliced at a token boundary which both have at the same
-    place, is a stable cut of the text (between a character that isn't white space and a single space before another one)
-    and which both share with the token after and the token before it. Where there is none the overlap is doubled, up to
-    the whole rest of the text. The bound on what is encoded at once is the longest stretch without a stable cut.
+
+def _around(raw: bytes, at: int) -> tuple[str, str]:
+    """The characters before and after a byte of one's own."""
+    return raw[max(0, at - 4) : at].decode("utf-8", "ignore")[-1:], raw[at + 1 : at + 5].decode("utf-8", "ignore")[:1]
+
+
+def stable(raw: bytes, at: int) -> bool:
+    """Whether a single space between two characters that aren't white space is there: a cut of byte-level BPE."""
+    if raw[at : at + 1] != b" ":
+        return False
+    left, right = _around(raw, at)
+    return bool(left and right) and not left.isspace() and not right.isspace()
+
+
+def stable_ascii(raw: bytes, at: int) -> bool:
+    """Whether a single space between two ASCII letters or digits is there: normalisers leave it and no piece crosses it."""
+    if raw[at : at + 1] != b" ":
+        return False
+    around = "".join(_around(raw, at))
+    return len(around) == 2 and around.isascii() and around.isalnum()
+
+
+@dataclass
+class Chunk:
+    """start and width of the overlap with the chunk before; starts of the tokens; the place of its splice with the chunk before."""
+
+    start: int
+    width: int
+    tokens: np.ndarray | None = None
+    splice: int | None = None
+
+
+class Overlaps:
+    """One text in overlapping chunks, which are spliced at common token boundaries.
+
+    Both chunks' encodings of an overlap are compared. They are spliced at a boundary that both have, where both have the
+    same token before it and after it, and that is a cut which no token crosses whatever stands around it. Where there is
+    none the overlap is doubled, up to half a chunk; after that both chunks become one. The bound on what is encoded at
+    once is thus the longest stretch without such a cut.
     """
-    total, start, n = 0, 0, len(text)
-    while True:
-        end = start + chunk
-        if end >= n:
-            return total + len(encode(text[start:]))
-        left = None
-        width = overlap
-        while True:
-            right_at = max(start + 1, end - width)
-            if end >= n:
-                return total + len(encode(text[start:]))
-            left = encode(text[start:end])
-            after = min(n, end + width)
-            right = encode(text[right_at:after])
-            starts_right = {right_at + a: right_at + b for a, b in right}
-            ends_left = {start + b for _, b in left}
-            splice = -1
-            for k in range(len(left) - 1, 0, -1):
-                at = start + left[k][0]
-                if at <= right_at:
-                    break
-                if at in ends_left and starts_right.get(at) == start + left[k][1] and stable(text, at):
-                    splice, taken = at, k
-                    break
-            if splice >= 0:
-                break
-            end, width = min(n, end + width), width * 2
-        total, start = total + taken, splice
-
-
-def stable(text: str, at: int) -> bool:
-    return 0 < at < len(text) - 1 and text[at] == " " and not text[at - 1].isspace() and not text[at + 1].isspace()
+
+    def __init__(self, text: bytes, chunk: int = CHUNK, overlap: int = OVERLAP, cut=stable):
+        self.text, self.chunk, self.cut = text, chunk, cut
+        self.chunks = [Chunk(at, overlap) for at in sorted({_floor(text, k) for k in range(0, len(text), chunk)} | {0})]
+
+    def missing(self) -> list[tuple[Chunk, bytes]]:
+        """The chunks that have to be encoded next, and their texts."""
+        out = []
+        for c, after in zip(self.chunks, [*self.chunks[1:], None], strict=True):
+            if c.tokens is None:
+                end = len(self.text) if after is None else _floor(self.text, min(len(self.text), after.start + after.width))
+                out.append((c, self.text[c.start : end]))
+        return out
+
+    def align(self) -> None:
+        """Splices neighbours that are encoded; widens the overlaps of those that have no common boundary."""
+        out = self.chunks[:1]
+        for c, after in zip(self.chunks[1:], [*self.chunks[2:], None], strict=False):
+            left = out[-1]
+            if c.splice is None and left.tokens is not None and c.tokens is not None:
+                c.splice = self._splice(left.tokens, c.tokens)
+                if c.splice is None:
+                    left.tokens, c.width = None, 2 * c.width
+                    if 2 * c.width > self.chunk or after is not None and c.start + c.width > after.start:
+                        continue  # left takes its place
+            out.append(c)
+        self.chunks = out
+
+    def _splice(self, left: np.ndarray, right: np.ndarray) -> int | None:
+        common = np.intersect1d(left[left > right[0]], right) if len(right) else right
+        a, b = np.searchsorted(left, common), np.searchsorted(right, common)
+        inside = (a > 0) & (b > 0) & (a + 1 < len(left)) & (b + 1 < len(right))
+        common, a, b = common[inside], a[inside], b[inside]
+        same = (left[a - 1] == right[b - 1]) & (left[a + 1] == right[b + 1])
+        return next((at for at in common[same][::-1].tolist() if self.cut(self.text, at)), None)
+
+    def count(self) -> int:
+        """Tokens between the splices."""
+        total = 0
+        for c, after in zip(self.chunks, [*self.chunks[1:], None], strict=True):
+            total += (len(c.tokens) if after is None else int(np.searchsorted(c.tokens, after.splice))) - (0 if c.splice is None else int(np.searchsorted(c.tokens, c.splice)))
+        return total
+
+
+def spliced_counts(texts: list[bytes], token_starts, chunk: int = CHUNK, overlap: int = OVERLAP, cut=stable) -> list[tuple[int, int]]:
+    """(tokens, chunks) of each text. token_starts: texts in UTF-8 -> the byte offsets of each one's tokens."""
+    every = [Overlaps(t, chunk, overlap, cut) for t in texts]
+    while asked := [x for o in every for x in o.missing()]:
+        for (c, _), starts in zip(asked, token_starts([t for _, t in asked]), strict=True):
+            c.tokens = c.start + starts
+        for o in every:
+            o.align()
+    return [(o.count(), len(o.chunks)) for o in every]
+
+
+def _starts_by_units(own: Encoder):
+    """Token offsets from the ids: every byte-level token stands for a known number of bytes."""
+
+    def of(texts: list[bytes]) -> list[np.ndarray]:
+        import pyarrow as pa
+
+        ids, ends = own.flat(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        to = np.cumsum(own.widths[ids])
+        from_ = to - own.widths[ids]
+        return [from_[a:z] - (from_[a] if z > a else 0) for a, z in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+
+    return of
+
+
+def _groups(rows: np.ndarray, sizes: np.ndarray) -> Iterator[list[int]]:
+    """Rows in groups of about TOGETHER bytes."""
+    if len(rows):
+        group = np.cumsum(sizes[rows]) // TOGETHER
+        yield from (x.tolist() for x in np.split(rows, np.flatnonzero(np.diff(group)) + 1))
+
+
+@lru_cache(maxsize=4)
+def sentences(path: str):
+    """(the model, whether no piece has a space inside, so that texts may be spliced)."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    pieces = map(model.id_to_piece, range(len(model)))
+    return model, not any("▁" in p[1:] and set(p) != {"▁"} for p in pieces)
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """One row per input row: id, n_bytes (UTF-8), n_tokens, over_limit, n_chunks.
 
-    Null counts as empty (0 tokens). Texts of more than `chunk` characters are counted chunk by chunk with overlaps. Other
+    Null counts as empty (0 tokens). Texts of more than `chunk` bytes are counted chunk by chunk with overlaps. Other
     columns are ignored; null and repeated ids give rows of their own. .json files go to tokenizers, .model to sentencepiece.
+    Texts are encoded whole where no cut is proven: with .json files that aren't plain byte-level BPE (see byte_level), and
+    with .model files that have a piece with a space inside.
     """
     import pyarrow as pa
 
     def run(batches: Iterator) -> Iterator:
         if tokenizer_path.endswith(".model"):
-            import sentencepiece
-
-            model = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path)
-            short, spans = (lambda t: len(model.encode(t, num_threads=1))), None
+            model, splices = sentences(tokenizer_path)
+            counts_of = lambda texts: np.array([len(x) for x in model.encode(texts.to_pylist(), num_threads=1)], np.int64)
+            starts_of, cut = (lambda texts: [np.array([p.begin for p in model.encode(t.decode(), return_type="proto").pieces], np.int64) for t in texts]), stable_ascii
         else:
-            library, own = tokenizer(tokenizer_path), encoder(tokenizer_path)
-            spans = lambda t: library.encode(t, add_special_tokens=False).offsets
+            own = encoder(tokenizer_path)
+            splices, counts_of, starts_of, cut = own.by_units, own.counts, _starts_by_units(own), stable
         for b in (part for whole in batches for part in slices(whole, ROWS)):
-            texts = [x.as_py() or "" for x in b.column(1)]
-            long = [spans is not None and len(t) > chunk for t in texts]
-            whole = [t for t, far in zip(texts, long, strict=True) if not far]
-            plain = iter(own.counts(whole).tolist() if spans else map(short, whole))
-            counts = [spliced_count(t, spans, chunk, overlap) if far else next(plain) for t, far in zip(texts, long, strict=True)]
-            chunks = [-(-len(t) // chunk) if far else 1 for t, far in zip(texts, long, strict=True)]
-            sizes = [len(t.encode("utf-8", "surrogatepass")) for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([c > limit for c in counts], pa.bool_()), pa.array(chunks, pa.int32())], names=["id", "n_bytes", "n_tokens", "over_limit", "n_chunks"])
+            texts = strings(b.column(1))
+            sizes = _bytes_of(texts)
+            long = sizes > chunk if splices else np.zeros(len(sizes), bool)
+            counts, chunks = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64)
+            counts[~long] = counts_of(texts.filter(pa.array(~long)))
+            for some in _groups(np.flatnonzero(long), sizes):
+                found = spliced_counts([texts[k].as_buffer().to_pybytes() for k in some], starts_of, chunk, overlap, cut)
+                counts[some], chunks[some] = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(counts), pa.array(counts > limit), pa.array(chunks.astype(np.int32))], names=["id", "n_bytes", "n_tokens", "over_limit", "n_chunks"])
         release()
 
     ids = docs.select(col(docs, id_col).alias("id"), col(docs, text_col).alias("t"))

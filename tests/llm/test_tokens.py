@@ -25,13 +25,30 @@ def test_units_give_the_librarys_ids(texts):
     assert [x.tolist() for x in tokens.Encoder(v).many(texts)] == [library(v, t).ids for t in texts]
 
 
-@given(TEXTS, st.integers(3, 12), st.integers(1, 4))
-@settings(max_examples=120, deadline=None)
-def test_spliced_counts(text, chunk, overlap):
+@given(st.lists(TEXTS, max_size=4), st.integers(3, 12), st.integers(1, 4))
+@settings(max_examples=150, deadline=None)
+def test_spliced_counts(texts, chunk, overlap):
     import public_tokenizers
 
     v = public_tokenizers.path("byte_bpe_50k.json")
-    assert tokens.spliced_count(text, lambda t: library(v, t).offsets, chunk, overlap) == len(library(v, text).ids)
+    starts = tokens._starts_by_units(tokens.Encoder(v))
+    got = tokens.spliced_counts([t.encode() for t in texts], starts, chunk, overlap)
+    assert [n for n, _ in got] == [len(library(v, t).ids) for t in texts]
+
+
+def test_splices_lie_inside_overlaps_and_overlaps_widen(vocabulary):
+    starts = tokens._starts_by_units(tokens.Encoder(vocabulary))
+    text = ("word " * 40 + "x" * 90 + " ") * 6
+    o = tokens.Overlaps(text.encode(), 128, 8)
+    rounds = 0
+    while asked := o.missing():
+        rounds += 1
+        for (c, _), at in zip(asked, starts([t for _, t in asked]), strict=True):
+            c.tokens = c.start + at
+        o.align()
+    assert rounds > 1 and any(c.width > 8 for c in o.chunks)
+    assert all(c.start < c.splice < c.start + c.width for c in o.chunks[1:])
+    assert o.count() == len(library(vocabulary, text).ids)
 
 
 def test_counts(odd, empty, vocabulary):
@@ -50,9 +67,23 @@ def test_counts_of_sample(sample, vocabulary):
     assert got == {r.doc_id: len(library(vocabulary, r.text).ids) for r in sample.collect()}
 
 
-def test_sentencepiece_files():
+@pytest.mark.parametrize("name", ["piece_bpe_32k.model", "word_bpe_49k.json"])
+def test_other_tokenizers(sample, odd, name):
+    """Sentencepiece texts are spliced; a lower-casing word-piece file gets whole texts."""
     public = pytest.importorskip("public_tokenizers")
-    assert public.path("piece_bpe_32k.model").endswith(".model")
+    path = public.path(name)
+    if name.endswith(".model"):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        count = lambda t: len(model.encode(t))
+    else:
+        count = lambda t: len(library(path, t).ids)
+        assert not tokens.Encoder(path).by_units
+    for df in (sample, odd):
+        got = sorted((r.doc_id or -1, r.n_tokens, r.n_chunks) for r in tokens.count_tokens(df, path, chunk=700, overlap=32).collect())
+        assert [g[:2] for g in got] == sorted((r.doc_id or -1, count(r.text or "")) for r in df.collect())
+        assert (max(g[2] for g in got) > 1) == name.endswith(".model")
 
 
 def test_file_round_trip(vocabulary):
@@ -111,3 +142,19 @@ def test_table_round_trip(odd, empty, sample, vocabulary):
             assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
             start += len(ids)
     assert token_store.read_tokens(token_store.write_tokens(empty, vocabulary)).count() == 0
+
+
+def test_rows_of_one_id_fill_several_files(spark, vocabulary):
+    """A third of the rows have one id, others none; files stay even and in order, and their number is capped."""
+    rows = [((None, 5, k)[k % 3], f"text {k} " * 50) for k in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    manifest = token_store.write_tokens(df, vocabulary, file_ids=12_000).orderBy("file_no").collect()
+    assert len(manifest) >= 4
+    assert max(m.n_docs for m in manifest) <= 300
+    got = token_store.read_tokens(token_store.write_tokens(df, vocabulary, file_ids=12_000)).orderBy("start").collect()
+    assert len(got) == 600
+    keys = [(r.doc_id is not None, r.doc_id or 0) for r in got]
+    assert keys == sorted(keys)
+    few = token_store.write_tokens(df, vocabulary, file_ids=12_000, files=2)
+    assert few.count() <= 2
+    assert token_store.read_tokens(few).count() == 600
