@@ -9,21 +9,23 @@ migration a join on (shard, island); every epoch is written to the shared folder
 
 from __future__ import annotations
 
-import random
-import zlib
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, release, slices, written
+from .common import col, release, remove, slices, written, written_at
 from .tokens import END_ID, ROWS, encoder
 
 SEQUENCE = 1024
-SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 8192, 2, 2, 4, 6
-#: Bins filled to this share are injected whole.
-WELL_FILLED = 0.995
+#: Pieces of a shard; islands of a shard; epochs between which elites migrate; most tasks of an epoch.
+SHARD, ISLANDS, EPOCHS, TASKS = 8192, 2, 2, 4096
+#: Packings of an island; generations of an epoch, and those that may pass without a packing of fewer bins.
+POPULATION, GENERATIONS, STALL = 12, 400, 60
+#: Bins filled to this share are injected whole; shares of them that a child gets; share of bins that mutation dissolves.
+WELL_FILLED, SHARES, MUTATION = 0.995, (0.02, 0.1, 0.5), 0.03
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
@@ -34,41 +36,46 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     import pyarrow as pa
 
     def run(batches: Iterator) -> Iterator:
-        own = encoder(tokenizer_path)
-        end = np.array([end_id], "<u4").tobytes()
+        own, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for b in (part for whole in batches for part in slices(whole, ROWS)):
-            rows, crc = [], []
-            for k, ids in enumerate(own.many(b.column(1))):
-                raw = ids.tobytes() + end
-                n = len(raw) // 4
-                edges = [0, *range(n % size or size, n + 1, size)]
-                for no, (a, z) in enumerate(zip(edges, edges[1:], strict=False)):
-                    rows.append((k, no, a, z - a))
-                    crc.append(zlib.crc32(raw[4 * a : 4 * z]))
-            got = np.array(rows, np.int64).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(got[:, 0])), pa.array(got[:, 1].astype(np.int32)), pa.array(got[:, 2]), pa.array(got[:, 3]), pa.array(crc, pa.int64())], names=["id", "piece", "start", "length", "ids_crc32"])
+            ids, ends = own.flat(b.column(1))
+            raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+            n = np.diff(ends, prepend=0) + 1  # with the end id
+            count = -(-n // size)
+            doc = np.repeat(np.arange(len(n)), count)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+            stop = n[doc] - (count[doc] - 1 - piece) * size
+            start = np.maximum(stop - size, 0)
+            base = (ends - (n - 1))[doc]
+            last = piece == count[doc] - 1
+            spans = zip((4 * (base + start)).tolist(), (4 * (base + stop - last)).tolist(), last.tolist(), strict=True)
+            crc = [crc32(end, crc32(raw[a:z])) if final else crc32(raw[a:z]) for a, z, final in spans]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(stop - start), pa.array(crc, pa.int64())], names=["id", "piece", "start", "length", "ids_crc32"])
         release()
 
     ids = docs.select(col(docs, id_col).alias("id"), col(docs, text_col).alias("t"))
     return ids.mapInArrow(run, f"id {ids.schema['id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
 
-class Bins:
-    """Bins by their free space; the tightest bin that a piece fits into is one step on a bit mask."""
-
-    def __init__(self, size: int):
-        self.size, self.by_free, self.mask = size, [[] for _ in range(size + 1)], 0
-
-    def put(self, bin_: list[int], free: int) -> None:
-        if free:
-            self.by_free[free].append(bin_)
-            self.mask |= 1 << free
-
-    def fit(self, lengths: list[int], order: list[int]) -> list[list[int]]:
-        """Best-fits the pieces in that order; returns the bins that it opened."""
-        opened, by_free, size, mask = [], self.by_free, self.size, self.mask
-        for k in order:
-            n = lengths[k]
+class Gaps:
+    """Free space in bins by its size; the tightest bin that a piece fits into is one step on a bit mask."""
+
+    def __init__(self, size: int, fill: np.ndarray | None = None, bins: np.ndarray | None = None):
+        """fill: how full some bins are, which are numbered by bins."""
+        self.size, self.by_free, self.mask = size, {}, 0
+        if fill is not None and len(fill):
+            free = size - fill
+            order = np.argsort(free, kind="stable")
+            kinds, starts = np.unique(free[order], return_index=True)
+            for f, own in zip(kinds.tolist(), np.split(bins[order], starts[1:]), strict=True):
+                if f:
+                    self.by_free[f] = own.tolist()
+                    self.mask |= 1 << f
+
+    def fit(self, lengths: list[int], next_bin: int) -> list[int]:
+        """Best-fits pieces in the order given; the bin of each. New bins are numbered from next_bin on."""
+        out, by_free, size, mask = [], self.by_free, self.size, self.mask
+        for n in lengths:
             high = mask >> n
             if high:
                 free = n + (high & -high).bit_length() - 1
@@ -76,52 +83,76 @@ class Bins:
                 bin_ = stack.pop()
                 if not stack:
                     mask &= ~(1 << free)
-                bin_.append(k)
                 free -= n
             else:
-                bin_, free = [k], size - n
-                opened.append(bin_)
+                bin_, free, next_bin = next_bin, size - n, next_bin + 1
             if free:
-                by_free[free].append(bin_)
+                by_free.setdefault(free, []).append(bin_)
                 mask |= 1 << free
+            out.append(bin_)
         self.mask = mask
-        return opened
+        return out
 
 
-def fitness(bins: list[list[int]], lengths: list[int], size: int) -> tuple[int, float]:
+def fills(bins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """How full each bin is; a packing is the bin number, from 0 without gaps, of each piece."""
+    return np.bincount(bins, lengths).astype(np.int64)
+
+
+def fitness(bins: np.ndarray, lengths: np.ndarray, size: int) -> tuple[int, float]:
     """Fewer bins first, then fuller ones (the sum of squared fills)."""
-    return -len(bins), sum((sum(map(lengths.__getitem__, b)) / size) ** 2 for b in bins)
-
-
-def crossover(a: list[list[int]], b: list[list[int]], lengths: list[int], size: int, rng: random.Random, well: float = WELL_FILLED) -> list[list[int]]:
-    """A child of a with well-filled bins of b injected whole."""
-    inject = [x for x in b if sum(map(lengths.__getitem__, x)) >= well * size and rng.random() < 0.5]
-    taken = {k for x in inject for k in x}
-    child, displaced, bins = [list(x) for x in inject], [], Bins(size)
-    for x in a:
-        if not taken.isdisjoint(x) or rng.random() < 0.02:  # bins with duplicates go, and a few at random (mutation)
-            displaced += [k for k in x if k not in taken]
-        else:
-            y = list(x)
-            child.append(y)
-            bins.put(y, size - sum(map(lengths.__getitem__, y)))
-    displaced.sort(key=lambda k: -lengths[k])
-    return child + bins.fit(lengths, displaced)
-
-
-def first_packing(lengths: list[int], size: int, rng: random.Random | None) -> list[list[int]]:
+    fill = fills(bins, lengths) / size
+    return -len(fill), float(fill @ fill)
+
+
+def crossover(a: np.ndarray, b: np.ndarray, lengths: np.ndarray, size: int, rng: np.random.Generator, share: float = 0.5, well: float = WELL_FILLED, open_: int = 1) -> np.ndarray:
+    """A child of a with well-filled bins of b injected whole.
+
+    share: of b's well-filled bins, those that are injected. a's bins that hold a piece of these go, and so do (mutation) its
+    open_ emptiest bins and a few at random; their other pieces are displaced and best-fitted, longest first.
+    """
+    fill = fills(b, lengths)
+    inject = np.zeros(len(fill), bool)
+    full = np.flatnonzero(fill >= well * size)
+    inject[full[rng.random(len(full)) < share]] = True
+    taken = inject[b]
+    fill = fills(a, lengths)
+    gone = rng.random(len(fill)) < MUTATION
+    gone[np.argpartition(fill, min(open_, len(fill)) - 1)[:open_]] = True
+    gone[a[taken]] = True
+    displaced = np.flatnonzero(gone[a] & ~taken)
+    # Lengths are blurred a little, so that equal displacements do not always end in the same bins.
+    displaced = displaced[np.argsort(-lengths[displaced] * (1 + 0.1 * rng.random(len(displaced))))]
+    child = a.copy()
+    child[taken] = len(fill) + b[taken]
+    kept = np.flatnonzero(~gone)
+    top = len(fill) + int(inject.nonzero()[0].max(initial=-1)) + 1
+    child[displaced] = Gaps(size, fill[kept], kept).fit(lengths[displaced].tolist(), top)
+    return compact(child)
+
+
+def compact(bins: np.ndarray) -> np.ndarray:
+    """The same packing with its bins numbered from 0 without gaps."""
+    used = np.zeros(int(bins.max(initial=-1)) + 1, np.int64)
+    used[bins] = 1
+    return (np.cumsum(used) - 1)[bins].astype(np.int32)
+
+
+def first_packing(lengths: np.ndarray, size: int, rng: np.random.Generator | None) -> np.ndarray:
     """Best fit by descending length; with a rng, lengths are blurred a little first."""
-    blur = (lambda k: -lengths[k]) if rng is None else (lambda k: -lengths[k] * (1 + 0.08 * rng.random()))
-    return Bins(size).fit(lengths, sorted(range(len(lengths)), key=blur))
+    order = np.argsort(-lengths * (1 if rng is None else 1 + 0.08 * rng.random(len(lengths))), kind="stable")
+    out = np.empty(len(lengths), np.int32)
+    out[order] = Gaps(size).fit(lengths[order].tolist(), 0)
+    return out
 
 
-def tight_packing(lengths: list[int], size: int, tries: int = 48) -> list[list[int]]:
+def tight_packing(lengths: np.ndarray, size: int, tries: int = 48) -> np.ndarray:
     """Bin by bin: the largest piece left, then again and again the piece or pair of pieces that fills the rest best."""
     stacks: list[list[int]] = [[] for _ in range(size + 1)]
-    for k, n in enumerate(lengths):
+    for k, n in enumerate(lengths.tolist()):
         stacks[n].append(k)
     mask = sum(1 << n for n in range(1, size + 1) if stacks[n])
-    bins = []
+    out, bins = np.empty(len(lengths), np.int32), 0
 
     def top(bits: int) -> int:
         return bits.bit_length() - 1
@@ -151,49 +182,60 @@ def tight_packing(lengths: list[int], size: int, tries: int = 48) -> list[list[i
                     fits &= ~(1 << x)
                 if fits and x + top(fits) > best:
                     best, chosen = x + top(fits), (x, top(fits))
-        bins.append(bin_)
-    return bins
-
-
-def evolve(lengths: list[int], size: int, seed: int, guests: list[list[list[int]]] = (), population: int = POPULATION, generations: int = GENERATIONS) -> list[list[int]]:
-    """The best packing of one island's epoch; it ends early where the bound ceil(sum / size) is reached."""
-    rng, least = random.Random(seed), -(-sum(lengths) // size)
-    best = first_packing(lengths, size, None)
-    tight = tight_packing(lengths, size)
-    for g in (tight, *guests):
-        best = max(best, g, key=lambda x: fitness(x, lengths, size))
-    if len(best) <= least:
-        return best
-    group = [best, tight, *guests, *(first_packing(lengths, size, rng) for _ in range(population - 1))]
-    scored = sorted(((fitness(x, lengths, size), k, x) for k, x in enumerate(group)), reverse=True)[:population]
-    count = len(group)
-    for _ in range(generations):
-        if -scored[0][0][0] <= least:
-            break
-        for _ in range(population // 2):
-            a, b = rng.sample(scored, 2)
-            child = crossover(a[2], b[2], lengths, size, rng)
-            scored.append((fitness(child, lengths, size), count, child))
-            count += 1
-        scored = sorted(scored, reverse=True)[:population]
-    return scored[0][2]
+        out[bin_] = bins
+        bins += 1
+    return out
 
 
-def _numbers(bins: list[list[int]], n: int) -> list[int]:
-    out = [0] * n
-    for no, b in enumerate(bins):
-        for k in b:
-            out[k] = no
-    return out
+def lower_bound(lengths: np.ndarray, size: int) -> int:
+    """No packing has fewer bins: ceil(sum / size), sharpened by pieces that can't share a bin (Martello and Toth's second bound).
+
+    For a threshold a up to size / 2, pieces above size - a stand alone among those of at least a; of the others each above
+    size / 2 needs a bin of its own, whose rest is all that smaller ones may use without another bin.
+    """
+    n = np.bincount(lengths, minlength=size + 2)
+    above, load = np.r_[np.cumsum(n[::-1])[::-1], 0], np.r_[np.cumsum((n * np.arange(len(n)))[::-1])[::-1], 0]  # of lengths >= index
+    a = np.arange(size // 2 + 1)
+    half = size // 2 + 1
+    alone, big, big_load = above[size - a + 1], above[half] - above[size - a + 1], load[half] - load[size - a + 1]
+    over = (load[a] - load[half]) - (big * size - big_load)
+    return int((alone + big + np.maximum(0, -(-over // size))).max())
 
 
-def _bins(numbers: list[int] | None) -> list[list[list[int]]]:
-    if not numbers:
-        return []
-    out: list[list[int]] = [[] for _ in range(max(numbers) + 1)]
-    for k, no in enumerate(numbers):
-        out[no].append(k)
-    return [out]
+def evolve(lengths: np.ndarray, size: int, seed: int, guests: list[np.ndarray] = (), population: int = POPULATION, generations: int = GENERATIONS, stall: int = STALL) -> np.ndarray:
+    """The best packing of one island's epoch.
+
+    It ends where the lower bound is reached, after `stall` generations that found no packing of fewer bins, or
+    after `generations`. guests: packings of the epoch before, the island's own and the elite that came in.
+    """
+    least = lower_bound(lengths, size)
+    group: list[np.ndarray] = []
+    for seeded in (*(lambda g=g: g for g in guests), lambda: first_packing(lengths, size, None), lambda: tight_packing(lengths, size)):
+        group.append(seeded())
+        if int(group[-1].max(initial=-1)) + 1 <= least:
+            return group[-1]
+    rng = np.random.default_rng(seed)
+    while len(group) < population:
+        group.append(first_packing(lengths, size, rng))
+    scored = sorted(((fitness(x, lengths, size), -k, x) for k, x in enumerate(group)), key=lambda s: s[:2], reverse=True)[:population]
+    born, best, still = len(group), scored[0][0][0], 0
+    for _ in range(generations):
+        for _ in range(population):
+            i, j = rng.choice(len(scored), 2, replace=False).tolist()
+            share = SHARES[int(rng.integers(len(SHARES)))]
+            child = crossover(scored[i][2], scored[j][2], lengths, size, rng, share, open_=int(rng.integers(1, 5)))
+            scored.append((fitness(child, lengths, size), -born, child))
+            born += 1
+        unlike = {s[0]: s for s in sorted(scored, key=lambda s: s[:2])}  # one packing of each fitness, so that the group stays mixed
+        scored = sorted(unlike.values(), key=lambda s: s[:2], reverse=True)[:population]
+        if len(scored) < 2:
+            scored.append((fitness(x := first_packing(lengths, size, rng), lengths, size), -born, x))
+            born += 1
+        still = 0 if scored[0][0][0] > best else still + 1
+        best = scored[0][0][0]
+        if -best <= least or still >= stall:
+            break
+    return scored[0][2]
 
 
 def pack(items: DataFrame, size: int = SEQUENCE, shard: int = SHARD, islands: int = ISLANDS, epochs: int = EPOCHS, seed: int = 11) -> DataFrame:
@@ -203,47 +245,54 @@ def pack(items: DataFrame, size: int = SEQUENCE, shard: int = SHARD, islands: in
     """
     import pyarrow as pa
 
+    spark = items.sparkSession
     items = written(items.withColumn("rid", F.monotonically_increasing_id()), "pack-pieces")
     full = items.filter(F.col("length") == size).select("id", "piece", "start", "length", "ids_crc32", (-1 - F.col("rid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     part = items.filter(F.col("length") < size)
     n = part.count()
     shards = max(1, -(-n // shard))
     part = part.withColumn("shard", F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.col("rid").cast("string")), "rid"), F.lit(shards)).cast("int"))
-    # A hash deals the pieces evenly, so a shard's arrays hold about `shard` entries whatever the keys are.
+    # A hash deals the pieces evenly, so a shard's arrays hold about `shard` entries whatever the keys are. The number of
+    # tasks does not grow with the shards: beyond it each task evolves several.
+    tasks = min(shards * islands, max(TASKS, spark.sparkContext.defaultParallelism))
     rows = part.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("length", "rid"))).alias("x"))
     state = rows.select("shard", F.col("x.length").alias("lengths"), F.col("x.rid").alias("rids"))
     state = state.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
-    state = written(state.withColumns({"own": F.lit(None).cast("array<int>"), "guest": F.lit(None).cast("array<int>")}).repartition(shards * islands, "shard", "island"), "pack-islands")
-    names = "shard int, lengths array<long>, rids array<long>, island int, own array<int>, guest array<int>, bins int, fill double"
+    state = state.withColumns({"own": F.lit(None).cast("array<int>"), "guest": F.lit(None).cast("array<int>")})
+    names = "shard int, lengths array<long>, rids array<long>, island int, own array<int>, bins int, fill double"
 
     def epoch(no: int):
         def run(batches: Iterator) -> Iterator:
-            for b in batches:
-                for row in b.to_pylist():
-                    best = evolve(row["lengths"], size, hash((seed, no, row["shard"], row["island"])) & 0x7FFFFFFF, [*_bins(row["own"]), *_bins(row["guest"])])
-                    score = fitness(best, row["lengths"], size)
-                    row |= {"own": _numbers(best, len(row["lengths"])), "guest": None, "bins": -score[0], "fill": score[1]}
-                    yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("shard", pa.int32()), ("lengths", pa.list_(pa.int64())), ("rids", pa.list_(pa.int64())), ("island", pa.int32()), ("own", pa.list_(pa.int32())), ("guest", pa.list_(pa.int32())), ("bins", pa.int32()), ("fill", pa.float64())]))
+            for b in (part for whole in batches for part in slices(whole, 1)):
+                shard_, island, lengths = b["shard"][0].as_py(), b["island"][0].as_py(), b["lengths"][0].values.to_numpy()
+                guests = [x.values.to_numpy() for x in (b["own"][0], b["guest"][0]) if x.is_valid]
+                best = evolve(lengths, size, [seed, no, shard_, island], guests)
+                score = fitness(best, lengths, size)
+                yield pa.RecordBatch.from_arrays([b["shard"], b["lengths"], b["rids"], b["island"], pa.array([best], pa.list_(pa.int32())), pa.array([-score[0]], pa.int32()), pa.array([score[1]])], names=["shard", "lengths", "rids", "island", "own", "bins", "fill"])
 
         return run
 
+    before = None
     for no in range(epochs):
         if no:  # the elite migrates along the ring
-            moved = state.select(F.col("shard").alias("g_shard"), F.pmod(F.col("island") + 1, F.lit(islands)).alias("g_island"), F.col("own").alias("g_own"))
-            state = state.join(moved, (F.col("shard") == F.col("g_shard")) & (F.col("island") == F.col("g_island"))).withColumn("guest", F.col("g_own")).select("shard", "lengths", "rids", "island", "own", "guest").repartition(shards * islands, "shard", "island")
-        state = written(state.mapInArrow(epoch(no), names), "pack-epoch")
+            moved = state.select(F.col("shard").alias("g_shard"), F.pmod(F.col("island") + 1, F.lit(islands)).alias("g_island"), F.col("own").alias("guest"))
+            state = state.join(moved, (F.col("shard") == F.col("g_shard")) & (F.col("island") == F.col("g_island"))).select("shard", "lengths", "rids", "island", "own", "guest")
+        dealt = state.repartition(tasks, "shard", "island").select("shard", "lengths", "rids", "island", "own", "guest")
+        state, path = written_at(dealt.mapInArrow(epoch(no), names), "pack-epoch")
+        if before:
+            remove(spark, before)
+        before = path
     best = state.groupBy("shard").agg(F.max(F.struct(-F.col("bins"), "fill", -F.col("island"), "lengths", "rids", "own")).alias("b")).select("shard", "b.lengths", "b.rids", "b.own")
 
     def place(batches: Iterator) -> Iterator:
-        for b in batches:
-            for row in b.to_pylist():
-                own, lengths = np.array(row["own"]), np.array(row["lengths"])
-                order = np.lexsort((np.arange(len(own)), own))
-                ends = np.cumsum(lengths[order])
-                starts = ends - lengths[order]
-                first = np.r_[True, own[order][1:] != own[order][:-1]]
-                offset = starts - np.maximum.accumulate(np.where(first, starts, 0))
-                yield pa.RecordBatch.from_pydict({"p_rid": pa.array(np.array(row["rids"])[order]), "sequence_id": pa.array((row["shard"] << 32) + own[order].astype(np.int64)), "offset": pa.array(offset.astype(np.int64))})
+        for b in (part for whole in batches for part in slices(whole, 1)):
+            own, lengths, rids = b["own"][0].values.to_numpy(), b["lengths"][0].values.to_numpy(), b["rids"][0].values.to_numpy()
+            order = np.lexsort((np.arange(len(own)), own))
+            ends = np.cumsum(lengths[order])
+            starts = ends - lengths[order]
+            first = np.r_[True, own[order][1:] != own[order][:-1]]
+            offset = starts - np.maximum.accumulate(np.where(first, starts, 0))
+            yield pa.RecordBatch.from_pydict({"p_rid": pa.array(rids[order]), "sequence_id": pa.array((b["shard"][0].as_py() << 32) + own[order].astype(np.int64)), "offset": pa.array(offset.astype(np.int64))})
 
     placed = best.mapInArrow(place, "p_rid long, sequence_id long, offset long")
     part = part.join(placed, F.col("rid") == F.col("p_rid"))
