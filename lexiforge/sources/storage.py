@@ -36,10 +36,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written_at(df: DataFrame, label: str = "table") -> tuple[DataFrame, str]:
+def written_at(df: DataFrame, label: str = "table", **options: str) -> tuple[DataFrame, str]:
     """df, cut from its lineage by a Parquet table, and the table's path, which the caller may remove after its last use."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
