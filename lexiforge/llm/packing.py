@@ -23,7 +23,7 @@ SEQUENCE = 1024
 #: Pieces of a shard; islands of a shard; epochs between which elites migrate; most tasks of an epoch.
 SHARD, ISLANDS, EPOCHS, TASKS = 8192, 2, 2, 4096
 #: Packings of an island; generations of an epoch, and those that may pass without a packing of fewer bins.
-POPULATION, GENERATIONS, STALL = 12, 400, 60
+POPULATION, GENERATIONS, STALL = 8, 400, 30
 #: Bins filled to this share are injected whole; shares of them that a child gets; share of bins that mutation dissolves.
 WELL_FILLED, SHARES, MUTATION = 0.995, (0.02, 0.1, 0.5), 0.03
 
