@@ -201,7 +201,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None,
             system.move(temporary, final)
             yield pa.RecordBatch.from_pydict({"file_no": pa.array([no], pa.int32()), "path": [f"{path}/tokens-{no:06d}.zst"], "n_docs": [len(writer.ids)], "n_ids": [sum(writer.counts)], "n_bytes": [size]})
 
-    rows, at = written_at(ids.withColumn("place", F.monotonically_increasing_id()), "token-ids")
+    rows, at = written_at(ids.withColumn("place", F.monotonically_increasing_id()), "token-ids", compression="zstd")
     total = (rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0) // np.dtype(kind).itemsize
     wanted = max(1, -(-total // file_ids), min(spark.sparkContext.defaultParallelism, -(-total // (1 << 20))))
     order = [F.col("id").asc_nulls_first(), F.col("place").asc()]
