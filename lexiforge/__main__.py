@@ -33,17 +33,17 @@ def main(argv: list[str] | None = None) -> int:
 
     from .operators import report, temporal
     from .plans.curate import Curation
-    from .plans.providers import make_provider
+    from .plans.providers import make_providers
     from .plans.settings import Settings
-    from .sources import files, sinks
+    from .sources import files, sinks, storage
 
     if a.what == "run":
         settings = Settings.load(a.config).require()
-        own = settings.provider()
-        job = Curation(spark, settings, make_provider(own["name"], own))
+        job = Curation(spark, settings, make_providers(settings.provider()))
         if a.retry_failed:
             job.retry_failed()
         log.info("ran: %s", ", ".join(job.run(a.step, a.force)) or "nothing")
+        storage.clean(spark)
     elif a.what == "check":
         df = files.read_json(spark, a.file, files.QA).withColumn("seq", F.monotonically_increasing_id())
         for f in (report.dataset_issues, report.check_lengths, report.check_citations, report.check_format, report.distribution_totals, report.check_content):

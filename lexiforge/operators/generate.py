@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import random
+import threading
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -41,13 +43,14 @@ class Retries:
         """Exponential after rate limits, else linear, with some chance in it."""
         return self.delay * 2**attempt + random.uniform(1, 3) if kind == "rate_limit" else self.delay * (attempt + 1) + random.uniform(0, 1)
 
-    def run(self, provider: Provider, prompt: str) -> tuple[str | None, str | None]:
-        """(text, last error). Empty answers are asked for again at once."""
-        error = None
+    def run(self, provider: Provider, prompt: str, before: Callable[[], None] = lambda: None) -> tuple[str | None, str | None, int]:
+        """(text, last error, calls). Empty answers are asked for again at once. before: is called before each call."""
+        error, attempt = None, -1
         for attempt in range(self.attempts):
             try:
+                before()
                 if text := provider.call(prompt):
-                    return text, None
+                    return text, None, attempt + 1
             except Exception as e:  # noqa: BLE001  a provider may raise anything
                 error = str(e)[:200]
                 kind, again = error_kind(str(e))
@@ -55,13 +58,29 @@ class Retries:
                     break
                 if attempt + 1 < self.attempts:
                     self.sleep(self.wait(kind, attempt))
-        return None, error
+        return None, error, attempt + 1
+
+
+class Pace:
+    """Lets calls of several threads begin at least `seconds` apart."""
+
+    def __init__(self, seconds: float, sleep: Callable[[float], None] = time.sleep):
+        self.seconds, self.sleep, self.next, self.lock = seconds, sleep, 0.0, threading.Lock()
+
+    def __call__(self) -> None:
+        if self.seconds:
+            with self.lock:
+                now = time.monotonic()
+                at = max(now, self.next)
+                self.next = at + self.seconds
+            if at > now:
+                self.sleep(at - now)
 
 
 class TemplateProvider:
-    """Answers every prompt with pairs made from it: for tests and dry runs."""
+    """Answers every prompt with pairs made from it: for tests and dry runs, at any rate."""
 
-    name = "template"
+    name, paced = "template", False
 
     def call(self, prompt: str) -> str:
         import json
@@ -70,27 +89,47 @@ class TemplateProvider:
         return "```json\n" + json.dumps([{"question": f"{head}?", "answer": f"Căn cứ Điều 1 Luật số 41/2024/QH15: {head}"}], ensure_ascii=False) + "\n```"
 
 
-def asked(df: DataFrame, provider: Provider, prompt: str = "prompt", retries: Retries = Retries(), rpm: float | None = None) -> DataFrame:
-    """df with response and error. Calls run in the tasks; rpm is a limit for each of them. A task that is run again asks
-    again, which is why callers join the cache first."""
+def asked(df: DataFrame, provider: Provider | list[Provider], prompt: str = "prompt", retries: Retries = Retries(), rpm: float | None = None, threads: int = 1) -> DataFrame:
+    """df with response, error and calls.
+
+    provider: one, or one for each key; calls take turns with them. rpm and threads are those of the whole run: cores that
+    may run tasks at once share them evenly. Calls run in the tasks; a task that is run again asks again, which is why
+    callers join the cache first.
+    """
     import pyarrow as pa
 
-    schema = f"{', '.join(f'`{n}` {t}' for n, t in df.dtypes)}, response string, error string"
+    schema = f"{', '.join(f'`{n}` {t}' for n, t in df.dtypes)}, response string, error string, calls int"
     at = df.columns.index(prompt)
+    every = list(provider) if isinstance(provider, (list, tuple)) else [provider]
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    seconds = 60 * slots / rpm if rpm and all(getattr(p, "paced", True) for p in every) else 0.0
+    own_threads = max(1, threads // slots)
 
     def run(batches: Iterator) -> Iterator:
-        for b in batches:
-            got = []
-            for x in b.column(at):
-                got.append(retries.run(provider, x.as_py() or ""))
-                if rpm:
-                    retries.sleep(60 / rpm)
-            columns = [*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*b.schema.names, "response", "error"])
+        from concurrent.futures import ThreadPoolExecutor
+
+        from pyspark import TaskContext
+
+        turns, pace = itertools.count(TaskContext.get().partitionId()), Pace(seconds, retries.sleep)
+
+        def ask(text) -> tuple:
+            return retries.run(every[next(turns) % len(every)], text.as_py() or "", pace)
+
+        with ThreadPoolExecutor(own_threads) as pool:
+            for b in batches:
+                got = list(pool.map(ask, b.column(at)))
+                columns = [*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.string()), pa.array([g[2] for g in got], pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*b.schema.names, "response", "error", "calls"])
 
     return df.mapInArrow(run, schema)
 
 
+def call_stats(answers: DataFrame) -> DataFrame:
+    """requests, calls, errors and success_rate of what was asked."""
+    out = answers.agg(F.count("*").alias("requests"), F.coalesce(F.sum("calls"), F.lit(0)).alias("calls"), F.count_if(F.col("response").isNull()).alias("errors"))
+    return out.withColumn("success_rate", (F.col("requests") - F.col("errors")) / F.greatest(F.lit(1), F.col("requests")) * 100)
+
+
 def prompts(chunks: DataFrame, template: str, num_qa: int = 5) -> DataFrame:
     """chunks with prompt: {num_qa}, {doc_number} (with date and issuer where known) and {content} filled in."""
     number = F.coalesce(F.col("doc_number"), F.lit(X.UNKNOWN_NUMBER))
@@ -124,7 +163,7 @@ def judged(df: DataFrame, provider: Provider, template: str, **call) -> DataFram
     text = F.replace(F.replace(F.lit(template), F.lit("{question}"), F.coalesce(F.col("question"), F.lit(""))), F.lit("{answer}"), F.coalesce(F.col("answer"), F.lit("")))
     out = asked(df.withColumn("prompt", text), provider, **call).withColumn("_v", parse_verdict("response"))
     ok = F.col("response").isNotNull()
-    return out.withColumns({"eval_score": F.when(ok, F.col("_v.score")).otherwise(F.col("eval_score")), "eval_reason": F.when(ok, F.col("_v.reason")).otherwise(F.col("eval_reason")), "eval_method": F.when(ok, "llm").otherwise("rule_fallback")}).drop("_v", "prompt", "response", "error")
+    return out.withColumns({"eval_score": F.when(ok, F.col("_v.score")).otherwise(F.col("eval_score")), "eval_reason": F.when(ok, F.col("_v.reason")).otherwise(F.col("eval_reason")), "eval_method": F.when(ok, "llm").otherwise("rule_fallback")}).drop("_v", "prompt", "response", "error", "calls")
 
 
 # The cache: a table cache_key, created_at, content_hash, model, result.
@@ -146,6 +185,54 @@ def invalidated(cache: DataFrame, keys: DataFrame) -> DataFrame:
     return cache.join(keys.select("cache_key").distinct(), "cache_key", "left_anti")
 
 
+class CacheTable:
+    """The cache as a Parquet folder: rows are appended, and the folder is written anew when rows go."""
+
+    def __init__(self, spark, path: str):
+        self.spark, self.path = spark, path
+
+    def read(self) -> DataFrame | None:
+        from ..sources.storage import exists
+
+        return self.spark.read.parquet(self.path) if exists(self.spark, self.path) else None
+
+    def append(self, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(self.path)
+
+    def _keep(self, rows: DataFrame) -> None:
+        from ..sources.storage import remove, written_at
+
+        kept, at = written_at(rows, "cache")
+        kept.write.mode("overwrite").parquet(self.path)
+        remove(self.spark, at)
+
+    def drop_keys(self, keys: DataFrame) -> None:
+        if (now := self.read()) is not None:
+            self._keep(invalidated(now, keys))
+
+    def drop_expired(self, ttl_days: int = 30, now: str | None = None) -> int:
+        """Deletes rows whose time is over; returns how many."""
+        rows = self.read()
+        if rows is None:
+            return 0
+        at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
+        old = expired(rows, ttl_days, now).count()
+        if old:
+            self._keep(rows.filter(F.col("created_at") > at - F.make_interval(days=F.lit(ttl_days))))
+        return old
+
+    def clear(self) -> None:
+        from ..sources.storage import remove
+
+        remove(self.spark, self.path)
+
+    def size_mb(self) -> float:
+        """Megabytes that the folder takes."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        system = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return system.getContentSummary(at).getLength() / 1e6 if system.exists(at) else 0.0
+
+
 def cache_stats(cache: DataFrame, chunks: DataFrame, template: str, model: str, ttl_days: int = 30, now: str | None = None) -> DataFrame:
     """entries, hits, misses, hit_rate of a cache against chunks."""
     keyed = chunks.select(cache_key("content", F.lit(template), F.lit(model)).alias("cache_key"))

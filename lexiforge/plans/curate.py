@@ -5,11 +5,14 @@ Each stage writes a committed table under output_dir; a stage whose table is com
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import cache_key
 from ..operators import chunk, dedup, export, generate, regenerate, report, rescue, score, split
-from ..sources import files
+from ..sources import files, sinks
 from ..sources.storage import exists, written
 from .settings import Settings
 
@@ -18,8 +21,13 @@ STAGES = ("extract", "generate", "evaluate", "split", "export")
 
 class Curation:
     def __init__(self, spark: SparkSession, settings: Settings, provider=None):
-        self.spark, self.settings, self.provider = spark, settings, provider or generate.TemplateProvider()
+        """provider: one, or a list with one for each key."""
+        self.spark, self.settings = spark, settings
+        given = provider or generate.TemplateProvider()
+        self.providers = list(given) if isinstance(given, (list, tuple)) else [given]
+        self.calls = settings.calls(len(self.providers))
         self.out = settings.resolved("general.output_dir")
+        self.cache = generate.CacheTable(spark, self.path("cache"))
 
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -58,11 +66,16 @@ class Curation:
         chunks = chunk.chunked(self.read("extract"), size=get("processing.chunk_size"), overlap=get("processing.chunk_overlap"))
         if only is not None:
             chunks = regenerate.only_chunks(chunks, only)
-        cache = self.read("cache") if get("cache.enabled") and only is None and self.done("cache") else None
-        pairs, failed, new = generate.generated(chunks, self.provider, get("qa_generation.prompt_template"), self.provider.name, cache, get("cache.ttl_days"), num_qa=get("qa_generation.num_qa"))
-        new.write.mode("append").parquet(self.path("cache"))
-        self.save(failed, "failed_chunks")
-        return self.save(self.with_seq(pairs), to)
+        template, model = get("qa_generation.prompt_template"), self.providers[0].name
+        if only is not None:  # these chunks' old answers must not come back
+            self.cache.drop_keys(chunks.select(cache_key("content", F.lit(template), F.lit(model)).alias("cache_key")))
+        cache = self.cache.read() if get("cache.enabled") else None
+        pairs, failed, new = generate.generated(chunks, self.providers, template, model, cache, get("cache.ttl_days"), num_qa=get("qa_generation.num_qa"), **self.calls)
+        self.cache.append(new)
+        failed = self.save(failed, "failed_chunks" if only is None else "failed_again")
+        made = self.save(self.with_seq(pairs), to)
+        sinks.write_generated(made, failed, self.path("json" if only is None else "json/regenerated"))
+        return made
 
     @staticmethod
     def with_seq(pairs: DataFrame) -> DataFrame:
@@ -72,7 +85,8 @@ class Curation:
     def retry_failed(self) -> DataFrame:
         """Asks again for failed chunks only and adds what comes to the pairs."""
         get = self.settings.get
-        pairs, failed, new = generate.generated(self.read("failed_chunks").drop("error"), self.provider, get("qa_generation.prompt_template"), self.provider.name, num_qa=get("qa_generation.num_qa"))
+        pairs, failed, new = generate.generated(self.read("failed_chunks").drop("error"), self.providers, get("qa_generation.prompt_template"), self.providers[0].name, num_qa=get("qa_generation.num_qa"), **self.calls)
+        self.cache.append(new)
         both = written(self.read("generate").unionByName(self.with_seq(pairs), allowMissingColumns=True), "retried")
         failed = written(failed, "failed")
         self.save(failed, "failed_chunks")
@@ -82,19 +96,24 @@ class Curation:
         """A bounded loop: score, route, rescue, and generate weak chunks again; each round is a written table."""
         get, rules = self.settings.get, self.settings.score_rules()
         docs, todo, kept = self.read("extract"), self.read("generate"), None
+        twice, rescued, bad_still = [], [], []
         limits = {"min_good_rate": get("regenerate.min_good_rate"), "min_good_count": get("regenerate.min_good_count")}
         for k in range(get("quality.max_iterations")):
-            unique, _ = dedup.dedup_pairs(todo)
+            unique, duplicates = dedup.dedup_pairs(todo)
+            twice.append(written(duplicates, "duplicates"))
             scored = score.rule_score(unique, rules)
             labelled = self.judged(scored, rules)
             good, bad = labelled.filter("label = 'good'"), labelled.filter("label = 'bad'")
-            fixed, still = rescue.rescue(bad, docs)
+            fixed, still = (written(x, "rescue") for x in rescue.rescue(bad, docs))
+            rescued.append(fixed)
+            bad_still.append(still)
             now = good.unionByName(fixed.withColumn("label", F.lit("good")), allowMissingColumns=True).unionByName(still, allowMissingColumns=True)
             now = written(now, "evaluated")
             kept = now if kept is None else written(kept.unionByName(now, allowMissingColumns=True), "evaluated")
             if k + 1 == get("quality.max_iterations"):
                 break
             weak = written(regenerate.chunks_to_regenerate(kept, **limits), "weak")
+            sinks.write_regenerate_list(weak, self.path("json"))
             if weak.isEmpty():
                 break
             todo = self.generate(weak, "regenerated")
@@ -102,19 +121,24 @@ class Curation:
                 break
             redone = todo.select("source_doc", "chunk_id").distinct()
             kept = written(regenerate.without_chunks(kept, redone), "evaluated")
-        self.save(report.full_report(kept), "report")
+        every = lambda frames: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)  # noqa: E731  one for each round
+        sinks.write_duplicates(every(twice), self.path("json"))
+        sinks.write_rescued(every(rescued), every(bad_still), self.path("json"))
+        sinks.write_evaluated(kept, self.path("json"))
+        near = dedup.near_pairs(kept.filter("label = 'good'"))
+        self.save(report.full_report(kept, near), "report")
         return self.save(kept, "evaluate")
 
     def judged(self, scored: DataFrame, rules) -> DataFrame:
         """Rules alone, a model alone, or a model for what rules leave open."""
         mode = self.settings.get("quality.mode")
-        template = self.settings.get("quality.prompt_template", "{question}\n{answer}")
+        template = self.settings.get("quality.prompt_template")
         by_rule = scored.withColumn("eval_method", F.lit("rule"))
         if mode == "llm":
-            return score.routed(generate.judged(by_rule, self.provider, template), rules.min_score)
+            return score.routed(generate.judged(by_rule, self.providers, template, **self.calls), rules.min_score)
         if mode == "hybrid":
             placed = score.routed_hybrid(by_rule)
-            open_ = score.routed(generate.judged(placed.filter("label = 'borderline'").drop("label"), self.provider, template), rules.min_score)
+            open_ = score.routed(generate.judged(placed.filter("label = 'borderline'").drop("label"), self.providers, template, **self.calls), rules.min_score)
             return placed.filter("label <> 'borderline'").unionByName(open_)
         return score.routed(by_rule, rules.min_score)
 
@@ -135,6 +159,7 @@ class Curation:
         fields = structure.get("metadata_fields", [])
         out = export.formatted(self.read("split"), self.settings.get("output.format", "chat"), source="source" in fields, perspective="perspective" in fields, keep=("split",))
         export.write_splits(out, self.path("export"))
+        self.save(export.merged(out), "dataset_final")
         return out
 
     def summary(self) -> DataFrame:

@@ -6,6 +6,8 @@ import os
 from dataclasses import dataclass, field
 from typing import Any
 
+from ..functions import fixed as X
+
 
 class PipelineError(Exception):
     """category: config, validation, api, rate_limit, auth, network, io, parse or internal; severity: warning, error or critical."""
@@ -79,8 +81,8 @@ DEFAULTS: dict[str, Any] = {
     "general": {"input_dir": "input", "output_dir": "output"},
     "llm": {"provider": None, "providers": {}},
     "processing": {"chunk_size": 4000, "chunk_overlap": 200, "max_retries": 5, "max_threads": 20, "threads_per_key": 5, "requests_per_minute": 60},
-    "qa_generation": {"num_qa": 5, "prompt_template": "Tạo {num_qa} câu hỏi cho {doc_number}:\n{content}", "perspectives": []},
-    "quality": {"min_score": 3, "criteria": [], "mode": "rule", "max_iterations": 3},
+    "qa_generation": {"num_qa": 5, "prompt_template": X.GENERATE_PROMPT, "perspectives": []},
+    "quality": {"min_score": 3, "criteria": [], "mode": "rule", "max_iterations": 3, "prompt_template": X.JUDGE_PROMPT},
     "regenerate": {"min_good_rate": 0.5, "min_good_count": 1},
     "filter": {"enabled": True},
     "output": {"train_ratio": 0.70, "val_ratio": 0.15, "test_ratio": 0.15, "seed": 42, "formats": ["json", "jsonl"], "structure": {}},
@@ -125,7 +127,24 @@ class Settings:
         name = self.get("llm.provider")
         if not name or name not in self.get("llm.providers", {}):
             raise ConfigurationError(f"provider {name!r} is not configured")
-        return self.get("llm.providers")[name] | {"name": name}
+        own = self.get("llm.providers")[name] | {"name": name}
+        return own | {"api_keys": keys} if (keys := self.keys(own)) else own
+
+    def keys(self, own: dict) -> list[str]:
+        """All keys of a provider: listed ones and those of its file (a line each; blank ones and comments don't count)."""
+        keys = list(own.get("api_keys") or ([own["api_key"]] if own.get("api_key") else []))
+        if file := own.get("api_keys_file"):
+            with open(file if os.path.isabs(file) else os.path.join(self.base, file), encoding="utf-8") as lines:
+                keys += [x.strip() for x in lines if x.strip() and not x.strip().startswith("#")]
+        return list(dict.fromkeys(keys))
+
+    def calls(self, keys: int) -> dict[str, Any]:
+        """How a run asks its providers: retries, its rate (calls a minute of the whole run) and its threads."""
+        from ..operators.generate import Retries
+
+        get = self.get
+        threads = max(1, min(get("processing.max_threads") or 1, get("processing.threads_per_key") * max(1, keys)))
+        return {"retries": Retries(get("processing.max_retries")), "rpm": get("processing.requests_per_minute"), "threads": threads}
 
     def score_rules(self):
         """The pipeline's thresholds: twice the minimum of 1 to 5, and the third criterion's length."""

@@ -40,7 +40,8 @@ def write_regenerate_list(chunks: DataFrame, out: str) -> None:
 def write_splits(df: DataFrame, out: str) -> None:
     """Splits by folder (those of an earlier run go), their counts and their overlaps."""
     _json(df, f"{out}/splits", "split")
-    _json(split.split_info(df), f"{out}/split_info")
+    _json(split.split_info(df, ids=False), f"{out}/split_info")
+    _json(split.split_documents(df), f"{out}/split_documents")
     _json(split.leakage(df), f"{out}/leakage")
 
 

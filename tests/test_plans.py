@@ -58,7 +58,7 @@ def test_retries():
 
     waits = []
     r = generate.Retries(4, 1.0, waits.append)
-    assert r.run(p := Fails(Exception("429 too many"), "", "ok"), "x") == ("ok", None) and p.calls == 3 and len(waits) == 1
+    assert r.run(p := Fails(Exception("429 too many"), "", "ok"), "x") == ("ok", None, 3) and p.calls == 3 and len(waits) == 1
     assert r.run(p := Fails(Exception("401 unauthorized"), "ok"), "x")[0] is None and p.calls == 1
     assert [generate.error_kind(m) for m in ("timed out", "503", "connection reset", "?")] == [("timeout", True), ("server_error", True), ("connection_error", True), ("unknown", True)]
 
@@ -113,6 +113,64 @@ def test_whole_run(spark, tmp_path):
     assert {r.overlap for r in run.read("leakage").collect()} <= {0}
     assert run.summary().first().qa_total > 0
     assert run.retry_failed().count() == run.read("generate").count()
+    written = {p.name for p in (tmp_path / "out" / "json").iterdir()}
+    assert written >= {"qa_generated", "failed_chunks", "evaluated", "evaluation_stats", "qa_duplicates", "qa_rescued", "qa_still_bad", "chunks_to_regenerate"}
+    assert run.read("dataset_final").count() == run.read("split").count()
+    assert run.read("report").first().near_duplicates is not None
+
+
+class Marked:
+    """Answers with its key's mark in the question; the first answer of key c fails once for good."""
+
+    paced = False
+
+    def __init__(self, name, key):
+        self.name, self.key = name, key
+
+    def call(self, prompt):
+        return json.dumps([{"question": f"{self.key} {hash(prompt)}?", "answer": "Căn cứ Điều 1, Khoản 2 Luật số 41/2024/QH15, mức hưởng là 75% trong 30 ngày. " * 2 + prompt[-40:]}])
+
+
+def test_every_key_is_called(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "keys.txt").write_text("# keys\nb\n\nc\n")
+    for k in range(12):
+        (tmp_path / "in" / f"{k}.txt").write_text(f"Luật số: {k + 1}/2024/QH15\n" + f"Điều {k}. Mức hưởng 30 ngày. " * 20)
+    s = settings(tmp_path, llm={"provider": "own", "providers": {"own": {"base_url": "http://x", "api_key": "a", "api_keys_file": str(tmp_path / "keys.txt")}}})
+    keys = s.provider()["api_keys"]
+    assert keys == ["a", "b", "c"] and [p.api_key for p in make_providers(s.provider())] == keys
+    run = Curation(spark, s, [Marked("own", k) for k in keys])
+    assert run.calls["threads"] == 15 and run.calls["retries"].attempts == 5
+    run.run(["extract", "generate"])
+    assert {r.question[0] for r in run.read("generate").collect()} == {"a", "b", "c"}
+    asked = run.cache.read().count()
+    run.run(["generate"])  # all from the cache
+    assert run.cache.read().count() == asked and {r.from_cache for r in run.read("generate").collect()} == {True}
+    some = run.read("generate").select("source_doc", "chunk_id").limit(1)
+    assert not run.generate(some, "again").first().from_cache
+    assert run.cache.read().count() == asked
+    assert run.cache.drop_expired(30, "2999-01-01") == asked and run.cache.read().count() == 0
+    run.cache.clear()
+    assert run.cache.read() is None
+
+
+def test_the_rate_is_the_whole_runs(spark):
+    waits = []
+    pace = generate.Pace(2.0, waits.append)
+    for _ in range(4):
+        pace()
+    assert [round(w) for w in waits] == [2, 4, 6]
+    df = spark.range(6).selectExpr("cast(id AS string) AS prompt")
+    out = generate.asked(df, generate.TemplateProvider(), rpm=1).collect()
+    assert all(r.calls == 1 and r.error is None for r in out)
+    stats = generate.call_stats(generate.asked(df, generate.TemplateProvider())).first()
+    assert (stats.requests, stats.calls, stats.errors, stats.success_rate) == (6, 6, 0, 100.0)
+
+
+def test_order_of_pairs_is_unique(spark):
+    """200,000 documents: no two share an order, which 31 bits of a hash could not promise."""
+    pairs = spark.range(200_000).selectExpr("concat('d', id) AS source_doc", "cast(id % 3 AS int) AS chunk_id", "cast(0 AS int) AS place")
+    assert Curation.with_seq(pairs).select("seq").distinct().count() == 200_000
 
 
 def test_ties_keep_the_order_of_appearance(spark):
