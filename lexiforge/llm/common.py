@@ -12,6 +12,8 @@ SPACES = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A side of a join is broadcast only if its measured size is below this; beyond it the join shuffles.
 BROADCAST_BYTES = 32 << 20
+#: Rows of one key that a task of a join may meet without more ado.
+HOT = 1_000
 
 
 def small(df: DataFrame, rows: int, bytes_a_row: int) -> DataFrame:
@@ -19,6 +21,24 @@ def small(df: DataFrame, rows: int, bytes_a_row: int) -> DataFrame:
     return F.broadcast(df) if rows * bytes_a_row <= BROADCAST_BYTES else df
 
 
+def salted_join(big: DataFrame, lookup: DataFrame, key: str, rows: str, total: int) -> DataFrame:
+    """The inner join of big with lookup (one row a key, with the number `rows` of big's rows that have it), without big's hot keys in one task.
+
+    A key with more than HOT rows, or a hundred-thousandth of all `total`, is dealt to as many salts as it has such shares, and its
+    lookup row is copied to each. At most 100,000 keys are hot, so that their list may be broadcast. `rows` is dropped.
+    """
+    hot_rows = max(HOT, total // 100_000)
+    hot = lookup.filter(F.col(rows) > hot_rows).select(F.col(key).alias("_hot"), F.ceil(F.col(rows) / hot_rows).cast("int").alias("_salts"))
+    hot = cut(hot)
+    if not hot.count():
+        return big.join(lookup.drop(rows), key)
+    marked = big.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    dealt = marked.withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_salts")).cast("int"))).drop("_hot", "_salts")
+    copies = lookup.drop(rows).join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))).drop("_hot", "_salts")
+    return dealt.join(copies, [key, "_salt"]).drop("_salt")
+
+
 def col(df: DataFrame, name: str) -> Column:
     """A column by its exact name, dots included."""
     return df["`" + name.replace("`", "``") + "`"]

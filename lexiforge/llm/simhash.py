@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut, release, small, written
+from .common import col, cut, release, salted_join, small, written
 
 BITS = 64
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -187,47 +187,46 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, part:
     return tiles.repartition(*by).sortWithinPartitions(*by, "fp").mapInArrow(lambda batches: _shard_edges(batches, radius), "fp long, root long").distinct()
 
 
-def contracted(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, comp: the least node of each edge list's component, by alternating large and small stars.
+def contracted(edges: DataFrame) -> DataFrame:
+    """node, comp: the least node of each edge list's component, by alternating large and small stars until nothing changes.
 
-    Each round keeps as many edges at most and is a group-by and a join on them; lineage is cut every round.
+    Each round keeps as many edges at most and is a group-by and a salted join on them; lineage is cut every round.
     """
     edges = cut(edges.select(F.greatest("fp", "root").alias("u"), F.least("fp", "root").alias("v")).filter("u <> v").distinct())
-    seen = None
-    for _ in range(rounds):
+    seen, n = None, edges.count()
+    while True:
         both = edges.union(edges.select("v", "u").toDF("u", "v"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        edges = cut(small.filter("u <> v").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.countDistinct("u")).first()
-        if tuple(now) == seen and now[0] == now[2]:
-            break
-        seen = tuple(now)
-    else:
-        raise RuntimeError("the star contraction has not ended")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"))
+        large = cut(salted_join(both.filter("v > u"), low, "u", "n", 2 * n).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
+        rest = salted_join(large, least, "u", "n", 2 * n).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = cut(rest.union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        now = tuple(edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.countDistinct("u")).first())
+        if now == seen and now[0] == now[2]:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+        seen, n = now, now[0]
 
 
 def _with_component(distinct: DataFrame, radius: int) -> DataFrame:
     """distinct (one row per fingerprint fp), with comp: the least fingerprint of its component."""
     found = cut(contracted(links(distinct.select("fp"), radius)))
-    return distinct.join(found, distinct.fp == found.node, "left").select(*distinct.columns, F.coalesce("comp", "fp").alias("comp"))
+    return cut(distinct.join(found, distinct.fp == found.node, "left").select(*distinct.columns, F.coalesce("comp", "fp").alias("comp")))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
     """One row per input row: id, fp (signed long), fingerprint (hex), component_id (least id reachable).
 
     Null and blank texts have fingerprint zero and are linked like any other. Null ids take part; a component of null ids
-    only has a null id. Repeated rows and ties share a component. Other columns are ignored. Empty in, empty out.
+    only has a null id. Repeated rows and ties share a component. Other columns are ignored. Empty in, empty out. Rows of
+    one fingerprint and fingerprints of one component may be any share of all: both joins are salted.
     """
     prints = written(fingerprints(docs, id_col, text_col, words, seed), "simhash")
-    distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("least")))
+    distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("rows")))
     of = _with_component(distinct, radius)
-    ids = of.groupBy("comp").agg(F.min("least").alias("component_id"))
-    of = of.join(ids, "comp").select(F.col("fp").alias("c_fp"), "component_id")
-    out = prints.join(of, F.col("fp") == F.col("c_fp"))
+    ids = cut(of.groupBy("comp").agg(F.min("least").alias("component_id"), F.count("*").alias("n"), F.sum("rows").alias("all_rows")))
+    rows = ids.agg(F.sum("all_rows")).first()[0] or 0
+    of = salted_join(of.select("fp", "comp", "rows"), ids.drop("all_rows"), "comp", "n", rows).select("fp", "component_id", "rows")
+    out = salted_join(prints, cut(of), "fp", "rows", rows)
     return out.select(F.col("id").alias(id_col), "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -240,10 +239,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     prints = written(fingerprints(docs, id_col, text_col, words, seed, hashed=True), "simhash")
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
     distinct = cut(prints.groupBy("fp").agg(F.min(first).alias("first"), F.count("*").alias("n")))
-    of = cut(_with_component(distinct, radius))
-    shared = of.groupBy("comp").agg(F.min("first").alias("stays"), F.sum("n").alias("rows")).filter("rows > 1")
-    shared = of.join(shared, "comp").select(F.col("fp").alias("s_fp"), "stays")
-    rows = prints.join(shared, F.col("fp") == F.col("s_fp"))
+    of = _with_component(distinct, radius)
+    groups = of.groupBy("comp").agg(F.min("first").alias("stays"), F.sum("n").alias("rows"), F.count("*").alias("prints"))
+    groups = cut(groups.filter("rows > 1"))
+    total = groups.agg(F.sum("rows")).first()[0] or 0
+    shared = cut(salted_join(of.select("fp", "comp", "n"), groups.drop("rows"), "comp", "prints", total).select("fp", "stays", "n"))
+    rows = salted_join(prints, shared, "fp", "n", total)
     rows = written(rows.groupBy("id", "h").agg(F.count("*").alias("c"), F.first("stays").alias("stays")), "near-shared")
     stays = F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("h") == F.col("stays.h"))
     key = F.col("id").alias("g_id"), F.col("h").alias("g_h")
