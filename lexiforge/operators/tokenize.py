@@ -20,6 +20,46 @@ class ByteTokenizer:
         return [1] * special + [b + 3 for b in text.encode()]
 
 
+class FileTokenizer:
+    """A tokenizer file by its ending: .json (tokenizers), .model (sentencepiece) or .tiktoken ranks; opened where it is used.
+
+    pattern: how .tiktoken texts are cut into pieces. begin and pad: ids that the file does not name itself.
+    """
+
+    def __init__(self, path: str, begin: int | None = None, pad: int = 0, pattern: str | None = None):
+        self.path, self.begin, self.pad_id, self.pattern, self._encode = path, begin, pad, pattern, None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_encode": None}
+
+    def _opened(self):
+        if self.path.endswith(".json"):
+            from tokenizers import Tokenizer
+
+            library = Tokenizer.from_file(self.path)
+            return lambda text: library.encode(text, add_special_tokens=False).ids
+        if self.path.endswith(".model"):
+            import sentencepiece
+
+            return sentencepiece.SentencePieceProcessor(model_file=self.path).encode
+        if self.path.endswith(".tiktoken"):
+            import base64
+
+            import tiktoken
+
+            if not self.pattern:
+                raise ValueError("a .tiktoken file needs the pattern of its pieces")
+            with open(self.path, "rb") as lines:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            return tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        raise ValueError(f"unknown kind of tokenizer file: {self.path}")
+
+    def encode(self, text: str, special: bool) -> list[int]:
+        if self._encode is None:
+            self._encode = self._opened()
+        return [self.begin] * (special and self.begin is not None) + list(self._encode(text))
+
+
 def tokenized(df: DataFrame, tokenizer=None, template: str = "vistral", system: str = X.PROMPT_TOKENS, max_length: int = 2048, pad: bool = True, mask_prompt: bool = True) -> DataFrame:
     """input_ids, attention_mask, labels, source_doc, chunk_id; pairs without question or answer are skipped.
 

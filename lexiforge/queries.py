@@ -273,12 +273,40 @@ report_query(
     f", k AS (SELECT count(*) AS n FROM e GROUP BY lower({SQ})), x AS (SELECT (SELECT count(*) FROM k WHERE n > 1) AS duplicate_questions, count(*) FILTER (length(answer) < 50) AS short_answers, count(*) FILTER (NOT ({' OR '.join(hit('answer', p) for p in CITED.values())})) AS no_citation, count(*) AS n FROM e) SELECT duplicate_questions, short_answers, no_citation, duplicate_questions > 0 OR short_answers > 0 OR no_citation > n * 0.1 AS has_issues FROM x",
 )
 report_query("pipeline_summary", report.pipeline_summary, "SELECT count(*) AS qa_total, count(*) FILTER (label = 'good') AS qa_good, count(*) FILTER (label = 'good') / greatest(1, count(*)) * 100 AS success_rate FROM e")
-QUERIES["full_report"] = lambda spark, d: report.full_report(labelled(spark, d), dedup.near_pairs(qa(spark, d), limit=None)).select("evaluation", "citations", "format_issues", "quality_summary", "near_duplicates")
 
 
-@query("format_issue_rows", W + LABELLED_SQL.strip() + f" SELECT 'truncated' AS issue, source_doc || ':' || seq AS idx, length(answer) AS length, CASE WHEN length(answer) > 50 THEN right(answer, 50) ELSE answer END AS ending FROM e WHERE answer <> '' AND NOT regexp_matches({SA}, '[.!?。]$')")
+@query(
+    "full_report",
+    SQL["near_dup_pairs"].replace("SELECT i, j, round_even", "SELECT * FROM (SELECT count(*) AS near_duplicates FROM (SELECT i, j, round_even", 1)
+    + ")) nd, (SELECT * FROM ("
+    + SQL["eval_stats"]
+    + ") s, ("
+    + SQL["citation_counts"]
+    + ") c, ("
+    + SQL["format_issues"]
+    + ") f, ("
+    + SQL["quality_summary"].replace("SELECT *, CASE WHEN health", "SELECT * EXCLUDE (good_rate), CASE WHEN health", 1)
+    + ") q)",
+)
 def _(spark, d):
-    return report.format_issue_rows(labelled(spark, d)).filter("issue = 'truncated'")
+    out = report.full_report(labelled(spark, d), dedup.near_pairs(qa(spark, d)))
+    return out.select("near_duplicates", "evaluation.*", "citations.*", "format_issues.*", *[f"quality_summary.{n}" for n in ("high_quality", "medium_quality", "low_quality", "health_score", "health_band")])
+
+
+ISSUES = {
+    "empty_question": f"{SQ} = ''",
+    "empty_answer": f"{SA} = ''",
+    "truncated": f"answer <> '' AND NOT regexp_matches({SA}, '[.!?。]$')",
+    "encoding_issues": "regexp_matches(question || answer, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]|\ufffd')",
+    "too_short": f"answer <> '' AND length({SA}) < 30",
+    "too_long": f"answer <> '' AND length({SA}) > 2000",
+    "missing_punctuation": f"question <> '' AND NOT suffix({SQ}, '?')",
+}
+
+
+@query("format_issue_rows", W + LABELLED_SQL.strip() + " " + " UNION ALL ".join(f"SELECT '{n}' AS issue, source_doc || ':' || seq AS idx, length(answer) AS length, CASE WHEN length(answer) > 50 THEN right(answer, 50) ELSE answer END AS ending FROM e WHERE {p}" for n, p in ISSUES.items()))
+def _(spark, d):
+    return report.format_issue_rows(labelled(spark, d))
 
 
 @query("file_metrics", f"WITH {QA_SQL} SELECT (SELECT sum(greatest(1, length(coalesce(text, '')) // 3800))::BIGINT FROM documents) AS chunks_total, count(DISTINCT (source_doc, chunk_id)) AS chunks_processed, count(*) AS qa_generated FROM qa")
@@ -367,6 +395,45 @@ def _(spark, d):
     return headed(spark, d).select("seq", metadata.title("content").alias("title"))
 
 
+@query("doc_number_text", f"WITH {META_SQL} SELECT seq, coalesce(doc_number, {sq(X.UNKNOWN_NUMBER)}) AS number_text FROM m")
+def _(spark, d):
+    return headed(spark, d).select("seq", metadata.number_text("content").alias("number_text"))
+
+
+SPLIT_NUMBER = r"^(.+?)\s+(\d+/.+)$"
+
+
+@query("doc_number_split", f"WITH {META_SQL}, n AS (SELECT seq, coalesce(doc_number, {sq(X.UNKNOWN_NUMBER)}) AS t FROM m) SELECT seq, CASE WHEN regexp_matches(t, {sq(SPLIT_NUMBER)}) THEN regexp_extract(t, {sq(SPLIT_NUMBER)}, 2) END AS number, CASE WHEN regexp_matches(t, {sq(SPLIT_NUMBER)}) THEN regexp_extract(t, {sq(SPLIT_NUMBER)}, 1) END AS kind FROM n")
+def _(spark, d):
+    out = headed(spark, d).select("seq", metadata.number_text("content").alias("t")).select("seq", metadata.split_number_text("t").alias("n"))
+    return out.select("seq", "n.number", "n.kind")
+
+
+FILE_NAME = "CASE doc_id % 6 WHEN 0 THEN '11_2025_TT-BNV_' WHEN 1 THEN '274_2025_ND-CP_' WHEN 2 THEN '74_2025_QH15_' WHEN 3 THEN '2222_QD-BHXH_' WHEN 4 THEN '158_2025_NĐ-CP_' ELSE 'van_ban_' END || CAST(doc_id AS VARCHAR(20)) || '.txt'"
+
+
+def _file_sql(what: int) -> str:
+    def one(pattern: str, kind: str, made: tuple) -> str:
+        parts = " || ".join(f"regexp_extract(n, {sq(pattern)}, {m})" if isinstance(m, int) else sq(m) for m in made)
+        return f"WHEN regexp_matches(n, {sq(pattern)}) THEN {sq(kind) if what else parts}"
+
+    return "CASE " + " ".join(one(*f) for f in X.FILE_NUMBERS) + " END"
+
+
+@query("doc_number_from_file", f"SELECT doc_id, {_file_sql(0)} AS number, {_file_sql(1)} AS kind FROM (SELECT doc_id, {FILE_NAME} AS n FROM documents)")
+def _(spark, d):
+    out = table(spark, d, "documents").select("doc_id", metadata.number_from_file(F.expr(FILE_NAME)).alias("n"))
+    return out.select("doc_id", "n.number", "n.kind")
+
+
+ANSWERS = "CASE doc_id % 5 WHEN 0 THEN 'a [1, 2, \"b\"] c' WHEN 1 THEN '[1] và [2]' WHEN 2 THEN 'không có' WHEN 3 THEN '{\"a\": [3]}' ELSE 'hỏng [1, ' END"
+
+
+@query("json_list", "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '[1, 2, \"b\"]' WHEN 1 THEN '[1]' WHEN 3 THEN '[3]' END AS list FROM documents")
+def _(spark, d):
+    return table(spark, d, "documents").select("doc_id", parse.parse_list(F.expr(ANSWERS)).alias("list"))
+
+
 RESOLVED_SQL = META_SQL + ", dm AS (SELECT file_name, arg_max({'number': doc_number_short, 'kind': doc_type, 'issued_date': issued_date, 'issued_by': issued_by, 'has': doc_number IS NOT NULL}, seq) AS info FROM m GROUP BY 1), " + QA_SQL + ", qi AS (SELECT qa.*, CASE WHEN dm.info.has THEN dm.info END AS info FROM qa LEFT JOIN dm ON source_doc = file_name)"
 
 
@@ -605,7 +672,21 @@ def chunks(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").selectExpr("'d' || CAST(doc_id AS VARCHAR(20)) AS doc_name", "0 AS chunk_id", "text AS content", "CAST(NULL AS STRING) AS doc_number", "CAST(NULL AS STRING) AS issued_date", "CAST(NULL AS STRING) AS issued_by")
 
 
-QUERIES["generate_with_cache"] = lambda spark, d: generate.generated(chunks(spark, d), generate.TemplateProvider(), "Tạo {num_qa} câu hỏi: {content}", "template")[0].select("source_doc", "chunk_id", "question", "answer", "from_cache")
+TEMPLATE = "Tạo {num_qa} câu hỏi: {content}"
+KEY_SQL = f"substring(sha256(coalesce(text, '') || '|{TEMPLATE}|template'), 1, 16)"
+HEAD_SQL = "substring(" + STRIP.format("regexp_replace('Tạo 5 câu hỏi: ' || coalesce(text, ''), '[\\s\\x0b\\x1c-\\x1f]+', ' ', 'g')") + ", 1, 80)"
+
+
+@query(
+    "generate_with_cache",
+    f"WITH c AS (SELECT {KEY_SQL} AS k, TIMESTAMP '2025-11-30' - to_days((doc_id % 60)::INTEGER) AS made FROM documents WHERE doc_id % 3 = 0), f AS (SELECT DISTINCT k FROM c WHERE made > TIMESTAMP '{DAY}' - INTERVAL 30 DAY), d AS (SELECT 'd' || doc_id AS source_doc, {KEY_SQL} AS key, {HEAD_SQL} AS head FROM documents) SELECT source_doc, 0 AS chunk_id, CASE WHEN k IS NULL THEN head || '?' ELSE 'c' || key END AS question, CASE WHEN k IS NULL THEN {STRIP.format("'Căn cứ Điều 1 Luật số 41/2024/QH15: ' || head")} ELSE 'a' || key END AS answer, k IS NOT NULL AS from_cache FROM d LEFT JOIN f ON k = key",
+)
+def _(spark, d):
+    key = T.cache_key("content", F.lit(TEMPLATE), F.lit("template"))
+    own = F.array(F.struct(F.concat(F.lit("c"), key).alias("question"), F.concat(F.lit("a"), key).alias("answer")))
+    third = table(spark, d, "documents").filter("doc_id % 3 = 0").withColumnRenamed("text", "content")  # every third document is in the cache, half of them too old
+    cache = third.select(key.alias("cache_key"), (F.lit("2025-11-30").cast("timestamp") - F.make_dt_interval(days=(F.col("doc_id") % 60).cast("int"))).alias("created_at"), own.alias("result"))
+    return generate.generated(chunks(spark, d), generate.TemplateProvider(), TEMPLATE, "template", cache, 30, DAY)[0].select("source_doc", "chunk_id", "question", "answer", "from_cache")
 
 
 CACHE_SQL = "SELECT substring(sha256(coalesce(text, '') || '|t|m'), 1, 16) AS cache_key, TIMESTAMP '2025-11-30' - to_days((doc_id % 60)::INTEGER) AS created_at FROM documents WHERE doc_id % 3 = 0"
@@ -714,6 +795,9 @@ def _(spark, d):
     return stream.ran(stream.scored(pairs, RULES).select("seq", "eval_score", "label"), "pairs", "append")
 
 
+QUERIES["stream_cache_hits"] = lambda spark, d: stream.ran(stream.cache_hits(stream.table_stream(spark, d, "events").select(F.col("user_id").cast("string").alias("cache_key"), "ts")), "cache", "append")
+
+
 # Smaller pieces.
 NAMES = [("d1", "Luật một"), ("d3", "Nghị định ba")]
 

@@ -125,6 +125,32 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Files that are one JSON array each, which read_json reads; every task writes its own."""
+    import pyarrow as pa
+
+    def run(batches):
+        first = True
+        for b in batches:
+            lines = b.column(0).to_pylist()
+            if lines:
+                yield pa.RecordBatch.from_pydict({"value": [("[" if first and not k else ",") + x for k, x in enumerate(lines)]})
+                first = False
+        yield pa.RecordBatch.from_pydict({"value": ["[]" if first else "]"]})
+
+    rows = df.select(F.to_json(F.struct(*[F.col(f"`{n}`") for n in df.columns]), {"ignoreNullFields": "false"}).alias("value"))
+    rows.mapInArrow(run, "value string").write.mode(mode).text(path)
+
+
+def read_split(spark: SparkSession, folder: str, split: str, schema: T.StructType | str = None) -> DataFrame:
+    """One split of a folder that write_splits left; a split that is missing is empty."""
+    path = f"{folder}/splits/split={split}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return read_jsonl(spark, path, schema or QA)
+    return spark.createDataFrame([], schema or QA)
+
+
 def read_labelled(spark: SparkSession, good: str, bad: str) -> DataFrame:
     """Good and bad pairs with their label."""
     return read_json(spark, good, QA).withColumn("label", F.lit("good")).unionByName(read_json(spark, bad, QA).withColumn("label", F.lit("bad")))

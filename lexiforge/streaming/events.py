@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.text import normalized, short_md5
 from ..operators.score import ScoreRules, routed, rule_score
@@ -49,6 +50,48 @@ def first_questions(pairs: DataFrame, ts: str = "ts", late: str = "1 day") -> Da
     return keyed.dropDuplicates(["question_hash"])
 
 
+def _lookups(times: list, created, ttl) -> tuple[list[bool], object]:
+    """Whether each request (in order) finds an entry that is younger than ttl; a miss makes a new one."""
+    hits = []
+    for t in times:
+        hit = created is not None and t - created < ttl
+        hits.append(bool(hit))
+        created = created if hit else t
+    return hits, created
+
+
+def cache_hits(requests: DataFrame, ttl: str = "1 hour", late: str = "1 day", key: str = "cache_key", ts: str = "ts") -> DataFrame:
+    """key, ts, hit: requests against a keyed cache whose entries live for ttl. A stream keeps one time per key as state and
+    forgets it once the watermark has passed its end; a batch orders each key's requests in its task."""
+    import pandas as pd
+
+    span, rows = pd.Timedelta(ttl), requests.select(F.col(key).alias("cache_key"), F.col(ts).cast("timestamp").alias("ts"))
+    schema = "cache_key string, ts timestamp, hit boolean"
+
+    def batch(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("ts", kind="stable")
+        return own.assign(hit=_lookups(list(own["ts"]), None, span)[0])
+
+    def step(group: tuple, parts, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        own = pd.concat(list(parts)).sort_values("ts", kind="stable")
+        created = pd.Timestamp(state.get[0], unit="us") if state.exists else None
+        hits, created = _lookups(list(own["ts"]), created, span)
+        state.update((int(created.value // 1000),))
+        end = int((created + span).value // 1_000_000)
+        if end > state.getCurrentWatermarkMs():
+            state.setTimeoutTimestamp(end)
+        else:
+            state.remove()
+        yield own.assign(hit=hits)
+
+    if not requests.isStreaming:
+        return rows.groupBy("cache_key").applyInPandas(batch, schema)
+    return rows.withWatermark("ts", late).groupBy("cache_key").applyInPandasWithState(step, schema, "created long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def ran(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
     """What a stream gives once all that is there has been read; state and output live in the shared folder."""
     import uuid

@@ -38,3 +38,32 @@ def test_temporal_filter_keeps_unknown(spark):
     df = spark.createDataFrame([("q", "9/2020/QH14")], "question string, answer string")
     good, bad = temporal.filter_by_validity(df, laws, "2025-12-01")
     assert good.count() == 1 and bad.count() == 0
+
+
+def test_json_arrays_and_missing_splits(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb", None), (2, "ç", 0.5)], "x long, s string, d double")
+    files.write_json(df.repartition(2), str(tmp_path / "j"))
+    assert sorted(map(tuple, files.read_json(spark, str(tmp_path / "j"), df.schema).collect())) == sorted(map(tuple, df.collect()))
+    for part in (tmp_path / "j").glob("part-*"):
+        assert isinstance(json.loads(part.read_text()), list)
+    qa = spark.createDataFrame([("q?", "a", "d0")], "question string, answer string, source_doc string")
+    sinks.write_splits(qa.selectExpr("*", "'train' AS split"), str(tmp_path / "o"))
+    assert files.read_split(spark, str(tmp_path / "o"), "train").count() == 1
+    assert files.read_split(spark, str(tmp_path / "o"), "test").count() == 0
+
+
+def test_tokenizer_files():
+    import pytest
+
+    from lexiforge.operators.tokenize import FileTokenizer
+
+    public = pytest.importorskip("public_tokenizers")
+    text = "Căn cứ Điều 1, mức hưởng là 75%."
+    whole = FileTokenizer(public.path("byte_bpe_50k.json"), begin=50256)
+    ranks = FileTokenizer(public.path("byte_bpe_50k.tiktoken"), pattern=public.PATTERN)
+    pieces = FileTokenizer(public.path("piece_bpe_32k.model"), begin=1)
+    assert whole.encode(text, True) == [50256, *whole.encode(text, False)]
+    assert whole.encode(text, False) == ranks.encode(text, True)
+    assert pieces.encode(text, True)[0] == 1 and len(pieces.encode(text, False)) > 5
+    with pytest.raises(ValueError, match="unknown kind"):
+        FileTokenizer("x.bin").encode("x", False)

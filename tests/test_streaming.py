@@ -44,3 +44,28 @@ def test_status_listener(spark):
     finally:
         spark.streams.removeListener(listener)
     assert len(listener.records) <= 2
+
+
+def brute_hits(rows, ttl):
+    """(key, ts, hit) by one dictionary in order of time."""
+    made, out = {}, []
+    for k, t in sorted(rows, key=lambda r: r[1]):
+        hit = k in made and t - made[k] < ttl
+        out.append((k, t, hit))
+        if not hit:
+            made[k] = t
+    return sorted(out, key=str)
+
+
+def test_keyed_cache_with_a_time_to_live(spark, tmp_path):
+    import datetime as dt
+
+    ev = spark.read.parquet(f"{D}/events.parquet").select(F.col("user_id").cast("string").alias("cache_key"), F.col("ts").cast("timestamp").alias("ts"))
+    want = brute_hits([(r.cache_key, r.ts) for r in ev.collect()], dt.timedelta(hours=6))
+    assert 0 < sum(h for *_, h in want) < len(want)
+    batch = sorted(map(tuple, events.cache_hits(ev, "6 hours").collect()), key=str)
+    assert batch == want
+    ev.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(ev.schema).parquet(str(tmp_path / "in"))
+    got = sorted(map(tuple, events.ran(events.cache_hits(stream, "6 hours"), "c", "append").collect()), key=str)
+    assert got == want
