@@ -2,7 +2,7 @@
 
 Vectors are cut into 1, 2, 4, ... segments. With segment means m and deviations s, the inner product of a segment of n
 components is at most n * (m_q * m_x + s_q * s_x), so a coarse level bounds the score of a candidate from above. Each
-task holds one block of its candidates at a time and a bounded block of queries; it goes from coarse to fine over the
+task holds a bounded block of queries and a bounded group of candidates; it goes from coarse to fine over the
 candidates whose bound still reaches the query's k-th best score and computes exact integer products for the survivors.
 """
 
@@ -14,11 +14,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, cut
+from .common import col, cut, written
 
 SCALE = 256
-#: Queries of one block; each block is broadcast (its size is bounded by this) and meets all candidates in blocks.
-QUERIES, CANDIDATES = 4096, 4096
+#: Queries of one block; candidates of one group, at least (where that makes more tasks) and at most; candidates of one step.
+QUERIES, LEAST, GROUP, CANDIDATES = 4096, 1024, 65_536, 4096
 LEVELS = 4
 EXACT = 2**53
 
@@ -77,58 +77,48 @@ def top_k(vectors: DataFrame, queries: Column | str, k: int = 5, id_col: str = "
     queries: a condition on the column id. Rows with a null id, and vectors that are null or hold null or non-finite
     components, take no part; vectors of another number of components than the query's are no candidates of it. Rows
     repeated under one id are candidates each; a query id that is repeated counts once, with its least vector. Other
-    columns are ignored. Scores beyond a long are clipped to it.
+    columns are ignored. Scores beyond a long are clipped to it. Blocks of queries and groups of candidates, both of bounded
+    size, meet pair by pair in tasks of their own; each pair leaves k rows a query, of which a window keeps the best.
     """
     import pyarrow as pa
 
-    spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col)
+    rows = written(usable(vectors, id_col, vector_col).withColumn("place", F.monotonically_increasing_id()), "top-k")
     asked = cut(rows.filter(queries).groupBy("id").agg(F.min("x").alias("x")).withColumn("n", F.size("x")))
-    total = asked.count()
+    total, candidates = asked.count(), rows.count()
     blocks = max(1, -(-total // QUERIES))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-
-    def search(shared):
-        def run(batches: Iterator) -> Iterator:
-            qs = shared.value
-            best = {n: [[] for _ in ids] for n, (ids, _) in qs.items()}
-            floor = {n: np.full(len(ids), -np.inf) for n, (ids, _) in qs.items()}
-            for b in batches:
-                sizes = b.column(2).to_numpy()
-                flat = np.floor(SCALE * b.column(1).flatten().to_numpy())
-                starts = np.cumsum(sizes) - sizes
-                every = b.column(0).to_numpy()
-                for n in np.unique(sizes):
-                    if n not in qs:
-                        continue
-                    ids, x = qs[n]
-                    at = np.flatnonzero(sizes == n)
-                    for a in range(0, len(at), CANDIDATES):
-                        part = at[a : a + CANDIDATES]
-                        xs = flat[starts[part][:, None] + np.arange(n)[None, :]]
-                        for i, alive, score in best_of(x, ids, xs, every[part], k, floor[n]):
-                            merged = sorted([*best[n][i], *((-int(s), int(every[part[j]])) for j, s in zip(alive, score, strict=True))])[:k]
-                            best[n][i] = merged
-                            if len(merged) == k:
-                                floor[n][i] = -merged[-1][0]
-            out = [(int(ids[i]), v, -s) for n, (ids, _) in qs.items() for i, pairs in enumerate(best[n]) for s, v in pairs]
-            for a in range(0, len(out), 10_000):
-                q, v, s = zip(*out[a : a + 10_000], strict=True)
-                yield pa.RecordBatch.from_pydict({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.int64())})
-
-        return run
-
-    parts = []
-    for block in range(blocks):  # one bounded block of queries at a time, against all rows
-        by: dict[int, tuple[list, list]] = {}
-        for r in asked.filter(F.col("block") == block).toLocalIterator():
-            got = by.setdefault(r["n"], ([], []))
-            got[0].append(r["id"])
-            got[1].append(np.floor(SCALE * np.array(r["x"], float)))
-        packed = {n: (np.array(ids), np.stack(x)) for n, (ids, x) in by.items()}
-        parts.append(rows.mapInArrow(search(spark.sparkContext.broadcast(packed)), "query_id long, vec_id long, score long"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
+    tasks = 2 * vectors.sparkSession.sparkContext.defaultParallelism
+    groups = max(1, -(-candidates // GROUP), min(-(-tasks // blocks), candidates // LEAST))
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    group = F.pmod(F.xxhash64("place"), F.lit(groups)).cast("int")  # by place: an id may have any share of the rows
+    left = asked.select("id", "x", "n", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
+    right = rows.select("id", "x", "n", group.alias("group"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+
+    def matrices(t: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Number of components -> ids and vectors."""
+        ids, x, sizes = t["id"].to_numpy(), t["x"].combine_chunks(), t["n"].to_numpy()
+        flat = np.floor(SCALE * x.flatten().to_numpy())
+        starts = np.cumsum(sizes) - sizes
+        return {int(n): (ids[sizes == n], flat[starts[sizes == n][:, None] + np.arange(n)[None, :]]) for n in np.unique(sizes)}
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        found = matrices(right)
+        for n, (ids, x) in matrices(left).items():
+            if n not in found:
+                continue
+            every, xs = found[n]
+            best: list[list] = [[] for _ in ids]
+            floor = np.full(len(ids), -np.inf)
+            for a in range(0, len(every), CANDIDATES):
+                part = every[a : a + CANDIDATES]
+                for i, alive, score in best_of(x, ids, xs[a : a + CANDIDATES], part, k, floor):
+                    best[i] = sorted([*best[i], *zip((-score).tolist(), part[alive].tolist(), strict=True)])[:k]
+                    if len(best[i]) == k:
+                        floor[i] = -best[i][-1][0]
+            out += [(q, v, -s) for q, pairs in zip(ids.tolist(), best, strict=True) for s, v in pairs]
+        q, v, s = zip(*out, strict=True) if out else ((), (), ())
+        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.int64())})
+
+    out = left.groupBy("block", "group").cogroup(right.groupBy("block", "group")).applyInArrow(meet, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
