@@ -43,6 +43,9 @@ def main(argv: list[str] | None = None) -> int:
         if a.retry_failed:
             job.retry_failed()
         log.info("ran: %s", ", ".join(job.run(a.step, a.force)) or "nothing")
+        if job.done("evaluate"):
+            q = report.quality_summary(job.read("evaluate")).first()
+            log.info("health %s (%s): %s good pairs of high, %s of medium quality, %s bad ones", q.health_score, q.health_band, q.high_quality, q.medium_quality, q.low_quality)
         storage.clean(spark)
     elif a.what == "check":
         df = files.read_json(spark, a.file, files.QA).withColumn("seq", F.monotonically_increasing_id())

@@ -159,7 +159,8 @@ class Curation:
         fields = structure.get("metadata_fields", [])
         out = export.formatted(self.read("split"), self.settings.get("output.format", "chat"), source="source" in fields, perspective="perspective" in fields, keep=("split",))
         export.write_splits(out, self.path("export"))
-        self.save(export.merged(out), "dataset_final")
+        final = self.save(export.merged(out), "dataset_final")
+        sinks.write_final(final, self.path("json"), tuple(self.settings.get("output.formats")))
         return out
 
     def summary(self) -> DataFrame:

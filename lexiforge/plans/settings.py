@@ -120,6 +120,12 @@ class Settings:
         p = self.get(path)
         return p if "://" in p or os.path.isabs(p) else os.path.join(self.base, p)
 
+    def make_dirs(self) -> None:
+        """Local input and output folders; those of other stores are made when they are written."""
+        for name in ("general.input_dir", "general.output_dir"):
+            if "://" not in (at := self.resolved(name)):
+                os.makedirs(at, exist_ok=True)
+
     def perspectives(self) -> list[dict]:
         return [p for p in self.get("qa_generation.perspectives", []) if p.get("enabled", True)]
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import report, split, temporal
+from ..operators import export, report, split, temporal
+from . import files
+from .storage import exists
 
 
 def _json(df: DataFrame, path: str, by: str | None = None) -> None:
@@ -33,6 +35,23 @@ def write_rescued(rescued: DataFrame, still_bad: DataFrame, out: str) -> None:
     _json(still_bad, f"{out}/qa_still_bad")
 
 
+def read_rescued(spark, out: str) -> DataFrame:
+    """The rescued pairs of an earlier run; none where there was no such run."""
+    return files.read_jsonl(spark, f"{out}/qa_rescued", files.QA) if exists(spark, f"{out}/qa_rescued") else spark.createDataFrame([], files.QA)
+
+
+def write_legacy(good: DataFrame, out: str, kind: str = "instruction") -> None:
+    """Good pairs as instructions or chats, split by row at random and without a seed."""
+    _json(export.formatted(split.random_split(good), kind, keep=("split",)), f"{out}/legacy_{kind}", "split")
+
+
+def write_final(merged: DataFrame, out: str, formats: tuple[str, ...] = ("json", "jsonl")) -> None:
+    """All splits together, as JSON arrays and as JSON lines."""
+    for name, write in (("json", files.write_json), ("jsonl", files.write_jsonl)):
+        if name in formats:
+            write(merged, f"{out}/dataset_final_{name}")
+
+
 def write_regenerate_list(chunks: DataFrame, out: str) -> None:
     _json(chunks, f"{out}/chunks_to_regenerate")
 
@@ -75,6 +94,14 @@ def append_status(spark, out: str, step: str, processed: int, total: int) -> Non
     row.write.mode("append").parquet(f"{out}/live_status")
 
 
+def status(spark, out: str) -> DataFrame:
+    """step, processed, total, percent: the live status, or what the stages' tables hold where there is none."""
+    if exists(spark, f"{out}/live_status"):
+        return latest_status(spark, out)
+    rows = [(name, spark.read.parquet(f"{out}/{name}").count()) for name in ("extract", "generate", "evaluate", "split") if exists(spark, f"{out}/{name}")]
+    return spark.createDataFrame([(n, c, c, 100.0) for n, c in rows], "step string, processed long, total long, percent double")
+
+
 def latest_status(spark, out: str) -> DataFrame:
     s = spark.read.parquet(f"{out}/live_status")
     return s.groupBy("step").agg(F.max_by(F.struct("processed", "total"), "at").alias("s")).select("step", "s.processed", "s.total", (F.col("s.processed") / F.greatest(F.lit(1), F.col("s.total")) * 100).alias("percent"))

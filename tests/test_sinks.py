@@ -52,6 +52,25 @@ def test_json_arrays_and_missing_splits(spark, tmp_path):
     assert files.read_split(spark, str(tmp_path / "o"), "test").count() == 0
 
 
+def test_earlier_results_and_legacy_export(spark, tmp_path):
+    out = str(tmp_path)
+    df = spark.createDataFrame([(k, f"q{k}?", "a", "d0") for k in range(30)], "seq long, question string, answer string, source_doc string")
+    assert sinks.read_rescued(spark, out).count() == 0
+    sinks.write_rescued(df.limit(3), df.limit(0), out)
+    assert sinks.read_rescued(spark, out).count() == 3
+    for kind, column in (("instruction", "instruction"), ("chat", "messages")):
+        sinks.write_legacy(df, out, kind)
+        got = files.read_jsonl(spark, f"{out}/legacy_{kind}")
+        assert got.count() == 30 and column in got.columns
+    sinks.write_final(df, out)
+    assert files.read_json(spark, f"{out}/dataset_final_json").count() == files.read_jsonl(spark, f"{out}/dataset_final_jsonl").count() == 30
+    assert sinks.status(spark, out).count() == 0
+    df.write.parquet(f"{out}/generate")
+    assert [(r.step, r.processed) for r in sinks.status(spark, out).collect()] == [("generate", 30)]
+    sinks.append_status(spark, out, "generate", 1, 4)
+    assert [(r.step, r.percent) for r in sinks.status(spark, out).collect()] == [("generate", 25.0)]
+
+
 def test_tokenizer_files():
     import pytest
 
