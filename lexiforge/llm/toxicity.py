@@ -1,7 +1,8 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, scores of the context, logistic regression.
 
-The lexicon (words, and stems that any ending may follow) is learned from a bounded sample of labelled rows. A word is
-matched by walking the intersection of the trie and the Levenshtein automaton of each entry; its states are made when
+The lexicon (words, and stems that any ending may follow) is learned from a bounded sample of labelled rows, whose words
+are counted where the rows are; only candidates of the lexicon and the fitted rows' features reach the driver. Stems that
+clean texts have by chance, but hardly ever in two forms, are weak: they count by their different forms. A word is matched by walking the intersection of the trie and the Levenshtein automaton of each entry; its states are made when
 they are first met and remembered, so that most words die after a few characters. The window around each hit says
 whether the term is quoted or aimed at somebody, and a document's score is a logistic function of its hits by kind.
 """
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -18,26 +19,32 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, release, small
+from .common import col, cut, release, remove, small, written_at
 
 THRESHOLD = 0.3
-#: Bound of the labelled sample: about so many rows of label 1 and CLEAN times as many of label 0, of at most MAX_CHARS characters.
-PER_LABEL, CLEAN, MAX_CHARS = 3000, 3, 200_000
+#: Bound of the labelled sample: about so many rows of label 1 and CLEAN times as many of label 0, of any length.
+PER_LABEL, CLEAN = 3000, 3
 #: A term needs so many different contexts in toxic texts at least, and so many that chance, which would put each into a
 #: clean text with their share, has a probability of exp(-EVIDENCE); and at most so many clean texts for each toxic one.
 CONTEXTS, EVIDENCE, IMPURE = 5, 12.0, 0.02
+#: The same share for a weak stem, of texts with two forms of it; its forms at least.
+WEAK_IMPURE, FORMS = 0.05, 5
 STEMS = (4, 5, 6, 7)
-LEXICON = 2000
+#: Most entries of the lexicon, and most terms that are looked at for it (those in most toxic texts).
+LEXICON, CANDIDATES = 2000, 20_000
+#: Terms that a task counts before it passes them on.
+COUNTED = 500_000
 #: Words on each side of a hit that make up its context.
 WINDOW = 6
 WORDS_KEPT = 200_000
-WORD = re.compile(r"[^\W\d_]+")
+#: Letters; digits and signs that stand for a letter inside a word.
+WORD = re.compile(r"[^\W\d_]+(?:[\d*@$]{1,2}[^\W\d_]+)*")
 # Quotation marks; words that report speech; words that address somebody (English, German, French, Spanish).
 QUOTES = set("\"“”„«»‹›‟")
 REPORTING = frozenset("said says say called calls call quoted quote quotes wrote writes word words term sagte sagt nannte wort dit disait appelé mot dijo dice llamó palabra".split())
 ADDRESS = frozenset("you your youre du dich ihr tu toi vous eres tú usted".split())
-EXACT, STEM, FUZZY = 0, 1, 2
-FEATURES = 7
+EXACT, STEM, FUZZY, WEAK = 0, 1, 2, 3
+FEATURES = 9
 
 
 class Automaton:
@@ -134,12 +141,13 @@ class Automaton:
 @dataclass
 class Model:
     entries: dict[str, bool] = field(default_factory=dict)
+    weak: frozenset = frozenset()
     weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES + 1))
     _automaton: Automaton | None = None
     _known: dict = field(default_factory=dict)
 
     def __getstate__(self):
-        return {"entries": self.entries, "weights": self.weights, "_automaton": None, "_known": {}}
+        return {"entries": self.entries, "weak": self.weak, "weights": self.weights, "_automaton": None, "_known": {}}
 
     def forget(self) -> None:
         """Drops what was remembered of words, at the end of a task."""
@@ -156,15 +164,17 @@ class Model:
             if len(known) + len(new) > WORDS_KEPT:
                 known.clear()
                 new = set(words)
-            match = self._automaton.match
-            known.update((w, match(w)) for w in new)
+            match, weak = self._automaton.match, self.weak
+            for w in new:
+                kind = match(w)
+                known[w] = WEAK if kind is None and any(w[:n] in weak for n in STEMS if len(w) > n) else kind
         kinds = list(map(known.__getitem__, words))
         return [(words[k], k, x) for k, x in enumerate(kinds) if x is not None], len(words)
 
     def features(self, text: str | None) -> np.ndarray:
-        """By kind the weighed hits in abuse, those in quotations, and hits by words."""
+        """By kind the weighed hits in abuse, those in quotations, hits by words; the weighed different forms of weak stems, and those beyond one."""
         out = np.zeros(FEATURES)
-        if not text or not self.entries:
+        if not text or not (self.entries or self.weak):
             return out
         found, n = self.hits(text)
         if not found:
@@ -172,7 +182,8 @@ class Model:
         lower = text.lower()
         spans = list(WORD.finditer(lower))
         words = [m.group() for m in spans]
-        for _, k, kind in found:
+        strong, forms = 0, {}
+        for word, k, kind in found:
             a, z = max(0, k - WINDOW), min(len(words), k + WINDOW + 1)
             before, after = lower[spans[a].start() : spans[k].start()], lower[spans[k].end() : spans[z - 1].end() + 2]
             around = words[a:k] + words[k + 1 : z]
@@ -180,67 +191,132 @@ class Model:
             told = not REPORTING.isdisjoint(around)
             aimed = not ADDRESS.isdisjoint(around)
             abuse = min(1.0, max(0.0, 1 - 0.6 * quoted - 0.3 * told + 0.4 * aimed))
-            out[kind] += abuse
-            out[3 + kind] += 1 - abuse
+            if kind == WEAK:
+                forms[word] = max(forms.get(word, 0.0), abuse)
+            else:
+                strong += 1
+                out[kind] += abuse
+                out[3 + kind] += 1 - abuse
         out[:6] = np.log1p(out[:6])
-        out[6] = math.log1p(100 * len(found) / n)
+        out[6] = math.log1p(100 * strong / n)
+        weak = sum(forms.values())
+        out[7:] = math.log1p(weak), math.log1p(max(0.0, weak - 1))
         return out
 
     def score(self, text: str | None) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.features(text) @ self.weights[:-1] + self.weights[-1], -30, 30))))
 
 
-def lexicon(rows: list[tuple[str, int]]) -> dict[str, bool]:
-    """term -> is a stem, from (text, label) rows; each text counts once however often it is repeated.
+def terms(words: set[str]) -> dict[tuple[str, bool], int]:
+    """(term, whether it is a stem) -> different words of a text that have it."""
+    out = {(w, False): 1 for w in words if len(w) >= 3}
+    for w in words:
+        for n in STEMS:
+            if len(w) > n:
+                out[w[:n], True] = out.get((w[:n], True), 0) + 1
+    return out
+
+
+def evidence(rows: DataFrame) -> DataFrame:
+    """term, stem, toxic, toxic2, clean, clean2: texts of each label that have it, and that have it in two words; rows: t, y."""
+    import pyarrow as pa
+
+    def passed(counts: dict) -> pa.RecordBatch:
+        keys, n = list(counts), np.array(list(counts.values()), np.int64).reshape(-1, 4)
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()), *[pa.array(n[:, i]) for i in range(4)]], names=["term", "stem", "toxic", "toxic2", "clean", "clean2"])
+
+    def run(batches: Iterator) -> Iterator:
+        counts: dict = defaultdict(lambda: [0, 0, 0, 0])
+        for b in batches:
+            for t, y in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+                at = 0 if y else 2
+                for x, n in terms(set(WORD.findall(t.as_py().lower()))).items():
+                    own = counts[x]
+                    own[at] += 1
+                    own[at + 1] += n > 1
+                if len(counts) > COUNTED:
+                    yield passed(counts)
+                    counts.clear()
+        yield passed(counts)
+
+    counted = rows.select("t", "y").mapInArrow(run, "term string, stem boolean, toxic long, toxic2 long, clean long, clean2 long")
+    return counted.groupBy("term", "stem").agg(*[F.sum(n).alias(n) for n in ("toxic", "toxic2", "clean", "clean2")])
+
+
+def contexts(rows: DataFrame, wanted: set[tuple[str, bool]]) -> DataFrame:
+    """term, stem, contexts, forms: different neighbours and different words of the wanted terms in toxic texts."""
+    import pyarrow as pa
+
+    shared = rows.sparkSession.sparkContext.broadcast(wanted)  # CANDIDATES at most
+
+    def run(batches: Iterator) -> Iterator:
+        own = shared.value
+        for b in batches:
+            for t in b.column(0):
+                words = ["", *WORD.findall(t.as_py().lower()), ""]
+                found = set()
+                for k in range(1, len(words) - 1):
+                    w = words[k]
+                    for x in ((w, False), *((w[:n], True) for n in STEMS if len(w) > n)):
+                        if x in own:
+                            found.add((*x, words[k - 1], words[k + 1], w))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], names=["term", "stem", "before", "after", "word"])
+
+    found = rows.filter("y = 1").select("t").mapInArrow(run, "term string, stem boolean, before string, after string, word string")
+    return found.groupBy("term", "stem").agg(F.count_distinct("before", "after").alias("contexts"), F.count_distinct("word").alias("forms"))
+
+
+def lexicon(rows: DataFrame) -> tuple[dict[str, bool], frozenset]:
+    """(term -> is a stem, weak stems) from rows (t, y) of different texts.
 
     A term stands in at least CONTEXTS different contexts of toxic texts (so near copies of one text count as one) and
-    in at most IMPURE clean texts for each toxic one. A stem is a beginning that several such words share.
+    in at most IMPURE clean texts for each toxic one. A stem is a beginning that several such words share. A weak stem is
+    one for which this holds of the texts that have two forms of it.
     """
-    toxic, pure, clean = Counter(), Counter(), Counter()
-    texts = {t: y for t, y in rows}
-    sizes = Counter(texts.values())
-    if not sizes[1]:
-        return {}
-    least = max(CONTEXTS, math.ceil(EVIDENCE / math.log1p(sizes[0] / sizes[1])) if sizes[0] else CONTEXTS)
-
-    def terms(words: set[str]) -> set[tuple[str, bool]]:
-        return {(w, False) for w in words if len(w) >= 3} | {(w[:n], True) for w in words for n in STEMS if len(w) > n}
-
-    for t, y in texts.items():
-        if y:
-            toxic.update(terms(set(WORD.findall(t.lower()))))
-    wanted = {x for x, n in toxic.items() if n >= least}
-    del toxic
-    for t, y in texts.items():
-        (pure if y else clean).update(terms(set(WORD.findall(t.lower()))) & wanted)
-    even = sizes[1] / max(1, sizes[0])
-    wanted = {x for x in wanted if clean[x] * even <= IMPURE * pure[x]}
-    contexts, forms = defaultdict(set), defaultdict(set)
-    for t, y in texts.items():
-        if not y:
-            continue
-        words = ["", *WORD.findall(t.lower()), ""]
-        for k in range(1, len(words) - 1):
-            w = words[k]
-            for x in ((w, False), *((w[:n], True) for n in STEMS if len(w) > n)):
-                if x in wanted:
-                    contexts[x].add((words[k - 1], words[k + 1]))
-                    if x[1]:
-                        forms[x].add(w)
-    strong = sorted(((len(c), x) for x, c in contexts.items() if len(c) >= least), key=lambda s: (-s[0], s[1]))
-    out: dict[str, bool] = {}
-    words = {x[0] for n, x in strong if not x[1]}
+    sizes = {r.y: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if not sizes.get(1):
+        return {}, frozenset()
+    clean = sizes.get(0, 0)
+    least = max(CONTEXTS, math.ceil(EVIDENCE / math.log1p(clean / sizes[1])) if clean else CONTEXTS)
+    even = sizes[1] / max(1, clean)
+    pure = (F.col("toxic") >= least) & (F.col("clean") * even <= IMPURE * F.col("toxic"))
+    weak = F.col("stem") & (F.col("toxic2") >= least) & (F.col("clean2") * even <= WEAK_IMPURE * F.col("toxic2"))
+    found = evidence(rows).withColumns({"pure": pure, "weak": weak}).filter("pure or weak")
+    found = {(r.term, r.stem): r for r in found.orderBy(F.col("toxic").desc(), "term", "stem").limit(CANDIDATES).collect()}
+    seen = {(r.term, r.stem): (r.contexts, r.forms) for r in contexts(rows, set(found)).collect()}
+    near = {x: seen.get(x, (0, 0)) for x in found}
+    loose: list[str] = []
+    for _, n, term in sorted((-r.toxic2, len(r.term), r.term) for x, r in found.items() if r.weak and not r.pure and near[x][0] >= least and near[x][1] >= FORMS):
+        if not any(term.startswith(s) or s.startswith(term) for s in loose):
+            loose.append(term)
+    strong = sorted(((near[x][0], x) for x, r in found.items() if r.pure and near[x][0] >= least), key=lambda s: (-s[0], s[1]))
+    strong = [(n, x) for n, x in strong if not any(x[0].startswith(s) for s in loose)]  # a form of a weak stem is weak
+    words = {x[0]: n for n, x in strong if not x[1]}
     stems: list[str] = []
-    for _, (term, is_stem) in strong:
-        if is_stem and len(forms[term, True]) >= 3 and not any(w.startswith(term) and contexts[w, False] and len(contexts[w, False]) > len(contexts[term, True]) / 2 for w in words):
+    for n, (term, is_stem) in strong:
+        if is_stem and near[term, True][1] >= 3 and not any(w.startswith(term) and words[w] > n / 2 for w in words):
             if not any(term.startswith(s) or s.startswith(term) for s in stems):
                 stems.append(term)
-    for s in stems:
-        out[s] = True
-    for w in sorted(words, key=lambda w: (-len(contexts[w, False]), w)):
+    out = dict.fromkeys(stems[:LEXICON], True)
+    for w in sorted(words, key=lambda w: (-words[w], w)):
         if not any(w.startswith(s) for s in stems) and len(out) < LEXICON:
             out.setdefault(w, False)
-    return out
+    return out, frozenset(loose[:LEXICON])
+
+
+def features(rows: DataFrame, model: Model) -> DataFrame:
+    """y and x, the features of t."""
+    import pyarrow as pa
+
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator) -> Iterator:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([shared.value.features(t.as_py()).tolist() for t in b.column(0)], pa.list_(pa.float64()))], names=["y", "x"])
+        shared.value.forget()
+
+    return rows.select("t", "y").mapInArrow(run, "y int, x array<double>")
 
 
 def regress(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.05, steps: int = 40) -> np.ndarray:
@@ -260,24 +336,31 @@ def regress(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.0
 def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "toxic", per_label: int = PER_LABEL) -> Model:
     """A model from labelled rows for which may_learn (a condition on the column `id`) holds.
 
-    The rows are chosen by a hash of their id, about per_label of label 1 and CLEAN times as many of label 0; an id with several labels has the highest.
-    Without toxic rows the model says 0 everywhere.
+    The rows are chosen by a hash of their id, about per_label of label 1 and CLEAN times as many of label 0; an id with
+    several labels has the highest, and so has a text that stands under several ids: each text is learned from once. Rows of
+    any length count. Texts stay where they are: their words are counted, and their features made, in tasks. Without toxic
+    rows the model says 0 everywhere.
     """
     marked = labels.select(col(labels, label_id).alias("id"), col(labels, label_col).cast("int").alias("y")).filter("id is not null and y in (0, 1)").filter(may_learn)
-    marked = marked.groupBy("id").agg(F.max("y").alias("y"))
+    marked = cut(marked.groupBy("id").agg(F.max("y").alias("y")))
     sizes = {r.y: r["n"] for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    none = Model(weights=np.r_[np.zeros(FEATURES), -30.0])
     if not sizes.get(1):
-        return Model(weights=np.r_[np.zeros(FEATURES), -30.0])
+        return none
     share = F.when(F.col("y") == 1, F.lit(min(1.0, per_label / sizes[1]))).otherwise(F.lit(min(1.0, CLEAN * per_label / max(1, sizes.get(0, 0)))))
     lot = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("toxic"), F.col("id").cast("string"))), 1, 8), 16, 10).cast("double") / float(2**32)
-    chosen = marked.filter(lot < share)
-    own = docs.select(col(docs, id_col).alias("id"), col(docs, text_col).alias("t")).filter(F.col("t").isNotNull() & (F.length("t") <= MAX_CHARS))
-    rows = own.join(small(chosen, 2 * (1 + CLEAN) * per_label, 32), "id").select("t", "y", F.col("id").cast("string").alias("i")).collect()  # bounded by per_label
-    rows = [(r.t, r.y) for r in sorted(rows, key=lambda r: (r.i, r.t))]
-    if not any(y for _, y in rows):
-        return Model(weights=np.r_[np.zeros(FEATURES), -30.0])
-    model = Model(lexicon(rows))
-    x, y = np.array([model.features(t) for t, _ in rows]), np.array([y for _, y in rows], float)
+    chosen = cut(marked.filter(lot < share))
+    own = docs.select(col(docs, id_col).alias("id"), col(docs, text_col).alias("t")).filter("t is not null")
+    found = own.join(small(chosen, chosen.count(), 32), "id")
+    rows, path = written_at(found.groupBy(F.md5("t").alias("h")).agg(F.first("t").alias("t"), F.max("y").alias("y")).select("t", "y"), "toxic-rows")
+    model = Model(*lexicon(rows))
+    fitted = features(rows, model).collect()  # FEATURES numbers for each of the sample's rows, bounded by per_label
+    remove(docs.sparkSession, path)
+    y = np.array([r.y for r in fitted], float)
+    if not y.any():
+        return none
+    order = np.lexsort((*np.array([r.x for r in fitted]).T, y))  # the same sums in the same order each time
+    x, y = np.array([r.x for r in fitted])[order], y[order]
     prior = sizes[1] / (sizes[1] + sizes.get(0, 0))
     weight = np.where(y == 1, prior / max(1, y.sum()), (1 - prior) / max(1, (1 - y).sum())) * len(y)
     model.weights = regress(x, y, weight)
