@@ -14,13 +14,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import col, cut
 
 #: Hashed n-grams of 1 to NGRAM characters, 2**HASH_BITS features.
 NGRAM, HASH_BITS = 3, 15
 #: Bound of the sample that the weights are fitted on: about so many documents of each language.
 PER_LANG = 600
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.002, 0.001, 3
+#: Most languages of a model.
+MOST = 1000
 UNDETERMINED = "und"
 
 _TABLE: list[np.ndarray] = []
@@ -109,14 +111,21 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, features:
 
 
 def calibrated(logits: np.ndarray, classes: np.ndarray) -> float:
-    """The temperature of least log loss, between 1/20 and 20, on rows that were not fitted."""
-    if not len(logits):
+    """The temperature of least log loss, between 1/20 and 20, on rows that were not fitted.
+
+    The labels are smoothed by the error rate that these rows show (half an error more, as Jeffreys' prior has it): where all of them are right, the
+    plain loss would be least at the least temperature and call every prediction certain.
+    """
+    if not len(logits) or logits.shape[1] < 2:
         return 1.0
+    wrong = ((logits.argmax(axis=1) != classes).sum() + 0.5) / (len(logits) + 1)
+    target = np.full(logits.shape, wrong / (logits.shape[1] - 1))
+    target[np.arange(len(logits)), classes] = 1 - wrong
 
     def loss(t: float) -> float:
         z = logits / t
         z = z - z.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(z)), classes]).mean())
+        return float((np.log(np.exp(z).sum(axis=1)) - (target * z).sum(axis=1)).mean())
 
     low, high, ratio = np.log(0.05), np.log(20.0), (np.sqrt(5) - 1) / 2
     for _ in range(40):
@@ -126,7 +135,7 @@ def calibrated(logits: np.ndarray, classes: np.ndarray) -> float:
 
 
 def learn(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG) -> Model:
-    """A model from rows where may_learn holds (a condition on columns of docs) and text and language are not null."""
+    """A model from rows where may_learn holds (a condition on columns of docs) and text and language are not null; at most MOST languages."""
     import pyarrow as pa
 
     size = 1 << HASH_BITS
@@ -148,13 +157,15 @@ def learn(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     df[found.feature.to_numpy()] = found.df.to_numpy()
     idf = np.log((1 + total) / (1 + df)) + 1
 
-    sizes = {r.y: r["n"] for r in own.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    langs = sorted(sizes)
+    sizes = cut(own.groupBy("y").agg(F.count("*").alias("n")))
+    if (n := sizes.count()) > MOST:
+        raise ValueError(f"{n} languages: the model has 2**{HASH_BITS} weights for each, which is meant for {MOST} at most")
+    langs = sorted(r.y for r in sizes.collect())
     if not langs:
         return Model([], idf)
-    share = F.create_map(*[x for y in langs for x in (F.lit(y), F.lit(min(1.0, per_lang / sizes[y])))])
+    shares = F.broadcast(sizes.select(F.col("y").alias("s_y"), F.least(F.lit(1.0), F.lit(per_lang) / F.col("n")).alias("share")))  # MOST rows at most
     lot = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("lang"), F.coalesce(F.col("id").cast("string"), "t"))), 1, 8), 16, 10).cast("double") / float(2**32)
-    sample = own.withColumn("lot", lot).filter(F.col("lot") < share[F.col("y")])
+    sample = own.withColumn("lot", lot).join(shares, F.col("y") == F.col("s_y")).filter("lot < share")
     model = Model(langs, idf)
 
     def vectors(batches: Iterator) -> Iterator:
