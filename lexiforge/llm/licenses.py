@@ -22,29 +22,58 @@ from .common import col, cut, written
 THRESHOLD = 0.7
 #: Words on each side of a licence word that a window takes at most.
 WINDOW = 24
-TERM = re.compile(r"[a-z]+(?:-[a-z]+)*|\d+(?:\.\d+)*")
+TERM = re.compile(r"[a-z]+|\d+(?:\.\d+)*")
 FILE_NAME = r"(?i)^(licen[cs]es?|copying|copyright|notice|unlicense)([._-].*)?$"
 
-# The names and short statements of public licences.
+# Identifiers, names, statements and (where they are short) texts of public licences.
+_MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject
+to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of
+the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
+OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE
+OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided
+that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL
+WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE
+FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_BSD_2_TEXT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in
+the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS
+"AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+PARTICULAR PURPOSE ARE DISCLAIMED."""
+_BSD_3_TEXT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in
+the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its
+contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS
+PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+_UNLICENSE_TEXT = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
+compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial,
+and by any means."""
 TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0", "Apache License Version 2.0, January 2004 Terms and conditions for use, reproduction, and distribution"],
-    "BSD-2-Clause": ["BSD 2-Clause License", "Licensed under the Simplified BSD License"],
-    "BSD-3-Clause": ["BSD 3-Clause License", "Licensed under the New BSD License", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0", "Creative Commons Attribution 4.0 International License"],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"],
-    "CC0-1.0": ["CC0 1.0 Universal public domain dedication"],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2"],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3", "GNU General Public License Version 3, 29 June 2007"],
-    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3"],
-    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3"],
-    "ISC": ["ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
-    "MIT": ["Released under the MIT License", "The MIT License", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "Mozilla Public License Version 2.0"],
-    "Unlicense": ["This is free and unencumbered software released into the public domain"],
+    "Apache-2.0": ["SPDX-License-Identifier: Apache-2.0", "Apache License 2.0", "Licensed under the Apache License, Version 2.0", "Apache License Version 2.0, January 2004", "Apache License Version 2.0, January 2004 Terms and conditions for use, reproduction, and distribution"],
+    "BSD-2-Clause": ["SPDX-License-Identifier: BSD-2-Clause", "BSD 2-Clause License", "Licensed under the Simplified BSD License", _BSD_2_TEXT],
+    "BSD-3-Clause": ["SPDX-License-Identifier: BSD-3-Clause", "BSD 3-Clause License", "Licensed under the New BSD License", _BSD_3_TEXT],
+    "CC-BY-4.0": ["SPDX-License-Identifier: CC-BY-4.0", "Licensed under CC BY 4.0", "Creative Commons Attribution 4.0 International License"],
+    "CC-BY-NC-4.0": ["SPDX-License-Identifier: CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"],
+    "CC-BY-SA-4.0": ["SPDX-License-Identifier: CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "CC0-1.0": ["SPDX-License-Identifier: CC0-1.0", "CC0 1.0 Universal public domain dedication"],
+    "GPL-2.0": ["SPDX-License-Identifier: GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPLv2", "Released under the GPL v2", "This work is licensed under the GNU General Public License, version 2", "GNU General Public License Version 2, June 1991"],
+    "GPL-3.0": ["SPDX-License-Identifier: GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "GPLv3", "Released under the GPL v3", "This work is licensed under the GNU General Public License, version 3", "GNU General Public License Version 3, 29 June 2007"],
+    "LGPL-3.0": ["SPDX-License-Identifier: LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "LGPLv3", "Licensed under the GNU Lesser General Public License, version 3"],
+    "AGPL-3.0": ["SPDX-License-Identifier: AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "AGPLv3", "Licensed under the GNU Affero General Public License, version 3"],
+    "ISC": ["SPDX-License-Identifier: ISC", "ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", _ISC_TEXT],
+    "MIT": ["SPDX-License-Identifier: MIT", "Released under the MIT License", "The MIT License", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", _MIT_TEXT],
+    "MPL-2.0": ["SPDX-License-Identifier: MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "Mozilla Public License Version 2.0"],
+    "Unlicense": ["SPDX-License-Identifier: Unlicense", "This is free and unencumbered software released into the public domain", _UNLICENSE_TEXT],
 }
 #: Words around which a text is looked at.
-TRIGGERS = frozenset("license licence licensed licenced licenses unlicense permission redistribution copyright cc cc0 gpl lgpl agpl mit apache bsd mozilla creative unencumbered spdx".split())
+TRIGGERS = frozenset("license licence licensed licenced licenses unlicense permission redistribution copyright cc cc0 gpl lgpl agpl gplv lgplv agplv mit apache bsd mozilla creative unencumbered spdx".split())
 
 
 def terms(words: list[str]) -> list[str]:

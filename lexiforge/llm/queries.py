@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, langid, licenses, mixing, packing, simhash, token_store, tokens, topk, toxicity
-from .common import crc_mod
+from .common import WORD, crc_mod
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -28,10 +28,29 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+#: A document is its directory's LICENSE if a statement makes up a good part of it: below so many words.
+STATEMENT_WORDS = 200
+
+
+def paths(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a path, which documents do not have: source/lang/<thousands>/<hundreds>/<tens>/doc_id.txt.
+
+    A short text (below STATEMENT_WORDS words) that has a line on a licence stands as the file LICENSE-doc_id of one of the directories
+    above it, by its id at the level of its source and language, of the thousand or of the hundred: so licences are inherited from
+    near and far.
+    """
+    id_ = F.coalesce("doc_id", F.lit(0))
+    level = [F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), F.floor(id_ / 1000).cast("string"), F.floor(id_ / 100).cast("string"), F.floor(id_ / 10).cast("string")]
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("_"))
+    text = F.coalesce("text", F.lit(""))
+    stands = F.lower(text).rlike(r"licen[cs]e") & (F.regexp_count(text, F.lit(WORD)) < STATEMENT_WORDS)
+    depth = F.pmod(F.crc32(name), F.lit(3))
+    licence = F.when(depth == 0, F.concat_ws("/", *level[:2], F.concat(F.lit("LICENSE-"), name))).when(depth == 1, F.concat_ws("/", *level[:3], F.concat(F.lit("LICENSE-"), name))).otherwise(F.concat_ws("/", *level[:4], F.concat(F.lit("LICENSE-"), name)))
+    return docs.select("doc_id", "text", F.when(stands, licence).otherwise(F.concat_ws("/", *level, F.concat(name, F.lit(".txt")))).alias("path"))
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("_")), F.lit(".txt")))
-    return licenses.license_scan(docs.select("doc_id", "text", path.alias("path")), id_col="doc_id")
+    return licenses.license_scan(paths(table(spark, sf_dir, "documents")), id_col="doc_id")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
