@@ -53,7 +53,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = common.written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        docs, path = common.written_at(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        if last:  # nothing reads the stage before any more
+            common.remove(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
