@@ -135,3 +135,134 @@ def test_license_statements_of_documents(spark):
     for r in rows:
         assert (r.license in [n for n, x in lines.items() if x.lower() in texts[r.doc_id].lower()]) == (r.license is not None)
         assert r.license or not any(x.lower() in texts[r.doc_id].lower() for x in lines.values())
+
+
+HEADERS = {
+    "// SPDX-License-Identifier: MIT": "MIT",
+    "# SPDX-License-Identifier: Apache-2.0\n": "Apache-2.0",
+    "/* SPDX-License-Identifier: GPL-3.0-only */ int x;": "GPL-3.0",
+    "SPDX-License-Identifier: LGPL-3.0-or-later": "LGPL-3.0",
+    "spdx-license-identifier: BSD-3-Clause": "BSD-3-Clause",
+    "This file is part of X. It is released under the GPLv3.": "GPL-3.0",
+    "License: CC-BY-SA-4.0": "CC-BY-SA-4.0",
+    "You may obtain a copy. Licensed under the Apache License, Version 2.0 (the \"License\");": "Apache-2.0",
+    "Mozilla Public License, version 2.0": "MPL-2.0",
+    "The weather is nice and nobody asked for permission.": None,
+    "Mit freundlichen Grüßen, der Apache und die Mozilla": None,
+}
+
+
+def test_headers_in_other_words_than_the_templates(spark):
+    df = spark.createDataFrame([(f"{k}.c", t) for k, t in enumerate(HEADERS)], "path string, text string")
+    got = {r.path: r.license for r in licenses.license_scan(df).collect()}
+    assert [got[f"{k}.c"] for k in range(len(HEADERS))] == list(HEADERS.values())
+
+
+def test_whole_licence_files(spark):
+    """A copy with a copyright line and other line breaks; a long file that opens like a licence; a very long text."""
+    rows = [
+        ("a/LICENSE", "MIT License\n\nCopyright (c) 2020 A. Person\n\n" + licenses._MIT_TEXT.replace(",", ",\n")),
+        ("b/COPYING", "BSD\n\nCopyright 2019\n" + licenses._BSD_3_TEXT),
+        ("c/LICENSE.txt", "Apache License Version 2.0, January 2004\n" + "definitions of terms and more of them " * 3000),
+        ("d/x.txt", "word " * 100_000 + "Released under the MIT License." + " word" * 100_000),
+        ("a/src/y.txt", None),
+        ("c/deep/z.txt", ""),
+    ]
+    got = {r.path: (r.license, r.via) for r in licenses.license_scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got == {"a/LICENSE": ("MIT", "file"), "b/COPYING": ("BSD-3-Clause", "file"), "c/LICENSE.txt": ("Apache-2.0", "file"), "d/x.txt": ("MIT", "header"), "a/src/y.txt": ("MIT", "inherited"), "c/deep/z.txt": ("Apache-2.0", "inherited")}
+
+
+def test_license_query_against_brute_force(spark):
+    """op3 on sf0.01: each file's own licence by the scan of its text alone, inheritance by walking up its directories."""
+    import re
+
+    from lexiforge.llm import queries
+
+    docs = queries.paths(spark.read.parquet(f"{TEN}/documents.parquet"))
+    files = [(r.doc_id, r.path, r.text) for r in docs.collect()]
+    t = licenses.Templates(licenses.TEMPLATES, licenses.term_weights(docs, "text"))
+    own, granted = {}, {}
+    for i, path, text in files:
+        folder, _, name = path.rpartition("/")
+        is_file = bool(re.match(licenses.FILE_NAME, name))
+        found, score = t.scan(text, whole=is_file)
+        own[i] = (found if score >= licenses.THRESHOLD else None, is_file)
+        if is_file and own[i][0]:
+            granted.setdefault(folder, []).append((-score, path, found))
+    want = {}
+    for i, path, _ in files:
+        found, is_file = own[i]
+        if found:
+            want[i] = (found, "file" if is_file else "header")
+            continue
+        at = path.rpartition("/")[0]
+        while at and at not in granted:
+            at = at.rpartition("/")[0]
+        want[i] = (min(granted[at])[2], "inherited") if at in granted else (None, "none")
+    got = {r.doc_id: (r.license, r.via) for r in queries.op3(spark, TEN).collect()}
+    assert got == want
+    assert {v for _, v in got.values()} == {"file", "header", "inherited", "none"}
+
+
+def test_language_query_against_brute_force(spark):
+    """op1 on sf0.01: every row's prediction is the model's for its text alone; scores are as sure as they are right."""
+    from lexiforge.llm import queries
+
+    docs = spark.read.parquet(f"{TEN}/documents.parquet")
+    model = langid.learn(docs, crc_mod(F.col("doc_id"), 3) != 1)
+    texts = {r.doc_id: (r.text, r.lang) for r in docs.collect()}
+    rows = queries.op1(spark, TEN).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        lang, score = model.predict(texts[r.doc_id][0])
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-6
+    held = [r for r in rows if r.held_out]
+    right = np.mean([r.lang_pred == texts[r.doc_id][1] for r in held])
+    assert abs(np.mean([r.score for r in held]) - right) < 0.01
+
+
+def test_toxicity_query_against_brute_force(spark):
+    """op5 on sf0.01: evidence, contexts and features are those of plain loops over the texts; scores are the model's."""
+    from collections import Counter
+
+    from lexiforge.llm import queries
+
+    docs, labels = spark.read.parquet(f"{TEN}/documents.parquet"), spark.read.parquet(f"{TEN}/labels.parquet")
+    rows = docs.join(labels, "doc_id").select(F.col("text").alias("t"), F.col("toxic").cast("int").alias("y")).filter("t is not null and y is not null").limit(150)
+    plain = [(r.t, r.y) for r in rows.collect()]
+    rows = spark.createDataFrame(plain, "t string, y int")
+    want = Counter()
+    for t, y in plain:
+        for (term, stem), n in toxicity.terms(set(toxicity.WORD.findall(t.lower()))).items():
+            want[term, stem, "toxic" if y else "clean"] += 1
+            want[term, stem, "toxic2" if y else "clean2"] += n > 1
+    got = {(r.term, r.stem, k): r[k] for r in toxicity.evidence(rows).collect() for k in ("toxic", "toxic2", "clean", "clean2") if r[k]}
+    assert got == {k: n for k, n in want.items() if n}
+    model = toxicity.learn(docs, labels, crc_mod(F.col("id"), 4) != 2)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    out = queries.op5(spark, TEN).collect()
+    assert len(out) == len(texts)
+    assert all(abs(r.score - model.score(texts[r.doc_id])) < 1e-6 and r.predicted == (r.score >= 0.3) for r in out)
+
+
+def test_toxicity_recall(spark):
+    """Held-out rows of sf0.1; some labels are noise: toxic rows without any toxic word."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    model = toxicity.learn(docs, labels, crc_mod(F.col("id"), 4) != 2)
+    held = docs.join(labels, "doc_id").filter(crc_mod(F.col("doc_id"), 4) == 2)
+    rows = toxicity.score(held, model).join(labels, "doc_id").collect()
+    assert np.mean([r.predicted for r in rows if r.toxic]) >= 0.9
+    assert np.mean([r.predicted for r in rows if not r.toxic]) < 0.01
+
+
+def test_misspelled_terms_with_signs():
+    m = toxicity.Model({"idiot": False, "moron": False})
+    assert [k for *_, k in m.hits("an id1ot and a mor*n met an idiot")[0]] == [toxicity.FUZZY, toxicity.FUZZY, toxicity.EXACT]
+
+
+def test_weak_stems_count_by_their_forms():
+    m = toxicity.Model({}, frozenset({"achl"}))
+    one, three = m.features("das achlich ist achlich"), m.features("achlich achlung achlos")
+    assert one[7] == np.log1p(1) and one[8] == 0
+    assert three[7] == np.log1p(3) and three[8] == np.log1p(2)
