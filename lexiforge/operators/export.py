@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 from ..functions.text import c, first_filled
+from .temporal import bounded
 
 
 def _fill(layout: str, **parts: Column | str) -> Column:
@@ -68,7 +69,7 @@ def with_system_prompt(df: DataFrame, registry: DataFrame | None = None, date: s
     if mode == "general":
         return df.withColumn("system_prompt", general)
     if registry is not None:  # one broadcast row
-        one = registry.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("id", F.struct("type", "status")))).alias("_known"))
+        one = bounded(registry).groupBy().agg(F.map_from_entries(F.collect_list(F.struct("id", F.struct("type", "status")))).alias("_known"))
         df = df.crossJoin(F.broadcast(one))
     else:
         df = df.withColumn("_known", F.lit(None).cast("map<string,struct<type:string,status:string>>"))

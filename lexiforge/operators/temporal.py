@@ -9,6 +9,17 @@ from ..functions import fixed as X
 from ..functions.text import c, first_filled
 
 
+#: Most laws of a registry: it enters plans as one broadcast row of some 20 MB at most.
+REGISTRY = 100_000
+
+
+def bounded(registry: DataFrame, most: int = REGISTRY) -> DataFrame:
+    """The registry, after a count. People keep it by hand; more rows than that are no registry and must not be broadcast."""
+    if (n := registry.limit(most + 1).count()) > most:
+        raise ValueError(f"{n} laws or more: a registry may have {most}")
+    return registry
+
+
 def citations(text: Column | str) -> Column:
     """Distinct cited ids, by kind and then in the order of the text."""
     t = F.coalesce(c(text), F.lit(""))
@@ -27,7 +38,7 @@ def law_status(registry: DataFrame, on: str) -> DataFrame:
     """id, name, type, ord, status: active if in force on the date; expired also for what is not in force yet."""
     d = F.to_date(F.lit(on))
     active = (F.col("effective_date") <= d) & (F.col("expiry_date").isNull() | (F.col("expiry_date") > d))
-    return registry.select("id", "name", "type", "ord", F.when(active, "active").otherwise("expired").alias("status"))
+    return bounded(registry).select("id", "name", "type", "ord", F.when(active, "active").otherwise("expired").alias("status"))
 
 
 def applicable(registry: DataFrame, on: str) -> DataFrame:

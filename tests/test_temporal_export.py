@@ -69,3 +69,14 @@ def test_labels(spark):
     prompt = len(X.CHAT_TEMPLATES["chatml"][0].format(system="S", user="q?"))
     assert r.labels[:prompt] == [-100] * prompt and r.labels[prompt] == r.input_ids[prompt]
     assert all(x == -100 for x, m in zip(r.labels, r.attention_mask, strict=True) if m == 0)
+
+
+def test_registries_have_a_bound(spark):
+    import pytest
+
+    from lexiforge.operators import temporal
+
+    laws = spark.range(20).selectExpr("cast(id AS string) AS id")
+    assert temporal.bounded(laws, 20) is laws
+    with pytest.raises(ValueError, match="registry"):
+        temporal.bounded(laws, 19)
