@@ -53,9 +53,9 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int
 
 
 def _keyed(docs: DataFrame, id_col: str, source_col: str, text_col: str, quality: DataFrame | None, seed: int) -> DataFrame:
-    """docs as a struct `row` beside id, source, size and key."""
+    """docs as a struct `row` beside id, source, size, key and place (which tells rows apart that are repeated under an id)."""
     text = col(docs, text_col)
-    wide = docs.select(F.struct(*[col(docs, c) for c in docs.columns]).alias("row"), col(docs, id_col).alias("id"), col(docs, source_col).alias("source"), words(text).alias("size"), uniform(F.coalesce(col(docs, id_col).cast("string"), F.md5(F.coalesce(text, F.lit("")))), seed=seed).alias("u"))
+    wide = docs.select(F.struct(*[col(docs, c) for c in docs.columns]).alias("row"), col(docs, id_col).alias("id"), col(docs, source_col).alias("source"), words(text).alias("size"), uniform(F.coalesce(col(docs, id_col).cast("string"), F.md5(F.coalesce(text, F.lit("")))), seed=seed).alias("u"), F.monotonically_increasing_id().alias("place"))
     if quality is None:
         return wide.withColumn("key", -F.log("u"))
     quality = cut(quality)
@@ -71,10 +71,10 @@ def quality_weights(labels: DataFrame, id_col: str = "doc_id", good_col: str = "
 def plan_mix(keyed: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
     """Per source: m_source, source_size, target, epochs (whole ones) and the last document of the fractional one.
 
-    A document with (key, id, size) up to (cut_key, cut_id, cut_size) is taken once more. The document that crosses the
-    budget is taken if that brings the source nearer to its target.
+    A document with (key, id, size) up to `cut` is taken once more. The document that crosses the budget is taken if that
+    brings the source nearer to its target. Of rows that are repeated there, those up to cut_place are.
     """
-    rows = keyed.select("source", "id", "size", "key")
+    rows = keyed.select("source", "id", "size", "key", "place")
     n = max(1, rows.count() // STEP_ROWS)
     rows = rows.withColumn("step", F.floor((1 - F.exp(-F.col("key"))) * n))
     steps = cut(rows.groupBy("source", "step").agg(F.sum("size").alias("step_size")))
@@ -86,34 +86,55 @@ def plan_mix(keyed: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: in
     last = steps.withColumn("before", F.coalesce(before, F.lit(0))).join(plan.select("m_source", "rest"), F.col("source").eqNullSafe(F.col("m_source"))).filter((F.col("before") < F.col("rest")) & (F.col("before") + F.col("step_size") >= F.col("rest")))
     last = last.select("m_source", F.col("step").alias("m_step"), "before", "rest")
     inside = rows.join(last, F.col("source").eqNullSafe(F.col("m_source")) & (F.col("step") == F.col("m_step")))
-    tied = inside.groupBy("m_source", "before", "rest", "key", "id", "size").agg(F.sum("size").alias("run"))  # repeated rows go together
+    tied = inside.groupBy("m_source", "before", "rest", "key", "id", "size").agg(F.sum("size").alias("run"), F.count("*").alias("c"))  # repeated rows are one run
     upto = F.sum("run").over(Window.partitionBy("m_source").orderBy("key", F.col("id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     tied = tied.withColumn("upto", F.col("before") + upto)
     # Taken while that does not lead further away: the middle of the document lies within the budget.
-    taken = tied.filter((F.col("upto") - F.col("run") / 2) <= F.col("rest"))
-    ends = taken.groupBy("m_source").agg(F.max(F.struct("key", F.col("id").isNull().alias("no_id"), "id", "size")).alias("cut"))
+    room = (F.col("rest") - (F.col("upto") - F.col("run"))) / F.col("size")
+    m = F.when(F.col("upto") <= F.col("rest"), F.col("c")).when(F.col("size") > 0, F.least(F.col("c"), F.floor(room + 0.5))).otherwise(0)
+    taken = tied.withColumn("m", m).filter("m > 0")
+    ends = taken.groupBy(F.col("m_source").alias("e_source")).agg(F.max(F.struct("key", F.col("id").isNull().alias("no_id"), "id", "size", "m", "c")).alias("x"))
+    ends = cut(ends.select("e_source", F.struct("x.key", "x.no_id", "x.id", "x.size").alias("cut"), "x.m", "x.c"))
+    parted = ends.filter("m < c")
+    if n_parted := parted.count():
+        ends = ends.join(small(_part_places(rows, parted, n_parted), n_parted, 64), ends.e_source.eqNullSafe(F.col("p_source")), "left")
+    else:
+        ends = ends.withColumn("cut_place", F.lit(None).cast("long"))
     first = last.select(F.col("m_source").alias("l_source"), F.col("m_step").alias("l_step"))
-    ends = ends.withColumnRenamed("m_source", "e_source")
     out = plan.join(first, plan.m_source.eqNullSafe(F.col("l_source")), "left").join(ends, plan.m_source.eqNullSafe(F.col("e_source")), "left")
-    return cut(out.select("m_source", "source_size", "target", "epochs", F.lit(n).alias("n_steps"), F.col("l_step").alias("cut_step"), "cut"))
+    return cut(out.select("m_source", "source_size", "target", "epochs", F.lit(n).alias("n_steps"), F.col("l_step").alias("cut_step"), "cut", "cut_place"))
+
+
+def _part_places(rows: DataFrame, parted: DataFrame, n: int) -> DataFrame:
+    """p_source, cut_place: the place of the m-th row of each source's parted run. A run may have any share of the rows: its
+    places are counted in blocks of 2**20, and only the block of the m-th is ordered."""
+    wanted = parted.select(F.col("e_source").alias("p_source"), F.col("cut.key").alias("p_key"), F.col("cut.id").alias("p_id"), F.col("cut.size").alias("p_size"), "m")
+    same = F.col("source").eqNullSafe(F.col("p_source")) & (F.col("key") == F.col("p_key")) & F.col("id").eqNullSafe(F.col("p_id")) & (F.col("size") == F.col("p_size"))
+    run = rows.join(small(wanted, n, 64), same).select("p_source", "place", "m", F.shiftright("place", 20).alias("block"))
+    blocks = run.groupBy("p_source", "m", "block").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("p_source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    hit = blocks.withColumn("before", before).filter((F.col("before") < F.col("m")) & (F.col("m") <= F.col("before") + F.col("n")))
+    hit = hit.select(F.col("p_source").alias("h_source"), F.col("block").alias("h_block"), (F.col("m") - F.col("before")).cast("int").alias("nth"))
+    own = run.join(small(hit, n, 64), F.col("p_source").eqNullSafe(F.col("h_source")) & (F.col("block") == F.col("h_block")))
+    return own.groupBy("p_source", "nth").agg(F.sort_array(F.collect_list("place")).alias("places")).select("p_source", F.element_at("places", F.col("nth")).alias("cut_place"))
 
 
 def mix_sources(docs: DataFrame, quality: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 7, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
     """row (the input row as a struct), id, size, source_size, target, copies, taken (= size * copies).
 
     Null texts have size 0; the null source is a source of its own and ranks last; a source without words has target 0.
-    Repeated rows are taken together. Reruns agree: the only randomness is a hash of the id (of the text where the id is
-    null). Extra columns only travel inside row. An empty table gives an empty result.
+    Rows repeated under one id have one key; where the budget ends among them, the first ones are taken. Reruns agree: the only
+    randomness is a hash of the id (of the text where the id is null). Extra columns only travel inside row. An empty table gives an empty result.
     """
     keyed = _keyed(docs, id_col, source_col, text_col, quality, seed)
-    narrow = written(keyed.select("source", "id", "size", "key"), "mix-keys")
+    narrow = written(keyed.select("source", "id", "size", "key", "place"), "mix-keys")
     return _applied(keyed, plan_mix(narrow, weights, share, epochs))
 
 
 def _applied(keyed: DataFrame, plan: DataFrame) -> DataFrame:
     own = F.struct("key", F.col("id").isNull().alias("no_id"), "id", "size")
     step = F.floor((1 - F.exp(-F.col("key"))) * F.col("n_steps"))
-    extra = F.when(F.col("cut_step").isNull(), F.lit(0)).when(step < F.col("cut_step"), 1).when((step == F.col("cut_step")) & (own <= F.col("cut")), 1).otherwise(0)
+    extra = F.when(F.col("cut_step").isNull(), F.lit(0)).when(step < F.col("cut_step"), 1).when((step == F.col("cut_step")) & ((own < F.col("cut")) | (own == F.col("cut")) & (F.col("cut_place").isNull() | (F.col("place") <= F.col("cut_place")))), 1).otherwise(0)
     # One row a source: where they are few, documents need not be shuffled to meet them.
     out = keyed.join(small(plan, plan.count(), 512), F.col("source").eqNullSafe(F.col("m_source")))
     out = out.withColumn("copies", F.col("epochs") + F.coalesce(extra, F.lit(0)))
@@ -123,5 +144,5 @@ def _applied(keyed: DataFrame, plan: DataFrame) -> DataFrame:
 
 def mix_counts(docs: DataFrame, quality: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 7, **plan) -> DataFrame:
     """As mix_sources without the row: texts are read once, for their sizes."""
-    narrow = written(_keyed(docs, id_col, source_col, text_col, quality, seed).select("source", "id", "size", "key"), "mix-keys")
+    narrow = written(_keyed(docs, id_col, source_col, text_col, quality, seed).select("source", "id", "size", "key", "place"), "mix-keys")
     return _applied(narrow, plan_mix(narrow, **plan))

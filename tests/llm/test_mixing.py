@@ -68,3 +68,24 @@ def test_odd_rows(odd, empty):
     wide = mixing.mix_sources(odd).select("row.*")
     assert wide.columns == odd.columns and wide.count() == odd.count()
     assert mixing.mix_counts(odd.filter("text is null or text = ''")).agg({"taken": "sum"}).first()[0] == 0
+
+
+def test_the_budget_may_end_among_repeated_rows(spark):
+    """One id has 900 of 2,000 rows of 20 words; the target is met to within a document's half, by the SQL too."""
+    import duckdb
+
+    from lexiforge.llm.queries import OP4_SQL
+
+    docs = spark.createDataFrame([(5 if k < 900 else k, "wort " * 20, None if k % 4 == 0 else "a") for k in range(2000)], "doc_id long, text string, source string")
+    for share in (0.45, 1.5):
+        rows = mixing.mix_counts(docs, share=share).collect()
+        assert len(rows) == 2000
+        for target in {r.target for r in rows}:
+            assert abs(sum(r.taken for r in rows if r.target == target) - target) <= 10 + 1e-6
+        wide = mixing.mix_sources(docs, share=share).filter("copies > 0").collect()
+        assert sum(r.taken for r in wide) == sum(r.taken for r in rows)
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    con.execute("CREATE TABLE labels (doc_id BIGINT, quality INT)")
+    want = sorted(con.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({OP4_SQL})").fetchall())
+    assert sorted((r.id, r["size"], r.source_size, r.target, r.taken) for r in rows) == want
