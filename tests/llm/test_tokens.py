@@ -158,3 +158,21 @@ def test_rows_of_one_id_fill_several_files(spark, vocabulary):
     few = token_store.write_tokens(df, vocabulary, file_ids=12_000, files=2)
     assert few.count() <= 2
     assert token_store.read_tokens(few).count() == 600
+
+
+def test_long_texts_without_stable_cuts(spark, vocabulary):
+    """Long runs of one letter, of spaces, of line feeds and of special strings go through the operators whole."""
+    from lexiforge.llm import packing
+
+    texts = ["x" * 40_000, "  " * 20_000, "a\n" * 20_000, "<|endoftext|> " * 3000, "đ'ư " * 10_000, "y" * 20_000 + " z" * 10_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {i: library(vocabulary, t).ids for i, t in enumerate(texts)}
+    counts = tokens.count_tokens(df, vocabulary, chunk=1000, overlap=16).collect()
+    assert {r.doc_id: r.n_tokens for r in counts} == {i: len(x) for i, x in want.items()}
+    stored = token_store.read_tokens(token_store.write_tokens(df, vocabulary), ids=True).collect()
+    assert {r.doc_id: r.ids for r in stored} == {i: [*x, 2] for i, x in want.items()}
+    pieces = packing.pack_documents(df, vocabulary).collect()
+    for i, x in want.items():
+        own = sorted((r for r in pieces if r.doc_id == i), key=lambda r: r.piece)
+        assert sum(r.length for r in own) == len(x) + 1
+        assert all(r.ids_crc32 == zlib.crc32(np.array([*x, 2][r.start : r.start + r.length], "<u4").tobytes()) for r in own)

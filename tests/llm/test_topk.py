@@ -27,7 +27,9 @@ def test_against_brute_force(spark):
 
 
 def test_small_blocks_and_levels(spark, monkeypatch):
-    monkeypatch.setattr(topk, "QUERIES", 3)
+    """Several blocks of queries, groups of candidates and steps of a group; some pairs have no candidate."""
+    for name, size in (("QUERIES", 3), ("GROUP", 7), ("LEAST", 1), ("CANDIDATES", 2)):
+        monkeypatch.setattr(topk, name, size)
     rng = np.random.default_rng(2)
     rows = [(k, [float(x) for x in rng.normal(size=7)]) for k in range(60)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
@@ -43,6 +45,14 @@ def test_odd_vectors(spark):
     assert got(df.limit(0), 10) == []
 
 
+def test_no_queries_and_one_hot_id(spark):
+    rows = [(k, [float(k), 1.0]) for k in range(1, 40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert got(df, 100) == []  # candidates, but no query
+    hot = spark.createDataFrame([(50, [1.0, 1.0])] + [(7, [2.0, float(k % 3)]) for k in range(60)], "vec_id long, embedding array<double>")
+    assert got(hot, 50) == [(50, n + 1, 7, 65536 * 4) for n in range(5)]
+
+
 def test_huge_components(spark):
     rows = [(k, [float(2**40 + k), -3.0 * k]) for k in range(0, 30)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
