@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 from ..functions.text import c, matches, percent_text, rounded, strip
+from ..sources.storage import written
 
 
 def _text(df: DataFrame, name: str) -> Column:
@@ -39,13 +40,25 @@ def score_histogram(df: DataFrame) -> DataFrame:
 
 def length_stats(df: DataFrame) -> DataFrame:
     """field, min, max, avg of question and answer lengths in code points."""
-    lengths = F.explode(F.create_map(F.lit("question"), F.length(_text(df, "question")), F.lit("answer"), F.length(_text(df, "answer"))))
+    return _length_stats(df, F.length(_text(df, "question")), F.length(_text(df, "answer")))
+
+
+def _length_stats(df: DataFrame, question: Column, answer: Column) -> DataFrame:
+    lengths = F.explode(F.create_map(F.lit("question"), question, F.lit("answer"), answer))
     return df.select(lengths.alias("field", "_n")).groupBy("field").agg(F.min("_n").alias("min_length"), F.max("_n").alias("max_length"), F.avg("_n").alias("avg_length"))
 
 
-def citation_counts(df: DataFrame) -> DataFrame:
+def citation_flags(df: DataFrame) -> dict[str, Column]:
     a = _text(df, "answer")
-    return df.agg(F.count_if(matches(a, r"(Điều|Khoản|Điểm)\s+\d+")).alias("has_legal_citation"), F.count_if(matches(a, r"\d+/\d{4}/[A-Za-zĐ]+", "")).alias("has_document_number"))
+    return {"has_legal_citation": matches(a, r"(Điều|Khoản|Điểm)\s+\d+"), "has_document_number": matches(a, r"\d+/\d{4}/[A-Za-zĐ]+", "")}
+
+
+def citation_counts(df: DataFrame) -> DataFrame:
+    return _counted(df, citation_flags(df))
+
+
+def _counted(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
+    return df.agg(*[F.count_if(p).alias(n) for n, p in flags.items()])
 
 
 def issue_flags(df: DataFrame) -> dict[str, Column]:
@@ -64,7 +77,7 @@ def issue_flags(df: DataFrame) -> dict[str, Column]:
 
 
 def format_issues(df: DataFrame) -> DataFrame:
-    return df.agg(*[F.count_if(p).alias(n) for n, p in issue_flags(df).items()])
+    return _counted(df, issue_flags(df))
 
 
 def format_issue_rows(df: DataFrame, order: str = "seq") -> DataFrame:
@@ -91,11 +104,26 @@ def quality_summary(labelled: DataFrame) -> DataFrame:
 
 
 def full_report(labelled: DataFrame, near: DataFrame | None = None, order: str = "seq") -> DataFrame:
-    """One row of structs: statistics, format_issues, quality_summary, top lists and (where given) near duplicates."""
+    """One row of structs: statistics, format_issues, quality_summary, top lists and (where given) near duplicates.
+
+    Texts are read once, for a table of what the parts need of each pair; the parts are aggregates of that.
+    """
+    cited, issues = citation_flags(labelled), issue_flags(labelled)
+    facts = labelled.select("label", "eval_score", "eval_reason", "source_doc", order, F.length(_text(labelled, "question")).alias("_q"), F.length(_text(labelled, "answer")).alias("_a"), *[p.alias(f"_{n}") for n, p in (cited | issues).items()])
+    facts = written(facts, "report")
+    flags = lambda names: {n: F.col(f"_{n}") for n in names}
     rows = lambda df, to, by: df.agg(F.transform(F.array_sort(F.collect_list(F.struct(*by))), lambda x: x).alias(to))
     one = lambda df, to: df.select(F.struct(*[F.col(n) for n in df.columns]).alias(to))
-    out = one(evaluation_stats(labelled), "evaluation")
-    parts = [one(citation_counts(labelled), "citations"), one(format_issues(labelled), "format_issues"), one(quality_summary(labelled), "quality_summary"), rows(by_source(labelled, order=order).withColumn("m", -F.col("n")), "by_source", ["m", "source_doc"]), rows(score_histogram(labelled), "by_score", ["score", "n"]), rows(length_stats(labelled), "lengths", ["field", "min_length", "max_length", "avg_length"]), rows(top_reasons(labelled, order=order).withColumn("m", -F.col("n")), "top_reasons", ["m", "eval_reason"])]
+    out = one(evaluation_stats(facts), "evaluation")
+    parts = [
+        one(_counted(facts, flags(cited)), "citations"),
+        one(_counted(facts, flags(issues)), "format_issues"),
+        one(quality_summary(facts), "quality_summary"),
+        rows(by_source(facts, order=order).withColumn("m", -F.col("n")), "by_source", ["m", "source_doc"]),
+        rows(score_histogram(facts), "by_score", ["score", "n"]),
+        rows(_length_stats(facts, F.col("_q"), F.col("_a")), "lengths", ["field", "min_length", "max_length", "avg_length"]),
+        rows(top_reasons(facts, order=order).withColumn("m", -F.col("n")), "top_reasons", ["m", "eval_reason"]),
+    ]
     if near is not None:
         parts.append(near.agg(F.count("*").alias("near_duplicates")))
         parts.append(near.orderBy("i", "j").limit(20).agg(F.array_sort(F.collect_list(F.struct("i", "j", "similarity"))).alias("near_duplicate_pairs")))
