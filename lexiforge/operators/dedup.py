@@ -75,10 +75,11 @@ def dedup_pairs(df: DataFrame, **columns) -> tuple[DataFrame, DataFrame]:
 
 
 def trigrams(x):
-    """Distinct runs of three characters of the stripped lower-case text."""
+    """Distinct runs of three characters of the stripped lower-case text, each as a long of 21 bits a code point."""
     t = F.lower(strip(F.coalesce(c(x), F.lit(""))))
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 2, F.lit(1))), lambda i: t.substr(i, F.lit(3)))
-    return F.when(F.length(t) >= 3, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+    code = lambda i: F.ascii(t.substr(i, F.lit(1))).cast("long")
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 2, F.lit(1))), lambda i: F.shiftleft(code(i), 42) + F.shiftleft(code(i + 1), 21) + code(i + 2))
+    return F.when(F.length(t) >= 3, F.array_distinct(grams)).otherwise(F.array().cast("array<long>"))
 
 
 def near_pairs(df: DataFrame, question: str = "question", order: str = "seq", threshold: float = 0.8, limit: int | None = None, band: int = 99) -> DataFrame:
