@@ -29,9 +29,9 @@ def salted_join(big: DataFrame, lookup: DataFrame, key: str, rows: str, total: i
     """
     hot_rows = max(HOT, total // 100_000)
     hot = lookup.filter(F.col(rows) > hot_rows).select(F.col(key).alias("_hot"), F.ceil(F.col(rows) / hot_rows).cast("int").alias("_salts"))
-    hot = cut(hot)
     if not hot.count():
         return big.join(lookup.drop(rows), key)
+    hot = cut(hot)
     marked = big.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
     dealt = marked.withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_salts")).cast("int"))).drop("_hot", "_salts")
     copies = lookup.drop(rows).join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
