@@ -7,6 +7,8 @@ measure, the steps' word sums are added up per source, and only the one step tha
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +20,9 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 #: No source gives more than so many complete epochs.
 EPOCHS = 2
-#: Documents in one step of the key, on average.
-STEP_ROWS = 20_000
+#: Documents in one step of the key, on average, at least: the square root of all where that is more, so that neither a step's
+#: documents nor a source's steps are many for one task.
+STEP_ROWS = 1_000
 
 
 def words(text: Column) -> Column:
@@ -75,7 +78,8 @@ def plan_mix(keyed: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: in
     brings the source nearer to its target. Of rows that are repeated there, those up to cut_place are.
     """
     rows = keyed.select("source", "id", "size", "key", "place")
-    n = max(1, rows.count() // STEP_ROWS)
+    total = rows.count()
+    n = max(1, total // max(STEP_ROWS, isqrt(total)))
     rows = rows.withColumn("step", F.floor((1 - F.exp(-F.col("key"))) * n))
     steps = cut(rows.groupBy("source", "step").agg(F.sum("size").alias("step_size")))
     plan = targets(steps.groupBy("source").agg(F.sum("step_size").alias("source_size")), weights, share, epochs)
