@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, licenses, mixing, packing, simhash, token_store, tokens, topk, toxicity
+from . import exact_dedup, fim, langid, licenses, mixing, packing, secrets, simhash, token_store, tokens, topk, toxicity
 from .common import WORD, crc_mod
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -90,6 +90,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = fim.restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"), F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source is an owner; its documents of one language are a repository."""
+    docs = table(spark, sf_dir, "documents")
+    out = secrets.secret_scan(docs, F.col("lang"), F.col("source"))
+    found = F.col("found")
+    kinds = [secrets.of_kind(found, k).alias(f"n_{k}") for k in secrets.KINDS[:3]]
+    flags = [secrets.with_flag(found, k).alias(f"n_{k}") for k in ("live", "copied")]
+    return out.select("doc_id", *kinds, F.sha2(secrets.joined(found, base_only=True), 256).alias("base_sha256"), secrets.joined(found).alias("spans"), *flags)
+
+
 def queries() -> dict:
     return {
         "op1_language": op1,
@@ -102,6 +118,8 @@ def queries() -> dict:
         "op8_simhash": op8,
         "op9_token_counts": op9,
         "op10_top_k": op10,
+        "op11_fill_in_middle": op11,
+        "op13_secrets": op13,
     }
 
 
@@ -140,5 +158,43 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS s FROM documents),
+h AS (SELECT *, ('0x' || s[1:8])::BIGINT % (n + 1) AS c1, ('0x' || s[9:16])::BIGINT % (n + 1) AS c2, ('0x' || s[17:24])::BIGINT % 100 AS h3, ('0x' || s[25:32])::BIGINT % 100 AS h4 FROM d),
+f AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS z,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, z - a) AS mid, substring(t, z + 1) AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN z - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+#: Matches are put between two private-use marks, so that their places are the lengths of what stands before them.
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, source AS owner, lang AS repo FROM documents),
+m AS (SELECT r, 'assign' AS kind, 0 AS o, regexp_replace(t, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', chr(57344) || '\0' || chr(57345) || '\2' || chr(57344), 'g') AS x FROM d
+  UNION ALL SELECT r, 'access', 1, regexp_replace(t, 'AKIA[A-Z0-9]+', chr(57344) || '\0' || chr(57345) || '\0' || chr(57344), 'g') FROM d
+  UNION ALL SELECT r, 'hex', 2, regexp_replace(t, '[0-9a-f]+', chr(57344) || '\0' || chr(57345) || '\0' || chr(57344), 'g') FROM d
+  UNION ALL SELECT r, 'bare', 3, regexp_replace(t, '[A-Za-z0-9+/_-]{20,}', chr(57344) || '\0' || chr(57345) || '\0' || chr(57344), 'g') FROM d),
+u AS (SELECT r, kind, o, unnest(string_split(x, chr(57344))) AS part, generate_subscripts(string_split(x, chr(57344)), 1) AS i FROM m),
+w AS (SELECT r, kind, o, i, split_part(part, chr(57345), 1) AS whole, CASE WHEN contains(part, chr(57345)) THEN split_part(part, chr(57345), 2) END AS v FROM u),
+s AS (SELECT *, coalesce(sum(length(whole)) OVER (PARTITION BY r, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a FROM w),
+c AS (SELECT r, kind, o, a, a + length(whole) AS z, v,
+        len(list_distinct(string_split(v, ''))) >= 8 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AS random
+      FROM s WHERE v IS NOT NULL AND length(v) >= CASE kind WHEN 'assign' THEN 6 WHEN 'access' THEN 20 WHEN 'hex' THEN 24 ELSE 20 END),
+e AS (SELECT * FROM c WHERE o < 3 OR random AND NOT EXISTS (SELECT 1 FROM c b WHERE b.r = c.r AND b.o < 3 AND b.a < c.z AND b.z > c.a)),
+n AS (SELECT v, count(DISTINCT coalesce(owner, chr(1))) AS owners, count(DISTINCT (coalesce(owner, chr(1)), coalesce(repo, chr(1)))) AS repos FROM e JOIN d USING (r) GROUP BY v),
+q AS (SELECT e.*, owners >= 3 OR repos >= 10 AS copied, random AND NOT (owners >= 3 OR repos >= 10) AS live FROM e JOIN n USING (v)),
+g AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+        string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, o) FILTER (o < 3) AS base, string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, o) AS spans,
+        count(*) FILTER (live) AS n_live, count(*) FILTER (copied) AS n_copied
+      FROM q WHERE o < 3 OR live GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM d LEFT JOIN g USING (r)
+"""
+
+
 def oracle_sql() -> dict:
-    return {"op2_exact_dedup": OP2_SQL, "op4_source_mix": OP4_SQL, "op10_top_k": OP10_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op4_source_mix": OP4_SQL, "op10_top_k": OP10_SQL, "op11_fill_in_middle": OP11_SQL, "op13_secrets": OP13_SQL}
