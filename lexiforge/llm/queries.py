@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fim, langid, licenses, mixing, packing, secrets, simhash, token_store, tokens, topk, toxicity
+from . import exact_dedup, fim, langid, lexical, licenses, mixing, packing, secrets, simhash, token_store, tokens, topk, toxicity
 from .common import WORD, crc_mod
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -96,6 +96,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"), F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source is an owner; its documents of one language are a repository."""
     docs = table(spark, sf_dir, "documents")
@@ -119,6 +123,7 @@ def queries() -> dict:
         "op9_token_counts": op9,
         "op10_top_k": op10,
         "op11_fill_in_middle": op11,
+        "op12_lexical_search": op12,
         "op13_secrets": op13,
     }
 
@@ -170,6 +175,19 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CA
 FROM p
 """
 
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+b AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM benchmark),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM d WHERE len(ts) > 0),
+q AS (SELECT i, item_id, t, count(*)::BIGINT AS qtf FROM (SELECT i, item_id, unnest(ts) AS t FROM b) GROUP BY ALL),
+p AS (SELECT r, doc_id, n, t, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, len(ts)::BIGINT AS n, unnest(ts) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, c GROUP BY t, n_docs),
+x AS (SELECT r, doc_id, t, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * n_docs) // n_terms))) AS impact FROM p, c),
+s AS (SELECT i, item_id, r, doc_id, sum(qtf * w * impact)::BIGINT AS score FROM q JOIN x USING (t) JOIN w USING (t) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
 #: Matches are put between two private-use marks, so that their places are the lengths of what stands before them.
 OP13_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, source AS owner, lang AS repo FROM documents),
@@ -197,4 +215,4 @@ FROM d LEFT JOIN g USING (r)
 
 
 def oracle_sql() -> dict:
-    return {"op2_exact_dedup": OP2_SQL, "op4_source_mix": OP4_SQL, "op10_top_k": OP10_SQL, "op11_fill_in_middle": OP11_SQL, "op13_secrets": OP13_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op4_source_mix": OP4_SQL, "op10_top_k": OP10_SQL, "op11_fill_in_middle": OP11_SQL, "op12_lexical_search": OP12_SQL, "op13_secrets": OP13_SQL}
