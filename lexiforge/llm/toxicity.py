@@ -198,9 +198,9 @@ class Model:
                 out[kind] += abuse
                 out[3 + kind] += 1 - abuse
         out[:6] = np.log1p(out[:6])
-        out[6] = math.log1p(100 * strong / n)
+        out[6] = np.log1p(100 * strong / n)
         weak = sum(forms.values())
-        out[7:] = math.log1p(weak), math.log1p(max(0.0, weak - 1))
+        out[7:] = np.log1p(weak), np.log1p(max(0.0, weak - 1))
         return out
 
     def score(self, text: str | None) -> float:

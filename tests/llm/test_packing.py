@@ -2,7 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from lexiforge.llm import packing, tokens
@@ -39,8 +39,51 @@ def test_packs_documents(sample, vocabulary):
 
 
 def test_many_shards(sample, vocabulary):
-    rows = packing.pack_documents(sample, vocabulary, size=256, shard=60).collect()
-    check(rows, [(r.doc_id, r.text) for r in sample.collect()], vocabulary, 256)
+    """Shards and two levels of their least filled bins: hardly more sequences than one best fit of all pieces."""
+    rows = packing.pack_documents(sample, vocabulary, size=256, shard=60, fan=3).collect()
+    n = check(rows, [(r.doc_id, r.text) for r in sample.collect()], vocabulary, 256)
+    levels = {r.sequence_id >> 58 for r in rows if r.sequence_id >= 0}
+    assert {0, 1} <= levels
+    lengths = np.array([r.length for r in rows])
+    assert n <= n_bins(packing.first_packing(lengths, 256, None)) + 1
+
+
+def test_shards_against_best_fit_over_all(spark, vocabulary):
+    """Eight small shards, whose least filled bins are evolved again together, need at most one sequence more than best fit over all pieces."""
+    rng = np.random.default_rng(4)
+    lengths = [int(x) for x in rng.integers(1, 1024, 4000)]
+    items = spark.createDataFrame([(k, 0, 0, n, 0) for k, n in enumerate(lengths)], "id long, piece int, start long, length long, ids_crc32 long")
+    rows = packing.pack(items, shard=500).collect()
+    assert sorted((r.id, r.length) for r in rows) == list(enumerate(lengths))
+    x = np.array(lengths)
+    assert packing.lower_bound(x, 1024) <= len({r.sequence_id for r in rows}) <= n_bins(packing.first_packing(x, 1024, None)) + 1
+
+
+def test_exchange_fills_kept_bins():
+    """Kept bins only get fuller, none too full, and no piece is lost."""
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        lengths = rng.integers(1, 101, 40)
+        bins = packing.first_packing(lengths, 100, rng).astype(np.int64)
+        gone = rng.random(bins.max() + 1) < 0.4
+        kept, displaced = np.flatnonzero(~gone), np.flatnonzero(gone[bins])
+        before = packing.fills(bins, lengths)
+        fill, after = before.copy(), bins.copy()
+        rest = packing.exchange(after, fill, kept, displaced, lengths, 100, rng)
+        stay = np.setdiff1d(np.arange(40), rest)
+        assert set(after[stay].tolist()) <= set(kept.tolist())
+        now = np.bincount(after[stay], lengths[stay], minlength=len(fill)).astype(int)
+        assert (now[kept] == fill[kept]).all() and (fill[kept] >= before[kept]).all() and fill[kept].max(initial=0) <= 100
+
+
+def test_exact_search_against_all_ways():
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        lengths = rng.integers(8, 45, 10)
+        worst = np.arange(10)
+        found = packing.exact_packing(lengths, 60, worst, packing.lower_bound(lengths, 60))
+        assert fits(found, lengths, 60) and n_bins(found) == best_possible(lengths.tolist(), 60)
+    assert packing.exact_packing(lengths, 60, worst, 0, steps=0) is worst
 
 
 def test_odd_rows(odd, empty, vocabulary):
@@ -102,6 +145,7 @@ def best_possible(lengths, size):
 
 
 @given(st.lists(st.integers(1, 60), min_size=1, max_size=11), st.integers(0, 5))
+@example([2, 15, 15, 16, 16, 16, 18, 30, 43], 0)
 @settings(max_examples=60, deadline=None)
 def test_small_packings_are_optimal(lengths, seed):
     x = np.array(lengths)
