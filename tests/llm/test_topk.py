@@ -66,3 +66,49 @@ def test_bounds_hold():
     for level in range(4):
         (mq, sq, n), (mx, sx, _) = topk.segments(q, level), topk.segments(x, level)
         assert ((mq * n) @ mx.T + (sq * n) @ sx.T + 1e-9 >= q @ x.T).all()
+
+
+def test_scores_at_the_ends_of_a_long(spark):
+    """A clipped lowest score stays the lowest: its negative is a long too."""
+    big = float(2**30)
+    rows = [(0, [big, big]), (1, [big, big]), (2, [-big, -big]), (3, [0.0, 0.0]), (4, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = [(q, r, i, min(max(s, -topk.MOST), topk.MOST)) for q, r, i, s in brute(rows, 10)]
+    out = got(df, 10)
+    assert out == want and out[0][3] == 2**63 - 1 and out[-1][3] == -(2**63) + 1 and topk.MOST == -np.int64(-topk.MOST)
+
+
+def test_only_parts_within_the_bounds_move(spark, monkeypatch):
+    """Smooth vectors of ten directions: after its first part a query visits few others, and the answer is exact."""
+    for name, size in (("QUERIES", 5), ("LEAST", 20), ("GROUP", 20), ("CANDIDATES", 7)):
+        monkeypatch.setattr(topk, name, size)
+    rng = np.random.default_rng(3)
+    centres = np.repeat(rng.normal(size=(10, 8)), 4, axis=1)
+    rows = [(k, [float(x) for x in centres[k % 10] + 0.02 * rng.normal(size=32)]) for k in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    moved, plain = [], topk.met
+    monkeypatch.setattr(topk, "met", lambda asked, rows, k: (moved.append(asked.agg(F.sum(F.size("parts"))).first()[0] or 0), plain(asked, rows, k))[1])
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    assert got(df, 30) == brute(rows, 30)
+    _, boxes = topk.dealt(df, "vec_id", "embedding")
+    assert boxes.total >= 20 and moved[0] == 20 and moved[1] < 0.5 * 20 * boxes.total
+
+
+def test_boxes_hold():
+    rng = np.random.default_rng(1)
+    x, q = rng.normal(size=(300, 19)) * 100, rng.normal(size=(7, 19)) * 100
+    tree = topk.Tree(list(x[:80]), 3)
+    means, devs, _ = topk.segments(x, 3)
+    leaf = tree.leaf(means, 19)
+    assert len(set(leaf.tolist())) > 4
+
+    class Row:
+        def __init__(self, k):
+            own = leaf == k
+            self.n, self.leaf, self.rows = 19, int(k), int(own.sum())
+            self.lo, self.hi, self.dev = means[own].min(0), means[own].max(0), devs[own].max(0)
+
+    kinds = sorted(set(leaf.tolist()))
+    bounds = topk.Boxes([Row(k) for k in kinds], 10).bounds(q)
+    for j, k in enumerate(kinds):
+        assert ((q @ x[leaf == k].T).max(axis=1) <= bounds[:, j] + 1e-6).all()
