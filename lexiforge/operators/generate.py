@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 from ..functions.text import cache_key
+from ..sources.logtable import LogTable
 from .parse import PAIRS, parse_pairs, parse_verdict
 
 
@@ -166,7 +167,7 @@ def judged(df: DataFrame, provider: Provider, template: str, **call) -> DataFram
     return out.withColumns({"eval_score": F.when(ok, F.col("_v.score")).otherwise(F.col("eval_score")), "eval_reason": F.when(ok, F.col("_v.reason")).otherwise(F.col("eval_reason")), "eval_method": F.when(ok, "llm").otherwise("rule_fallback")}).drop("_v", "prompt", "response", "error", "calls")
 
 
-# The cache: a table cache_key, created_at, content_hash, model, result.
+CACHE = "cache_key string, created_at timestamp, content_hash string, model string, result array<struct<question: string, answer: string>>"
 
 
 def fresh(cache: DataFrame, ttl_days: int = 30, now: str | None = None) -> DataFrame:
@@ -185,52 +186,21 @@ def invalidated(cache: DataFrame, keys: DataFrame) -> DataFrame:
     return cache.join(keys.select("cache_key").distinct(), "cache_key", "left_anti")
 
 
-class CacheTable:
-    """The cache as a Parquet folder: rows are appended, and the folder is written anew when rows go."""
+class CacheTable(LogTable):
+    """The cache as a log of immutable runs, so that a change that fails half-way changes nothing."""
 
     def __init__(self, spark, path: str):
-        self.spark, self.path = spark, path
-
-    def read(self) -> DataFrame | None:
-        from ..sources.storage import exists
-
-        return self.spark.read.parquet(self.path) if exists(self.spark, self.path) else None
-
-    def append(self, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(self.path)
-
-    def _keep(self, rows: DataFrame) -> None:
-        from ..sources.storage import remove, written_at
-
-        kept, at = written_at(rows, "cache")
-        kept.write.mode("overwrite").parquet(self.path)
-        remove(self.spark, at)
-
-    def drop_keys(self, keys: DataFrame) -> None:
-        if (now := self.read()) is not None:
-            self._keep(invalidated(now, keys))
+        super().__init__(spark, path, CACHE, "cache_key", "created_at")
 
     def drop_expired(self, ttl_days: int = 30, now: str | None = None) -> int:
-        """Deletes rows whose time is over; returns how many."""
-        rows = self.read()
-        if rows is None:
-            return 0
+        """Kills rows whose time is over; returns how many were alive."""
         at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
-        old = expired(rows, ttl_days, now).count()
-        if old:
-            self._keep(rows.filter(F.col("created_at") > at - F.make_interval(days=F.lit(ttl_days))))
-        return old
+        limit = self.spark.range(1).select(F.unix_micros(at - F.make_interval(days=F.lit(ttl_days)))).first()[0]
+        return self.drop_before(limit)
 
     def clear(self) -> None:
-        from ..sources.storage import remove
-
-        remove(self.spark, self.path)
-
-    def size_mb(self) -> float:
-        """Megabytes that the folder takes."""
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        system = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return system.getContentSummary(at).getLength() / 1e6 if system.exists(at) else 0.0
+        super().clear()
+        self.vacuum()
 
 
 def cache_stats(cache: DataFrame, chunks: DataFrame, template: str, model: str, ttl_days: int = 30, now: str | None = None) -> DataFrame:

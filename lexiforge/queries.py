@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .functions import fixed as X
 from .functions import text as T
 from .operators import chunk, dedup, export, generate, metadata, parse, regenerate, report, rescue, score, split, temporal, tokenize
+from .sources import logtable, storage
 from .streaming import events as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -698,6 +699,26 @@ def _(spark, d):
     return generate.cache_stats(cache, table(spark, d, "documents").withColumnRenamed("text", "content"), "t", "m", 30, DAY)
 
 
+LOG_SQL = """WITH r AS (SELECT 'k' || (doc_id % 500) AS cache_key, doc_id % 500 AS no, CASE doc_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS run, 1735689600 + doc_id AS at_seconds, doc_id AS v FROM documents WHERE doc_id % 3 < 2 OR doc_id % 5 = 0),
+early AS (SELECT cache_key, max(struct_pack(run := run, at_seconds := at_seconds, v := v)) AS w FROM r WHERE run < 3 AND no % 7 <> 0 GROUP BY cache_key),
+late AS (SELECT cache_key, max(struct_pack(run := run, at_seconds := at_seconds, v := v)) AS w FROM r WHERE run = 3 GROUP BY cache_key)
+SELECT cache_key, w.at_seconds AS at_seconds, w.v AS v FROM late UNION ALL SELECT cache_key, w.at_seconds, w.v FROM early WHERE w.at_seconds > 1735690000 AND cache_key NOT IN (SELECT cache_key FROM late)"""
+
+
+@query("cache_log_live", LOG_SQL)
+def _(spark, d):
+    """Two runs, tombstones of some keys, a time before which all is dead, a third run, a compaction: what is alive."""
+    rows = table(spark, d, "documents").select(F.concat(F.lit("k"), F.col("doc_id") % 500).alias("cache_key"), F.timestamp_seconds(1735689600 + F.col("doc_id")).alias("at"), F.col("doc_id").alias("v"))
+    log = logtable.LogTable(spark, storage.fresh_path(spark, "cache-log"), "cache_key string, at timestamp, v long", "cache_key", "at")
+    log.append(rows.filter("v % 3 = 0"))
+    log.append(rows.filter("v % 3 = 1"))
+    log.drop_keys(rows.filter("v % 500 % 7 = 0"))
+    log.drop_before(1735690000 * 1_000_000)
+    log.append(rows.filter("v % 3 = 2 AND v % 5 = 0"))
+    log.compact(all_=True)
+    return log.read().select("cache_key", F.unix_seconds("at").alias("at_seconds"), "v")
+
+
 # Conversations, reviews, events.
 TURNS = "SELECT conv_id, turn, role, text, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text FROM conversations"
 
