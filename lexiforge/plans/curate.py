@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.text import cache_key
 from ..operators import chunk, dedup, export, generate, regenerate, report, rescue, score, split
 from ..sources import files, sinks
-from ..sources.storage import exists, written
+from ..sources.storage import exists, remove, written
+from ..streaming.generation import Generation
 from .settings import Settings
 
 STAGES = ("extract", "generate", "evaluate", "split", "export")
@@ -29,6 +30,9 @@ class Curation:
         self.out = settings.resolved("general.output_dir")
         self.cache = generate.CacheTable(spark, self.path("cache"))
 
+    def told(self, batch: int, answered: int) -> None:
+        """Called after each batch of the generation."""
+
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
 
@@ -61,20 +65,33 @@ class Curation:
         docs = files.read_documents(self.spark, self.settings.resolved("general.input_dir"))
         return self.save(docs.filter("error is null").drop("error").withColumn("seq", F.xxhash64("file_path")), "extract")
 
-    def generate(self, only: DataFrame | None = None, to: str = "generate") -> DataFrame:
+    def chunks(self) -> DataFrame:
+        return chunk.chunked(self.read("extract"), size=self.settings.get("processing.chunk_size"), overlap=self.settings.get("processing.chunk_overlap"))
+
+    def generate(self) -> DataFrame:
+        """Pairs of all chunks. What was answered before a stop is not asked again: the folder of a generation goes only when its tables are committed."""
+        get, folder = self.settings.get, self.path("generation")
+        template, model = get("qa_generation.prompt_template"), self.providers[0].name
+        cache = self.cache if get("cache.enabled") else None
+        work = Generation(self.spark, folder, self.providers, template, model, cache, get("cache.ttl_days"), get("qa_generation.num_qa"), get("processing.save_interval", 1), told=self.told, **self.calls)
+        pairs, failed, _ = generate.outcome(work.run(self.chunks()), model)
+        failed = self.save(failed, "failed_chunks")
+        made = self.save(self.with_seq(pairs), "generate")
+        sinks.write_generated(made, failed, self.path("json"))
+        remove(self.spark, folder)
+        return made
+
+    def generate_again(self, weak: DataFrame, to: str = "regenerated") -> DataFrame:
+        """New pairs of weak chunks, whose old answers leave the cache."""
         get = self.settings.get
-        chunks = chunk.chunked(self.read("extract"), size=get("processing.chunk_size"), overlap=get("processing.chunk_overlap"))
-        if only is not None:
-            chunks = regenerate.only_chunks(chunks, only)
         template, model = get("qa_generation.prompt_template"), self.providers[0].name
-        if only is not None:  # these chunks' old answers must not come back
-            self.cache.drop_keys(chunks.select(cache_key("content", F.lit(template), F.lit(model)).alias("cache_key")))
-        cache = self.cache.read() if get("cache.enabled") else None
-        pairs, failed, new = generate.generated(chunks, self.providers, template, model, cache, get("cache.ttl_days"), num_qa=get("qa_generation.num_qa"), **self.calls)
+        some = regenerate.only_chunks(self.chunks(), weak)
+        self.cache.drop_keys(some.select(cache_key("content", F.lit(template), F.lit(model)).alias("cache_key")))
+        pairs, failed, new = generate.generated(some, self.providers, template, model, None, get("cache.ttl_days"), num_qa=get("qa_generation.num_qa"), **self.calls)
         self.cache.append(new)
-        failed = self.save(failed, "failed_chunks" if only is None else "failed_again")
+        failed = self.save(failed, "failed_again")
         made = self.save(self.with_seq(pairs), to)
-        sinks.write_generated(made, failed, self.path("json" if only is None else "json/regenerated"))
+        sinks.write_generated(made, failed, self.path("json/regenerated"))
         return made
 
     @staticmethod
@@ -116,7 +133,7 @@ class Curation:
             sinks.write_regenerate_list(weak, self.path("json"))
             if weak.isEmpty():
                 break
-            todo = self.generate(weak, "regenerated")
+            todo = self.generate_again(weak)
             if todo.isEmpty():
                 break
             redone = todo.select("source_doc", "chunk_id").distinct()

@@ -68,3 +68,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     """Whether a stage's output is committed."""
     at, system = _system(spark, f"{path}/_SUCCESS")
     return system.exists(at)
+
+
+def opened(path: str):
+    """(file system, path in it) for code of tasks, which has no JVM; path: a folder that the driver and all executors share."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
