@@ -73,7 +73,7 @@ class Curation:
         get, folder = self.settings.get, self.path("generation")
         template, model = get("qa_generation.prompt_template"), self.providers[0].name
         cache = self.cache if get("cache.enabled") else None
-        work = Generation(self.spark, folder, self.providers, template, model, cache, get("cache.ttl_days"), get("qa_generation.num_qa"), get("processing.save_interval", 1), told=self.told, **self.calls)
+        work = Generation(self.spark, folder, self.providers, template, model, cache, get("cache.ttl_days"), get("qa_generation.num_qa"), get("processing.checkpoint_interval", 1), told=self.told, **self.calls)
         pairs, failed, _ = generate.outcome(work.run(self.chunks()), model)
         failed = self.save(failed, "failed_chunks")
         made = self.save(self.with_seq(pairs), "generate")

@@ -816,7 +816,26 @@ def _(spark, d):
     return stream.ran(stream.scored(pairs, RULES).select("seq", "eval_score", "label"), "pairs", "append")
 
 
-QUERIES["stream_cache_hits"] = lambda spark, d: stream.ran(stream.cache_hits(stream.table_stream(spark, d, "events").select(F.col("user_id").cast("string").alias("cache_key"), "ts")), "cache", "append")
+def _hits_sql(key: str, hours: int) -> str:
+    """A key's entries are a chain of requests, each the first one at least the time to live after the last."""
+    return f"""WITH RECURSIVE q AS (SELECT {key} AS k, ts FROM events), r AS (SELECT DISTINCT k, ts, ts + INTERVAL {hours} HOUR AS till FROM q),
+    nx AS MATERIALIZED (SELECT a.k, a.ts, b.ts AS nxt FROM r a ASOF JOIN r b ON a.k = b.k AND a.till <= b.ts),
+    e AS (SELECT k, min(ts) AS ts FROM r GROUP BY k UNION ALL SELECT e.k, nx.nxt FROM e JOIN nx ON nx.k = e.k AND nx.ts = e.ts)
+    SELECT q.k AS cache_key, q.ts, e.ts IS NULL OR row_number() OVER (PARTITION BY q.k, q.ts) > 1 AS hit FROM q LEFT JOIN e ON e.k = q.k AND e.ts = q.ts"""
+
+
+@query("stream_cache_hits", _hits_sql("user_id::VARCHAR", 1))
+def _(spark, d):
+    requests = stream.table_stream(spark, d, "events").select(F.col("user_id").cast("string").alias("cache_key"), "ts")
+    return stream.ran(stream.cache_hits(requests), "cache", "append").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("cache_hits", _hits_sql("CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE user_id::VARCHAR END", 6))
+def _(spark, d):
+    """A third of all requests has one key."""
+    key = F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.col("user_id").cast("string"))
+    return stream.cache_hits(table(spark, d, "events").select(key.alias("cache_key"), "ts"), "6 hours").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
 
 
 # Smaller pieces.

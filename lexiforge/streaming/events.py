@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
 from ..functions.text import normalized, short_md5
 from ..operators.score import ScoreRules, routed, rule_score
-from ..sources.storage import shared_dir
+from ..sources.storage import cut, shared_dir, written
 
 
 def _timed(events: DataFrame, late: str) -> DataFrame:
@@ -50,46 +49,98 @@ def first_questions(pairs: DataFrame, ts: str = "ts", late: str = "1 day") -> Da
     return keyed.dropDuplicates(["question_hash"])
 
 
-def _lookups(times: list, created, ttl) -> tuple[list[bool], object]:
-    """Whether each request (in order) finds an entry that is younger than ttl; a miss makes a new one."""
-    hits = []
-    for t in times:
-        hit = created is not None and t - created < ttl
-        hits.append(bool(hit))
-        created = created if hit else t
-    return hits, created
+def _created(points: DataFrame, span: Column) -> DataFrame:
+    """cache_key, ts of the requests that make an entry; points: distinct (cache_key, ts). A key's entries are a chain: its first
+    request, the first one at least `span` later, and so on.
+
+    Every request's successor is found by one scan over ranges sorted by (key, time), in which a range hands its first
+    request to those before it; so a key that has any share of the rows is cut like the others. The chains are then
+    followed by pointer doubling: round r adds 2**r entries to each chain and doubles what a pointer jumps over.
+    """
+    wanted = points.select("cache_key", (F.col("ts") + span).alias("t"), F.lit(0).alias("kind"), F.col("ts").alias("origin"))
+    marks = points.select("cache_key", F.col("ts").alias("t"), F.lit(1).alias("kind"), F.lit(None).cast("timestamp").alias("origin")).unionByName(wanted)
+    ranged = marks.repartitionByRange("cache_key", "t", "kind").sortWithinPartitions("cache_key", "t", "kind").withColumn("at", F.monotonically_increasing_id())
+    ranged = written(ranged.withColumn("range", F.shiftright("at", 33).cast("int")), "requests-ranged")
+    request = F.when(F.col("kind") == 1, F.struct("cache_key", "t"))
+    # One row for each range: the first request of the ranges after it.
+    firsts = {r["range"]: r.f for r in ranged.groupBy("range").agg(F.min_by(request, F.when(F.col("kind") == 1, F.col("at"))).alias("f")).collect()}
+    after, carry = None, []
+    for k in sorted(firsts, reverse=True):
+        carry.append((k, *(after or (None, None)), after is not None))
+        after = firsts[k] or after
+    carried = points.sparkSession.createDataFrame(carry, "range int, c_key string, c_t timestamp, c_any boolean")
+    down = Window.partitionBy("range").orderBy(F.col("at").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = ranged.withColumn("own", F.last(request, ignorenulls=True).over(down)).filter("kind = 0").join(F.broadcast(carried), "range")
+    following = F.coalesce("own", F.when(F.col("c_any"), F.struct(F.col("c_key").alias("cache_key"), F.col("c_t").alias("t"))))
+    jumps = found.withColumn("next", following).filter(F.col("next.cache_key").eqNullSafe(F.col("cache_key"))).select("cache_key", F.col("origin").alias("ts"), F.col("next.t").alias("next"))
+    jumps = written(jumps, "requests-next")
+    entries = cut(points.groupBy("cache_key").agg(F.min("ts").alias("ts")))
+    while True:
+        ends = entries.select(F.col("cache_key").alias("e_key"), F.col("ts").alias("e_ts"))
+        more = cut(jumps.join(ends, F.col("cache_key").eqNullSafe(F.col("e_key")) & (F.col("ts") == F.col("e_ts"))).select("cache_key", F.col("next").alias("ts")))
+        if more.isEmpty():
+            return entries
+        entries = cut(entries.unionByName(more))
+        second = jumps.select(F.col("cache_key").alias("s_key"), F.col("ts").alias("s_ts"), F.col("next").alias("after"))
+        jumps = cut(jumps.join(second, F.col("cache_key").eqNullSafe(F.col("s_key")) & (F.col("next") == F.col("s_ts"))).select("cache_key", "ts", F.col("after").alias("next")))
+
+
+class KeyedCache(StatefulProcessor):
+    """One value a key, the time of its entry; a timer of event time clears it once the watermark has passed its end."""
+
+    def __init__(self, span_us: int):
+        self.span = span_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.created = handle.getValueState("created", "us long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = self.created.get()
+        created = held[0] if held else None
+        for t in sorted(r["us"] for r in rows):
+            hit = created is not None and t - created < self.span
+            if not hit:
+                created = t
+            yield Row(cache_key=key[0], us=t, hit=hit)
+        end, mark = (created + self.span) // 1000, timerValues.getCurrentWatermarkInMs()
+        if end > mark:
+            self.created.update((created,))
+            self.handle.registerTimer(end)
+        else:
+            self.created.clear()
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        held = self.created.get()
+        if held and (held[0] + self.span) // 1000 <= expiredTimerInfo.getExpiryTimeInMs():  # not a newer entry's
+            self.created.clear()
+        return iter(())
 
-def cache_hits(requests: DataFrame, ttl: str = "1 hour", late: str = "1 day", key: str = "cache_key", ts: str = "ts") -> DataFrame:
-    """key, ts, hit: requests against a keyed cache whose entries live for ttl. A stream keeps one time per key as state and
-    forgets it once the watermark has passed its end; a batch orders each key's requests in its task."""
-    import pandas as pd
-
-    span, rows = pd.Timedelta(ttl), requests.select(F.col(key).alias("cache_key"), F.col(ts).cast("timestamp").alias("ts"))
-    schema = "cache_key string, ts timestamp, hit boolean"
-
-    def batch(own: pd.DataFrame) -> pd.DataFrame:
-        own = own.sort_values("ts", kind="stable")
-        return own.assign(hit=_lookups(list(own["ts"]), None, span)[0])
-
-    def step(group: tuple, parts, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        own = pd.concat(list(parts)).sort_values("ts", kind="stable")
-        created = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        hits, created = _lookups(list(own["ts"]), created, span)
-        state.update((int(created.value // 1000),))
-        end = int((created + span).value // 1_000_000)
-        if end > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(end)
-        else:
-            state.remove()
-        yield own.assign(hit=hits)
+    def close(self) -> None:
+        pass
 
+
+def cache_hits(requests: DataFrame, ttl: str = "1 hour", late: str = "1 day", key: str = "cache_key", ts: str = "ts") -> DataFrame:
+    """cache_key, ts, hit: requests against a keyed cache whose entries live for ttl; a request that finds none makes one.
+
+    A stream keeps one time per key as state, which an event-time timer clears (a life by the clock of the machine would
+    end entries that late data still needs). A batch gathers no key: of requests at one time the first is the miss, and one
+    without a time is neither.
+    """
+    span = F.expr(f"INTERVAL {ttl}")
+    rows = requests.select(F.col(key).cast("string").alias("cache_key"), F.col(ts).cast("timestamp").alias("ts"))
     if not requests.isStreaming:
-        return rows.groupBy("cache_key").applyInPandas(batch, schema)
-    return rows.withWatermark("ts", late).groupBy("cache_key").applyInPandasWithState(step, schema, "created long", "append", GroupStateTimeout.EventTimeTimeout)
+        points = written(rows.groupBy("cache_key", "ts").agg(F.count("*").alias("n")), "requests")
+        made = _created(points.filter("ts is not null"), span).select(F.col("cache_key").alias("e_key"), F.col("ts").alias("e_ts"), F.lit(True).alias("made"))
+        every = points.join(made, F.col("cache_key").eqNullSafe(F.col("e_key")) & (F.col("ts") == F.col("e_ts")), "left")
+        no = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("no")
+        return every.select("cache_key", "ts", "made", no).select("cache_key", "ts", F.when(F.col("ts").isNotNull(), F.col("made").isNull() | (F.col("no") > 1)).alias("hit"))
+    spark = requests.sparkSession
+    us = spark.range(1).select(F.unix_micros(F.timestamp_seconds(F.lit(0)) + span)).first()[0]
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    marked = rows.withWatermark("ts", late).withColumn("us", F.unix_micros("ts"))
+    out = marked.groupBy("cache_key").transformWithState(KeyedCache(us), "cache_key string, us long, hit boolean", "append", "EventTime")
+    return out.select("cache_key", F.timestamp_micros("us").alias("ts"), "hit")
 
 
 def ran(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:

@@ -69,3 +69,32 @@ def test_keyed_cache_with_a_time_to_live(spark, tmp_path):
     stream = spark.readStream.schema(ev.schema).parquet(str(tmp_path / "in"))
     got = sorted(map(tuple, events.ran(events.cache_hits(stream, "6 hours"), "c", "append").collect()), key=str)
     assert got == want
+
+
+def test_one_hot_key_repeats_and_nulls(spark):
+    """A third of the requests have one key; some stand twice, some have no key or no time."""
+    import datetime as dt
+    import random
+
+    rng, start = random.Random(2), dt.datetime(2025, 1, 1)
+    rows = [("hot" if k % 3 == 0 else f"k{k % 17}", start + dt.timedelta(seconds=rng.randint(0, 4000))) for k in range(900)]
+    rows += rows[:50] + [(None, start + dt.timedelta(seconds=k * 7)) for k in range(30)]
+    df = spark.createDataFrame(rows, "cache_key string, ts timestamp")
+    want = brute_hits(rows, dt.timedelta(seconds=90))
+    assert sorted(map(tuple, events.cache_hits(df, "90 seconds").collect()), key=str) == want
+    timeless = spark.createDataFrame([("a", None), ("a", None)], "cache_key string, ts timestamp")
+    assert [r.hit for r in events.cache_hits(timeless, "1 hour").collect()] == [None, None]
+    assert events.cache_hits(df.limit(0), "1 hour").collect() == []
+
+
+def test_state_is_kept_between_batches(spark, tmp_path):
+    """Three files, three batches in order of time: the same hits as of all at once."""
+    import datetime as dt
+
+    start = dt.datetime(2025, 1, 1)
+    rows = [(f"k{k % 5}", start + dt.timedelta(minutes=k)) for k in range(90)]
+    for part in range(3):
+        spark.createDataFrame(rows[30 * part : 30 * part + 30], "cache_key string, ts timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("cache_key string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = sorted(map(tuple, events.ran(events.cache_hits(stream, "11 minutes"), "b", "append").collect()), key=str)
+    assert got == brute_hits(rows, dt.timedelta(minutes=11))
