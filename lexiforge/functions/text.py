@@ -17,6 +17,11 @@ def strip(x: Column | str) -> Column:
     return F.regexp_replace(c(x), rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
 
 
+def let(x: Column, f) -> Column:
+    """f(x) with x evaluated once, however often f uses it: the optimiser copies columns into expressions, but no lambda's variable."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
 def collapsed(x: Column | str) -> Column:
     """Runs of white space as one blank."""
     return F.regexp_replace(c(x), rf"(?U){SPACE}+", " ")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.text import c, normalized, question_key, rounded, short_md5, strip
 from ..sources.storage import cut, written
 
+#: A side of a join is broadcast only if its measured size is below this.
+BROADCAST_BYTES = 32 << 20
 #: Keys that one task may fold in order.
 SMALL_REST = 200_000
 
@@ -74,33 +76,61 @@ def dedup_pairs(df: DataFrame, **columns) -> tuple[DataFrame, DataFrame]:
     return out.filter("kept").drop("kept"), out.filter(~F.col("kept")).drop("kept", "opener")
 
 
-def trigrams(x):
-    """Distinct runs of three characters of the stripped lower-case text, each as a long of 21 bits a code point."""
+def code_points(x):
+    """The stripped lower-case text as an array of longs."""
     t = F.lower(strip(F.coalesce(c(x), F.lit(""))))
-    code = lambda i: F.ascii(t.substr(i, F.lit(1))).cast("long")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 2, F.lit(1))), lambda i: F.shiftleft(code(i), 42) + F.shiftleft(code(i + 1), 21) + code(i + 2))
-    return F.when(F.length(t) >= 3, F.array_distinct(grams)).otherwise(F.array().cast("array<long>"))
+    return F.transform(F.regexp_extract_all(t, F.lit("(?s)(.)"), F.lit(1)), lambda x: F.ascii(x).cast("long"))
+
+
+def trigrams(codes):
+    """Distinct runs of three code points, each as a long of 21 bits a code point."""
+    shifted = lambda k, bits: F.transform(F.slice(codes, k, F.greatest(F.size(codes) - 2, F.lit(0))), lambda x: F.shiftleft(x, bits))
+    return F.array_distinct(F.zip_with(F.zip_with(shifted(1, 42), shifted(2, 21), lambda x, y: x + y), shifted(3, 0), lambda x, y: x + y))
+
+
+#: A trigram is frequent if it stands in so large a share of the rows; rarer ones are of one rank. So at most the mean number of
+#: a row's trigrams divided by it are frequent.
+FREQUENT = 1 / 1000
+
+
+def ranked_trigrams(rows: DataFrame) -> DataFrame:
+    """i, size and s, the row's trigrams from the globally rarest to the most frequent; rows: i, g."""
+    each = rows.select("i", F.explode("g").alias("gram"))
+    n = rows.count()
+    frequent = cut(each.groupBy("gram").agg(F.count("*").alias("times")).filter(F.col("times") >= max(2, int(n * FREQUENT))))
+    near = F.broadcast(frequent) if 16 * frequent.count() <= BROADCAST_BYTES else frequent
+    ranked = each.join(near, "gram", "left").select("i", F.struct(F.coalesce("times", F.lit(0)).alias("times"), "gram").alias("r"))
+    return ranked.groupBy("i").agg(F.sort_array(F.collect_list("r")).alias("r")).select("i", F.size("r").alias("size"), F.col("r.gram").alias("s"))
 
 
 def near_pairs(df: DataFrame, question: str = "question", order: str = "seq", threshold: float = 0.8, limit: int | None = None, band: int = 99) -> DataFrame:
     """i, j, similarity: pairs of questions at most `band` places apart whose trigram sets are alike but not equal.
 
-    A band join: places fall into buckets of band + 1, and a row meets its own and the next bucket by an equi-join, so
-    the work is rows x band. All rows are compared; limit, which is off, bounds them to the first ones.
+    Two sets that are alike share one of the few rarest trigrams of both (the prefix filter), and from that place on enough
+    of them can be left (the position filter). So rows meet by (trigram of the prefix, bucket of band + 1 places), in the
+    own bucket and the next one, where a key has at most two buckets' rows; only pairs that are left are intersected, once.
+    All rows are compared; limit, which is off, bounds them to the first ones.
     """
-    base = df.select(F.col(order).alias("_o"), trigrams(question).alias("g"))
-    numbered = in_order(base, "_o").withColumn("size", F.size("g"))
+    codes = df.select(F.col(order).alias("_o"), code_points(question).alias("codes"))
+    numbered = in_order(codes.select("_o", trigrams("codes").alias("g")), "_o").select("i", "g")
     if limit is not None:
         numbered = numbered.filter(F.col("i") < limit)
-    width = band + 1
-    left = numbered.select("i", "g", "size", F.floor(F.col("i") / width).alias("b"))
-    right = left.select(F.col("i").alias("j"), F.col("g").alias("h"), F.col("size").alias("other"), F.explode(F.array(F.col("b"), F.col("b") - 1)).alias("b"))
+    ordered = written(ranked_trigrams(numbered), "trigrams")
+    width, exact = band + 1, 1e-9  # what floating point may add to a product
+    prefix = (F.col("size") - F.ceil(F.col("size") * threshold - exact) + 1).cast("int")
+    left = ordered.select("i", "size", F.floor(F.col("i") / width).alias("b"), F.posexplode(F.slice("s", 1, prefix)).alias("at", "gram"))
+    right = left.select("gram", F.col("i").alias("j"), F.col("size").alias("other"), F.col("at").alias("place"), F.explode(F.array(F.col("b"), F.col("b") - 1)).alias("b"))
     close = (F.col("j") > F.col("i")) & (F.col("j") <= F.col("i") + band)
-    alike = F.least("size", "other") >= F.lit(threshold) * F.greatest("size", "other")  # sets of other sizes can't be alike
-    pairs = left.join(right, "b").filter(close & alike)
-    shared = F.size(F.array_intersect("g", "h"))
-    pairs = pairs.withColumn("n", shared).withColumn("s", F.col("n") / F.greatest(F.col("size") + F.col("other") - F.col("n"), F.lit(1)))
-    return pairs.filter((F.col("s") >= threshold) & (F.col("s") < 1)).select("i", "j", rounded(F.col("s"), 3).alias("similarity"))
+    alike = F.least("size", "other") >= F.lit(threshold) * F.greatest("size", "other") - exact  # sets of other sizes can't be alike
+    needed = F.ceil((F.col("size") + F.col("other")) * (threshold / (1 + threshold)) - exact)
+    enough = F.least(F.col("size") - F.col("at"), F.col("other") - F.col("place")) >= needed
+    pairs = left.join(right, ["gram", "b"]).filter(close & alike & enough).select("i", "j").distinct()
+    own = ordered.select("i", F.col("s").alias("g"))
+    other = ordered.select(F.col("i").alias("j"), F.col("s").alias("h"))
+    # The generator keeps the optimiser from copying the intersection into every condition on it.
+    both = pairs.join(own, "i").join(other, "j").select("i", "j", (F.size("g") + F.size("h")).alias("m"), F.explode(F.array(F.size(F.array_intersect("g", "h")))).alias("n"))
+    found = both.withColumn("s", F.col("n") / F.greatest(F.col("m") - F.col("n"), F.lit(1)))
+    return found.filter((F.col("s") >= threshold) & (F.col("s") < 1)).select("i", "j", rounded(F.col("s"), 3).alias("similarity"))
 
 
 def in_order(df: DataFrame, order: str) -> DataFrame:

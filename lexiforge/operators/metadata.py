@@ -6,17 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed as X
-from ..functions.text import SPACE, c, collapsed, strip
+from ..functions.text import SPACE, c, collapsed, let, strip
 
 
 def header(content: Column | str) -> Column:
     return F.substring(F.coalesce(c(content), F.lit("")), 1, X.HEADER_CHARS)
 
 
-def _found(text: Column, pattern: str, group: int = 1) -> Column:
-    """A group of the first match ignoring case, null without a match."""
+def _found(text: Column, pattern: str, f) -> Column:
+    """f(groups) of the first match ignoring case, null without a match. The text is searched once; the groups are those of the short match."""
     p = f"(?iuU){pattern}"
-    return F.when(text.rlike(p), F.regexp_extract(text, p, group))
+    return let(F.regexp_extract(text, p, 0), lambda m: F.when(m != "", f(lambda group: F.regexp_extract(m, p, group))))
 
 
 def header_number(content: Column | str, truncated_decrees: bool = True) -> Column:
@@ -24,7 +24,7 @@ def header_number(content: Column | str, truncated_decrees: bool = True) -> Colu
 
     truncated_decrees: decree numbers that were cut before their ending count and get it appended.
     """
-    return _number(collapsed(header(content)), truncated_decrees)
+    return let(collapsed(header(content)), lambda t: _number(t, truncated_decrees))
 
 
 def _number(text: Column, truncated_decrees: bool = True) -> Column:
@@ -32,39 +32,41 @@ def _number(text: Column, truncated_decrees: bool = True) -> Column:
     for pattern, kind in X.HEADER_NUMBERS:
         if pattern.endswith("NĐ)") and not truncated_decrees:
             continue
-        number = F.regexp_replace(_found(text, pattern), rf"(?U){SPACE}+", "")
-        if truncated_decrees and kind == "Nghị định số":
-            number = F.when(number.contains("NĐ") & ~number.contains("-CP"), F.replace(number, F.lit("NĐ"), F.lit("NĐ-CP"))).otherwise(number)
-        forms.append(F.when(number.isNotNull(), F.struct(number.alias("number"), F.lit(kind).alias("kind"))))
+
+        def made(group, kind=kind) -> Column:
+            number = F.regexp_replace(group(1), rf"(?U){SPACE}+", "")
+            if truncated_decrees and kind == "Nghị định số":
+                number = F.when(number.contains("NĐ") & ~number.contains("-CP"), F.replace(number, F.lit("NĐ"), F.lit("NĐ-CP"))).otherwise(number)
+            return F.struct(number.alias("number"), F.lit(kind).alias("kind"))
+
+        forms.append(_found(text, pattern, made))
     return F.coalesce(*forms)
 
 
 def issued_date(content: Column | str) -> Column:
     """DD/MM/YYYY of the first valid date form."""
-    return _date(collapsed(header(content)))
+    return let(collapsed(header(content)), _date)
 
 
 def _date(text: Column) -> Column:
-    forms = []
-    for pattern in X.DATES:
-        d, m, y = (_found(text, pattern, k) for k in (1, 2, 3))
-        plain = (F.length(d) <= 4) & (F.length(m) <= 4)
+    def made(group) -> Column:
+        d, m, y = (group(k) for k in (1, 2, 3))
         valid = F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd") if hasattr(F, "try_to_date") else F.to_date(F.concat_ws("-", y, m, d))
         pad = lambda x: F.when(F.length(x) < 2, F.lpad(x, 2, "0")).otherwise(x)
-        forms.append(F.when(plain & (F.length(d) <= 2) & (F.length(m) <= 2) & valid.isNotNull(), F.concat(pad(d), F.lit("/"), pad(m), F.lit("/"), y)))
-    return F.coalesce(*forms)
+        return F.when((F.length(d) <= 2) & (F.length(m) <= 2) & valid.isNotNull(), F.concat(pad(d), F.lit("/"), pad(m), F.lit("/"), y))
+
+    return F.coalesce(*[_found(text, pattern, made) for pattern in X.DATES])
 
 
 def issuer(content: Column | str) -> Column:
-    return _issuer(collapsed(header(content)))
+    return let(collapsed(header(content)), _issuer)
 
 
 def _issuer(text: Column) -> Column:
-    forms = []
-    for pattern, name, named in X.ISSUERS:
-        got = _found(text, pattern, 1 if named else 0)
-        forms.append(F.when(got.isNotNull(), F.concat(F.lit(name), strip(got)) if named else F.lit(name)))
-    return F.coalesce(*forms)
+    def made(name: str, named: bool):
+        return lambda group: F.concat(F.lit(name), strip(group(1))) if named else F.lit(name)
+
+    return F.coalesce(*[_found(text, pattern, made(name, named)) for pattern, name, named in X.ISSUERS])
 
 
 def title(content: Column | str) -> Column:
@@ -78,22 +80,25 @@ def title(content: Column | str) -> Column:
 
 def extract_metadata(docs: DataFrame, content: str = "content") -> DataFrame:
     """docs with a metadata struct: doc_number, doc_number_short, doc_type, issued_date, issued_by, title."""
-    found = docs.withColumn("_t", collapsed(header(content))).withColumn("_n", _number(F.col("_t")))
-    meta = F.struct(
-        F.when(F.col("_n").isNotNull(), F.concat_ws(" ", "_n.kind", "_n.number")).alias("doc_number"),
-        F.col("_n.number").alias("doc_number_short"),
-        F.col("_n.kind").alias("doc_type"),
-        _date(F.col("_t")).alias("issued_date"),
-        _issuer(F.col("_t")).alias("issued_by"),
-        title(content).alias("title"),
-    )
-    return found.withColumn("metadata", meta).drop("_n", "_t")
+
+    def fields(number: Column, text: Column) -> Column:
+        return F.struct(
+            F.when(number.isNotNull(), F.concat_ws(" ", number["kind"], number["number"])).alias("doc_number"),
+            number["number"].alias("doc_number_short"),
+            number["kind"].alias("doc_type"),
+            _date(text).alias("issued_date"),
+            _issuer(text).alias("issued_by"),
+        )
+
+    found = let(collapsed(header(content)), lambda text: let(_number(text), lambda number: fields(number, text)))
+    names = ("doc_number", "doc_number_short", "doc_type", "issued_date", "issued_by")
+    meta = docs.select("*", F.inline(F.array(found)).alias(*[f"_{n}" for n in names]))  # a generator: its columns are made once
+    return meta.withColumn("metadata", F.struct(*[F.col(f"_{n}").alias(n) for n in names], title(content).alias("title"))).drop(*[f"_{n}" for n in names])
 
 
 def number_text(content: Column | str) -> Column:
     """'kind number' of a header, or the text for unknown numbers."""
-    n = header_number(content)
-    return F.when(n.isNotNull(), F.concat_ws(" ", n["kind"], n["number"])).otherwise(X.UNKNOWN_NUMBER)
+    return let(header_number(content), lambda n: F.when(n.isNotNull(), F.concat_ws(" ", n["kind"], n["number"])).otherwise(X.UNKNOWN_NUMBER))
 
 
 def split_number_text(text: Column | str) -> Column:

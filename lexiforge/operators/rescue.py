@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed as X
-from ..functions.text import count_groups, matches
+from ..functions.text import count_groups, let, matches
 from .metadata import header_number, number_from_file
 
 GROUP = 8
@@ -32,9 +32,11 @@ def resolve_numbers(qa: DataFrame, docs: DataFrame, source: str = "source_doc")
     order = F.col("seq") if "seq" in docs.columns else F.lit(0)
     # The content is only looked at where the metadata has no number.
     number = F.when(F.length("metadata.doc_number") > 0, F.lit(None)).otherwise(header_number("content", truncated_decrees=False))
-    own = F.struct("metadata", number.alias("n"))
-    known = docs.groupBy(F.col("file_name").alias("_f")).agg(F.max_by(own, order).alias("_d"))
-    m, n = F.col("_d.metadata"), F.col("_d.n")
+    # Only the fields that are wanted, made once by a generator: not the title, and not again in the aggregate.
+    fields = F.struct(*[F.col(f"metadata.{n}").alias(n) for n in ("doc_number", "doc_number_short", "doc_type", "issued_date", "issued_by")], number.alias("n"))
+    each = docs.select(F.col("file_name").alias("_f"), order.alias("_o"), F.explode(F.array(fields)).alias("_v"))
+    known = each.groupBy("_f").agg(F.max_by("_v", "_o").alias("_d"))
+    m, n = F.col("_d"), F.col("_d.n")
     none = F.lit(None).cast("string")
     info = lambda number, kind, date=none, by=none: F.struct(number.alias("number"), kind.alias("kind"), date.alias("issued_date"), by.alias("issued_by"))
     file = number_from_file(source)
@@ -68,14 +70,14 @@ def rewritten(df: DataFrame, answer: str = "answer", info: str = "doc_info", to:
     group = F.lit(None).cast("int")
     for at in reversed(range(0, len(every), GROUP)):
         group = F.when(F.col(answer).rlike(_any(every[at : at + GROUP])), at).otherwise(group)
-    own = F.transform(F.slice(F.array(*map(F.lit, patterns)), F.col("_group") + 1, F.lit(GROUP)), lambda p: F.rlike(F.col(answer), p))
-    which = F.col("_group") + F.array_position(own, F.lit(True)).cast("int")
+    own = lambda g: F.transform(F.slice(F.array(*map(F.lit, patterns)), g + 1, F.lit(GROUP)), lambda p: F.rlike(F.col(answer), p))
+    which = let(F.when(F.col(f"{info}.number").isNotNull(), group), lambda g: F.when(g.isNotNull(), g + F.array_position(own(g), F.lit(True)).cast("int")))
     quoted = lambda t: F.regexp_replace(t, r"([\\\$])", r"\\$1")  # noqa: E731  the replacement gives \ and $ a meaning
     parts = [(f"(?Us)\\A(.*?)(?-s:{p})", "$1" + "$2" * (count_groups(p) > 0) + lead, tail + "$3" * (count_groups(p) > 1), is_full) for p, lead, tail, is_full in every]
     pick = lambda n: F.element_at(F.array(*[F.lit(x[n]) for x in parts]), F.col("_rule"))
-    df = df.withColumn("_group", F.when(F.col(f"{info}.number").isNotNull(), group)).withColumn("_rule", F.when(F.col("_group").isNotNull(), which))
+    df = df.select("*", F.explode(F.array(which)).alias("_rule"))  # a generator: the rule is found once
     made = F.concat(pick(1), quoted(F.when(pick(3), full).otherwise(plain)), pick(2))
-    return df.withColumn(to, F.when(F.col("_rule").isNotNull(), F.regexp_replace(F.col(answer), pick(0), made))).drop("_group", "_rule")
+    return df.withColumn(to, F.when(F.col("_rule").isNotNull(), F.regexp_replace(F.col(answer), pick(0), made))).drop("_rule")
 
 
 def rescue(qa: DataFrame, docs: DataFrame, answer: str = "answer") -> tuple[DataFrame, DataFrame]:

@@ -1,8 +1,8 @@
 """The queries of the curation engine over the driver's tables, each with DuckDB SQL where SQL can express it.
 
 Pairs are derived from `documents` by the expressions in QA, which both engines read: eight kinds of answers, each before a
-whole text, and four kinds of questions make every branch of the rules occur. A question is a short text by nature: it is made
-of the first 60 characters of a document, which is how the pairs are defined and no limit of a query.
+whole text, and four kinds of questions make every branch of the rules occur. A question is a document's first sentence or
+line, whatever its length.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ QA = [
     "doc_id AS seq",
     "'d' || CAST(doc_id % 40 AS VARCHAR(20)) AS source_doc",
     "CAST(doc_id % 7 AS INT) AS chunk_id",
-    "CASE doc_id % 11 WHEN 3 THEN 'Thông tư này quy định ' WHEN 5 THEN 'Văn bản này là gì ' WHEN 7 THEN 'Tôi muốn biết Nghị định này áp dụng ' ELSE '' END || substring(text, 1, 60) || CASE doc_id % 5 WHEN 0 THEN '' ELSE '?' END AS question",
+    "CASE doc_id % 11 WHEN 3 THEN 'Thông tư này quy định ' WHEN 5 THEN 'Văn bản này là gì ' WHEN 7 THEN 'Tôi muốn biết Nghị định này áp dụng ' ELSE '' END || regexp_extract(text, '^[^.!?\\n]*', 0) || CASE doc_id % 5 WHEN 0 THEN '' ELSE '?' END AS question",
     "CASE doc_id % 8 WHEN 0 THEN 'Căn cứ Điều 12, Khoản 3 Luật số 41/2024/QH15, mức hưởng là 75%. ' WHEN 1 THEN 'Theo Nghị định số 158/2025/NĐ-CP thì thời hạn là 30 ngày. ' WHEN 2 THEN 'Căn cứ Điều 21, Khoản 2 Thông tư này, mức đóng là 8%. ' WHEN 3 THEN 'Theo quy định tại văn bản hiện hành, người lao động được hưởng. ' WHEN 4 THEN 'Điều 5 nêu rõ trợ cấp 2 triệu đồng. ' WHEN 5 THEN '' WHEN 6 THEN 'Theo Điều 7 của văn bản không có số hiệu, mức hưởng là 60%. ' ELSE 'Căn cứ Điều 9: trợ cấp 3 tháng lương theo 58/2014/QH13 và Thông tư 59/2015/TT-BLDTBXH. ' END || text AS answer",
 ]
 LAWS = [
