@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 from ..functions.text import c, first_filled
+from ..sources.storage import written
 
 
 #: Most laws of a registry: it enters plans as one broadcast row of some 20 MB at most.
@@ -72,6 +73,64 @@ def validated(df: DataFrame, registry: DataFrame, on: str, strict: bool = True)
     return df.withColumn("_validation", detail).drop("_cited", "_laws", "_active", "_expired", "_unknown")
 
 
+#: Days of a bucket of dates, in which an interval and the dates that it holds meet.
+BUCKET_DAYS = 365
+#: Citations of one law on one day that a task of a join meets without more ado.
+HOT = 100_000
+
+
+def in_force(asked: DataFrame, registry: DataFrame) -> DataFrame:
+    """id, day, n and status of distinct (id, day): active if a version of the law is in force on that day, else expired or unknown.
+
+    An interval join: versions are laid out over the buckets of days that were asked for, and meet them by (id, bucket). Neither
+    side is bounded or broadcast as such; a law has as many rows here as different days were asked for.
+    """
+    span = asked.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    bucket = lambda day: F.floor(F.unix_date(day) / BUCKET_DAYS)
+    laid = registry.filter("effective_date is not null").join(F.broadcast(span)).filter((F.col("effective_date") <= F.col("last")) & (F.col("expiry_date").isNull() | (F.col("expiry_date") > F.col("first"))))
+    first, last = F.greatest("effective_date", "first"), F.least(F.coalesce("expiry_date", "last"), F.col("last"))
+    laid = laid.select("id", "effective_date", "expiry_date", F.explode(F.sequence(bucket(first), bucket(last))).alias("bucket"))
+    held = asked.withColumn("bucket", bucket(F.col("day"))).join(laid, ["id", "bucket"]).filter((F.col("effective_date") <= F.col("day")) & (F.col("expiry_date").isNull() | (F.col("expiry_date") > F.col("day"))))
+    held = held.select("id", "day").distinct().withColumn("held", F.lit(True))
+    known = registry.select("id").distinct().withColumn("known", F.lit(True))
+    out = asked.join(held, ["id", "day"], "left").join(known, "id", "left")
+    return out.select("id", "day", "n", F.when(F.col("held"), "active").when(F.col("known"), "expired").otherwise("unknown").alias("status"))
+
+
+def validated_on(df: DataFrame, registry: DataFrame, on: str, key: str, strict: bool = True) -> DataFrame:
+    """key and _validation (as of validated) of each row on its own date; key: a column without repeats.
+
+    Texts do not move: each row's citations are laid out, counted by (law, day), looked up once for each such pair and gathered
+    again by key. A pair that many rows have is dealt to several tasks. Without a date, citations are unknown.
+    """
+    cited = df.select(F.col(key).alias("k"), F.to_date(on).alias("day"), citations(_text(df, "\n")).alias("c"))
+    cited = written(cited, "cited")
+    each = cited.select("k", "day", F.posexplode("c").alias("at", "id"))
+    asked = each.filter("day is not null").groupBy("id", "day").agg(F.count("*").alias("n"))
+    status = written(in_force(asked, registry), "in-force")
+    salts = F.ceil(F.col("n") / HOT).cast("int")
+    copies = status.select("id", "day", "status", salts.alias("salts"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    # At most one pair for each HOT citations is hot.
+    hot = F.broadcast(status.filter(F.col("n") > HOT).select("id", "day", salts.alias("own")))
+    dealt = each.join(hot, ["id", "day"], "left").withColumn("salt", F.pmod(F.xxhash64("k"), F.coalesce("own", F.lit(1))).cast("int")).drop("own")
+    found = dealt.join(copies.drop("salts"), ["id", "day", "salt"], "left")
+    lists = found.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("at", "id", F.coalesce("status", F.lit("unknown")).alias("status")))).alias("s"))
+    whole = cited.select("k").join(lists, "k", "left").withColumn("s", F.coalesce("s", F.array().cast("array<struct<at: int, id: string, status: string>>")))
+    of = lambda status: F.transform(F.filter("s", lambda x: x["status"] == status), lambda x: x["id"])
+    whole = whole.select("k", F.size("s").alias("total"), *[of(n).alias(n) for n in ("active", "expired", "unknown")])
+    valid = F.size("expired") == 0
+    if not strict:
+        valid = valid | (F.size("active") > 0)
+    return whole.select(F.col("k").alias(key), F.struct(valid.alias("is_valid"), F.col("total").alias("total_citations"), "active", "expired", "unknown").alias("_validation"))
+
+
+def law_status_on(registry: DataFrame, days: DataFrame, on: str) -> DataFrame:
+    """day, id, name, type, ord, status of all laws on each different date of a table; days without a date are left out."""
+    every = days.select(F.to_date(on).alias("day")).filter("day is not null").distinct()
+    active = (F.col("effective_date") <= F.col("day")) & (F.col("expiry_date").isNull() | (F.col("expiry_date") > F.col("day")))
+    return every.crossJoin(F.broadcast(bounded(registry))).select("day", "id", "name", "type", "ord", F.when(active, "active").otherwise("expired").alias("status"))
+
+
 def validity_stats(checked: DataFrame) -> DataFrame:
     v = F.col("_validation.is_valid")
     out = checked.agg(F.count("*").alias("total"), F.count_if(v).alias("valid"), F.count_if(~v).alias("invalid"))

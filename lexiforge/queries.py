@@ -490,9 +490,35 @@ def _(spark, d):
     return q.select("seq", F.array_join("c", ",").alias("cited"), F.size("c").alias("n"))
 
 
-@query("law_status_asof", f"WITH {LAWS_SQL} SELECT id, type, CASE WHEN effective_date <= DATE '{DAY}' AND (expiry_date IS NULL OR expiry_date > DATE '{DAY}') THEN 'active' ELSE 'expired' END AS status FROM laws")
+#: Each pair's own reference date: that of an order, moved to the years of the registry.
+DATED = "CAST(o_orderdate AS DATE) + {days}"
+DAYS_SQL = f"ds AS (SELECT o_orderkey AS seq, {DATED.format(days=8766)} AS day FROM orders)"
+
+
+def days(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("seq"), F.date_add(F.col("o_orderdate").cast("date"), 8766).alias("day"))
+
+
+IN_FORCE = "effective_date <= day AND (expiry_date IS NULL OR expiry_date > day)"
+
+
+@query("law_status_asof", f"WITH {LAWS_SQL}, {DAYS_SQL} SELECT day, id, type, CASE WHEN {IN_FORCE} THEN 'active' ELSE 'expired' END AS status FROM (SELECT DISTINCT day FROM ds), laws")
+def _(spark, d):
+    return temporal.law_status_on(registry(spark), days(spark, d), "day").select("day", "id", "type", "status")
+
+
+BY_DATE_SQL = (
+    f"{CIT_SQL}, {DAYS_SQL}, x AS (SELECT seq, day, unnest(cited) AS id, generate_subscripts(cited, 1) AS pos FROM cc LEFT JOIN ds USING (seq)), "
+    f"y AS (SELECT x.*, CASE WHEN day IS NULL THEN 'unknown' WHEN EXISTS (SELECT 1 FROM laws WHERE laws.id = x.id AND {IN_FORCE}) THEN 'active' WHEN EXISTS (SELECT 1 FROM laws WHERE laws.id = x.id) THEN 'expired' ELSE 'unknown' END AS status FROM x), "
+    "z AS (SELECT seq, count(*)::INTEGER AS n, string_agg(id, ',' ORDER BY pos) FILTER (status = 'active') AS a, string_agg(id, ',' ORDER BY pos) FILTER (status = 'expired') AS e, string_agg(id, ',' ORDER BY pos) FILTER (status = 'unknown') AS u FROM y GROUP BY seq)"
+)
+
+
+@query("temporal_validate_by_date", f"WITH {BY_DATE_SQL} SELECT seq, e IS NULL AS is_valid, coalesce(n, 0) AS total_citations, coalesce(a, '') AS active, coalesce(e, '') AS expired, coalesce(u, '') AS unknown FROM cc LEFT JOIN z USING (seq)")
 def _(spark, d):
-    return temporal.law_status(registry(spark), DAY).select("id", "type", "status")
+    dated = qa(spark, d).join(days(spark, d), "seq", "left")
+    v = temporal.validated_on(dated, registry(spark), "day", "seq")
+    return v.select("seq", "_validation.is_valid", "_validation.total_citations", *[F.array_join(f"_validation.{n}", ",").alias(n) for n in ("active", "expired", "unknown")])
 
 
 def _validated(name: str, strict: bool) -> None:
@@ -868,9 +894,9 @@ def _(spark, d):
     return report.recent_errors(table(spark, d, "events").select("event_id", "ts", F.col("props").alias("message"))).select("event_id", "message")
 
 
-@query("applicable_laws", f"WITH {LAWS_SQL} SELECT id, name FROM laws WHERE effective_date <= DATE '{DAY}' AND (expiry_date IS NULL OR expiry_date > DATE '{DAY}')")
+@query("applicable_laws", f"WITH {LAWS_SQL}, {DAYS_SQL} SELECT day, id, name FROM (SELECT DISTINCT day FROM ds), laws WHERE {IN_FORCE}")
 def _(spark, d):
-    return temporal.applicable(registry(spark), DAY).select("id", "name")
+    return temporal.law_status_on(registry(spark), days(spark, d), "day").filter("status = 'active'").select("day", "id", "name")
 
 
 @query("chunk_total", "SELECT count(*) AS chunks FROM (" + CHUNK_SQL + ")")

@@ -35,6 +35,41 @@ def test_citations_in_order_and_cut_at_special_letters(spark):
     assert df.first().c == ["5/2024/QH15", "59/2024/TT-BL", "12/QĐ-BHXH"]
 
 
+def test_each_row_on_its_own_date(spark, monkeypatch):
+    """Versions of one law, boundaries of intervals, dates of many buckets, hot laws, rows without a date or an answer."""
+    import datetime as d
+    import random
+
+    rng, day = random.Random(3), lambda k: d.date(2010, 1, 1) + d.timedelta(days=k)
+    versions = [(k, f"{k % 9 + 1}/2010/QH1", "n", "Luật", day(a := rng.randint(0, 4000)), None if k % 4 == 0 else day(a + rng.randint(0, 2000))) for k in range(40)]
+    versions += [(41, "77/2010/QH1", "n", "Luật", None, None)]
+    registry = spark.createDataFrame(versions, "ord int, id string, name string, type string, effective_date date, expiry_date date")
+    rows = [(k, "q?", " ".join(f"{rng.randint(1, 11) if k % 3 else 1}/2010/QH1" for _ in range(rng.randint(0, 4))), day(rng.choice([v[4] for v in versions[:-1]]).toordinal() - day(0).toordinal() if k % 2 else rng.randint(-500, 7000))) for k in range(300)]
+    rows += [(900, "q?", "1/2010/QH1", None), (901, None, None, day(5)), (902, "q?", "77/2010/QH1 99/1999/QH1", day(5))]
+    df = spark.createDataFrame(rows, "seq int, question string, answer string, day date")
+
+    def status(id_, on):
+        if on is None:
+            return "unknown"
+        own = [(a, z) for _, i, _, _, a, z in versions if i == id_]
+        return "unknown" if not own else "active" if any(a and a <= on and (z is None or z > on) for a, z in own) else "expired"
+
+    want = {}
+    for k, q, a, on in rows:
+        cited = list(dict.fromkeys((f"{q or ''}\n{a or ''}").split()))
+        cited = [c for c in cited if c.endswith("/QH1")]
+        by = {n: [c for c in cited if status(c, on) == n] for n in ("active", "expired", "unknown")}
+        want[k] = (not by["expired"], len(cited), by["active"], by["expired"], by["unknown"])
+    for hot in (temporal.HOT, 3):
+        monkeypatch.setattr(temporal, "HOT", hot)
+        got = {r.seq: tuple(r._validation) for r in temporal.validated_on(df, registry, "day", "seq").collect()}
+        assert got == want
+    lenient = {r.seq: r._validation.is_valid for r in temporal.validated_on(df, registry, "day", "seq", strict=False).collect()}
+    assert lenient == {k: bool(a) or not e for k, (_, _, a, e, _) in want.items()}
+    assert temporal.validated_on(df.limit(0), registry, "day", "seq").collect() == []
+    assert {r._validation.unknown == [] for r in temporal.validated_on(df.filter("seq < 300"), registry.limit(0), "day", "seq").collect()} == {True, False}
+
+
 def test_context(spark):
     r = temporal.add_context(pairs(spark, "1/2020/QH14 4/2021/NĐ-CP 2/2010/QH12"), laws(spark), "2025-12-01").first()
     assert r.question == "### Ngày tham chiếu: 01/12/2025\n### Văn bản áp dụng: 1/2020/QH14\n\n### Câu hỏi:\nq?"
