@@ -39,6 +39,38 @@ def salted_join(big: DataFrame, lookup: DataFrame, key: str, rows: str, total: i
     return dealt.join(copies, [key, "_salt"]).drop("_salt")
 
 
+#: Bits of a filter of keys: 32 MB, whatever the number of keys is.
+FILTER_BITS = 1 << 28
+
+
+def may_hold(wide: DataFrame, keys: DataFrame, own: list[Column]) -> tuple[DataFrame, Column]:
+    """wide beside a bitmap of keys' hashes, and whether a row's hash (of its own key columns) is in it; wrong at most by chance, and never for a key that is there."""
+    place = lambda *c: F.pmod(F.xxhash64(*c), F.lit(FILTER_BITS)) + 1
+    of = place(*[F.col(c) for c in keys.columns])
+    maps = keys.groupBy(F.bitmap_bucket_number(of).alias("_map")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(of)).alias("_bits"))
+    marked = wide.withColumn("_place", place(*own))
+    marked = marked.join(F.broadcast(maps), F.bitmap_bucket_number("_place") == F.col("_map"), "left").withColumn("_at", F.bitmap_bit_position("_place"))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(F.col("_at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return marked, F.coalesce(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1, F.lit(False))
+
+
+def having(wide: DataFrame, keys: DataFrame, own: list[Column], n: int, bytes_a_row: int, without: bool = False) -> DataFrame:
+    """wide's rows whose key (own, in the order of keys' columns; nulls are equal) is among keys, which have n rows, or those that lack it (without).
+
+    Few keys are broadcast. Of many keys a bitmap of their hashes is, so that of wide's rows, which may hold whole texts, only
+    those are shuffled whose key is there, and a share as large as the keys' share of FILTER_BITS.
+    """
+    same = F.lit(True)
+    for c, k in zip(own, keys.columns, strict=True):
+        same = same & c.eqNullSafe(F.col(k))
+    how = "left_anti" if without else "left_semi"
+    if n * bytes_a_row <= BROADCAST_BYTES:
+        return wide.join(F.broadcast(keys), same, how)
+    marked, hit = may_hold(wide, keys, own)
+    met = marked.filter(hit).select(*wide.columns).join(keys, same, how)
+    return marked.filter(~hit).select(*wide.columns).unionByName(met) if without else met
+
+
 def col(df: DataFrame, name: str) -> Column:
     """A column by its exact name, dots included."""
     return df["`" + name.replace("`", "``") + "`"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, col, cut, small, written
+from .common import SPACES, col, cut, having, small, written
 
 
 def normalised(text: Column) -> Column:
@@ -78,7 +78,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that exact_dedup keeps, with all their columns.
 
-    Rows are found again by (id, hash of the text without white space, code points); of rows repeated whole one stays.
+    Rows are found again by (id, hash of the text without white space); of rows repeated whole one stays. Rows that stay
+    are not shuffled, but for those that the filter of dropped keys (common.having) takes for dropped by chance.
     """
     found = exact_dedup(docs, id_col, text_col)
     own = found.columns[0]
@@ -89,10 +90,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     n_gone, n_twice = gone.count(), twice.count()
     names = docs.columns
     wide = docs.select(F.struct(*[col(docs, c) for c in names]).alias("row"), col(docs, id_col).alias("d_id"), F.sha2(normalised(col(docs, text_col)), 256).alias("d_h"))
-    on = lambda side: F.col("d_id").eqNullSafe(side.g_id) & (F.col("d_h") == side.g_h)
-    out = wide.join(small(gone.select("g_id", "g_h").distinct(), n_gone, 112), on(gone), "left_anti")
+    own = [F.col("d_id"), F.col("d_h")]
+    out = having(wide, gone.select("g_id", "g_h").distinct(), own, n_gone, 112, without=True)
     if n_twice:
-        again = wide.join(small(twice, n_twice, 112), on(twice), "left_semi")
+        again = having(wide, twice, own, n_twice, 112)
         n = F.length(F.coalesce(F.col("row")[text_col], F.lit("")))
         again = again.withColumn("n", n).groupBy("d_id", "d_h").agg(F.max_by("row", "n").alias("row"))
         out = out.select("row").unionByName(again.select("row"))

@@ -12,6 +12,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import common
 from .common import WORD, col, cut, small, written
 
 #: Base weights by a source's rank, repeating.
@@ -61,9 +62,20 @@ def _keyed(docs: DataFrame, id_col: str, source_col: str, text_col: str, quality
     wide = docs.select(F.struct(*[col(docs, c) for c in docs.columns]).alias("row"), col(docs, id_col).alias("id"), col(docs, source_col).alias("source"), words(text).alias("size"), uniform(F.coalesce(col(docs, id_col).cast("string"), F.md5(F.coalesce(text, F.lit("")))), seed=seed).alias("u"), F.monotonically_increasing_id().alias("place"))
     if quality is None:
         return wide.withColumn("key", -F.log("u"))
-    quality = cut(quality)
-    quality = small(quality, quality.count(), 32)  # else whole texts would move to meet their weights
-    return wide.join(quality, wide.id == quality.q_id, "left").withColumn("key", -F.log("u") / F.coalesce(F.col("q_w"), F.lit(1.0))).drop("q_id", "q_w")
+    quality = cut(quality.filter("q_w <> 1"))
+    weighed = weighted(wide, quality, quality.count())
+    return weighed.withColumn("key", -F.log("u") / F.coalesce(F.col("q_w"), F.lit(1.0))).drop("q_id", "q_w")
+
+
+def weighted(wide: DataFrame, quality: DataFrame, n: int) -> DataFrame:
+    """wide with q_id and q_w of the n rows of quality; documents without a weight of their own do not move to meet the others'."""
+    same = F.col("id") == F.col("q_id")
+    if n * 32 <= common.BROADCAST_BYTES:
+        return wide.join(F.broadcast(quality), same, "left")
+    marked, hit = common.may_hold(wide, quality.select("q_id"), [F.col("id")])
+    met = marked.filter(hit).select(*wide.columns).join(quality, same, "left")
+    alone = marked.filter(~hit).select(*wide.columns, F.lit(None).cast(quality.schema["q_id"].dataType).alias("q_id"), F.lit(None).cast("double").alias("q_w"))
+    return alone.unionByName(met)
 
 
 def quality_weights(labels: DataFrame, id_col: str = "doc_id", good_col: str = "quality", high: float = 2.0, low: float = 0.5) -> DataFrame:

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut, release, salted_join, small, written
+from .common import col, cut, having, release, salted_join, small, written
 
 BITS = 64
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -253,9 +253,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     twice = rows.filter(stays & (F.col("c") > 1)).select(*key)
     n_gone, n_twice = gone.count(), twice.count()
     wide = docs.select(F.struct(*[col(docs, c) for c in docs.columns]).alias("row"), col(docs, id_col).alias("d_id"), text_hash(col(docs, text_col)).alias("d_h"))
-    same = F.col("d_id").eqNullSafe(F.col("g_id")) & (F.col("d_h") == F.col("g_h"))
-    out = wide.join(small(gone, n_gone, 80), same, "left_anti").select("row")
+    own = [F.col("d_id"), F.col("d_h")]
+    out = having(wide, gone, own, n_gone, 80, without=True).select("row")
     if n_twice:
-        again = wide.join(small(twice, n_twice, 80), same, "left_semi").groupBy("d_id", "d_h").agg(F.first("row").alias("row"))
+        again = having(wide, twice, own, n_twice, 80).groupBy("d_id", "d_h").agg(F.first("row").alias("row"))
         out = out.unionByName(again.select("row"))
     return out.select("row.*")

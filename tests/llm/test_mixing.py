@@ -89,3 +89,16 @@ def test_the_budget_may_end_among_repeated_rows(spark):
     con.execute("CREATE TABLE labels (doc_id BIGINT, quality INT)")
     want = sorted(con.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({OP4_SQL})").fetchall())
     assert sorted((r.id, r["size"], r.source_size, r.target, r.taken) for r in rows) == want
+
+
+def test_many_weights_do_not_move_documents_without_one(spark, sample, odd, monkeypatch):
+    """Weights met by a filter of their ids give the same mix as broadcast ones."""
+    from lexiforge.llm import common
+
+    labels = spark.createDataFrame([(k, k % 3 % 2) for k in range(0, 200, 3)] + [(7, None), (None, 1)], "doc_id long, quality int")
+    for docs in (sample, odd):
+        key = lambda: sorted((str(r.id), r.copies, r.taken, round(r.target, 6)) for r in mixing.mix_sources(docs, mixing.quality_weights(labels)).drop("row").collect())  # noqa: E731, B023
+        want = key()
+        with monkeypatch.context() as m:
+            m.setattr(common, "BROADCAST_BYTES", -1)
+            assert key() == want
