@@ -1,9 +1,9 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, scores of the context, logistic regression.
 
 The lexicon (words, and stems that any ending may follow) is learned from a bounded sample of labelled rows, whose words
-are counted where the rows are; only candidates of the lexicon and the fitted rows' features reach the driver. Stems that
-clean texts have by chance, but hardly ever in two forms, are weak: they count by their different forms. A word is matched by walking the intersection of the trie and the Levenshtein automaton of each entry; its states are made when
-they are first met and remembered, so that most words die after a few characters. The window around each hit says
+are counted where the rows are; only terms that passed every test and the fitted rows' features reach the driver. Stems that
+clean texts have by chance, but hardly ever in two forms, are weak: they count by their different forms. A word is matched
+by walking the intersection of the trie and the Levenshtein automaton of each entry; its states are made when they are first met and remembered, so that most words die after a few characters. The window around each hit says
 whether the term is quoted or aimed at somebody, and a document's score is a logistic function of its hits by kind.
 """
 
@@ -30,8 +30,6 @@ CONTEXTS, EVIDENCE, IMPURE = 5, 12.0, 0.02
 #: The same share for a weak stem, of texts with two forms of it; its forms at least.
 WEAK_IMPURE, FORMS = 0.05, 5
 STEMS = (4, 5, 6, 7)
-#: Most entries of the lexicon, and most terms that are looked at for it (those in most toxic texts).
-LEXICON, CANDIDATES = 2000, 20_000
 #: Terms that a task counts before it passes them on.
 COUNTED = 500_000
 #: Words on each side of a hit that make up its context.
@@ -243,27 +241,27 @@ def evidence(rows: DataFrame) -> DataFrame:
     return counted.groupBy("term", "stem").agg(*[F.sum(n).alias(n) for n in ("toxic", "toxic2", "clean", "clean2")])
 
 
-def contexts(rows: DataFrame, wanted: set[tuple[str, bool]]) -> DataFrame:
-    """term, stem, contexts, forms: different neighbours and different words of the wanted terms in toxic texts."""
+def contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """term, stem, contexts, forms: different neighbours and different words of the wanted (term, stem) in toxic texts."""
     import pyarrow as pa
 
-    shared = rows.sparkSession.sparkContext.broadcast(wanted)  # CANDIDATES at most
-
     def run(batches: Iterator) -> Iterator:
-        own = shared.value
         for b in batches:
             for t in b.column(0):
                 words = ["", *WORD.findall(t.as_py().lower()), ""]
                 found = set()
                 for k in range(1, len(words) - 1):
                     w = words[k]
-                    for x in ((w, False), *((w[:n], True) for n in STEMS if len(w) > n)):
-                        if x in own:
-                            found.add((*x, words[k - 1], words[k + 1], w))
+                    around = (words[k - 1], words[k + 1], w)
+                    found.add((w, False, *around))
+                    for n in STEMS:
+                        if len(w) > n:
+                            found.add((w[:n], True, *around))
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], names=["term", "stem", "before", "after", "word"])
 
     found = rows.filter("y = 1").select("t").mapInArrow(run, "term string, stem boolean, before string, after string, word string")
+    found = found.join(small(wanted, wanted.count(), 48), ["term", "stem"], "left_semi").distinct()
     return found.groupBy("term", "stem").agg(F.count_distinct("before", "after").alias("contexts"), F.count_distinct("word").alias("forms"))
 
 
@@ -282,15 +280,16 @@ def lexicon(rows: DataFrame) -> tuple[dict[str, bool], frozenset]:
     even = sizes[1] / max(1, clean)
     pure = (F.col("toxic") >= least) & (F.col("clean") * even <= IMPURE * F.col("toxic"))
     weak = F.col("stem") & (F.col("toxic2") >= least) & (F.col("clean2") * even <= WEAK_IMPURE * F.col("toxic2"))
-    found = evidence(rows).withColumns({"pure": pure, "weak": weak}).filter("pure or weak")
-    found = {(r.term, r.stem): r for r in found.orderBy(F.col("toxic").desc(), "term", "stem").limit(CANDIDATES).collect()}
-    seen = {(r.term, r.stem): (r.contexts, r.forms) for r in contexts(rows, set(found)).collect()}
-    near = {x: seen.get(x, (0, 0)) for x in found}
+    found = cut(evidence(rows).withColumns({"pure": pure, "weak": weak}).filter("pure or weak"))
+    passed = found.join(contexts(rows, found.select("term", "stem")), ["term", "stem"]).filter(F.col("contexts") >= least).filter(F.col("pure") | (F.col("forms") >= FORMS))
+    # Terms that passed every test: some of those of the bounded sample.
+    found = {(r.term, r.stem): r for r in passed.collect()}
+    near = {x: (r.contexts, r.forms) for x, r in found.items()}
     loose: list[str] = []
-    for _, n, term in sorted((-r.toxic2, len(r.term), r.term) for x, r in found.items() if r.weak and not r.pure and near[x][0] >= least and near[x][1] >= FORMS):
+    for _, n, term in sorted((-r.toxic2, len(r.term), r.term) for x, r in found.items() if r.weak and not r.pure and near[x][1] >= FORMS):
         if not any(term.startswith(s) or s.startswith(term) for s in loose):
             loose.append(term)
-    strong = sorted(((near[x][0], x) for x, r in found.items() if r.pure and near[x][0] >= least), key=lambda s: (-s[0], s[1]))
+    strong = sorted(((near[x][0], x) for x, r in found.items() if r.pure), key=lambda s: (-s[0], s[1]))
     strong = [(n, x) for n, x in strong if not any(x[0].startswith(s) for s in loose)]  # a form of a weak stem is weak
     words = {x[0]: n for n, x in strong if not x[1]}
     stems: list[str] = []
@@ -298,11 +297,11 @@ def lexicon(rows: DataFrame) -> tuple[dict[str, bool], frozenset]:
         if is_stem and near[term, True][1] >= 3 and not any(w.startswith(term) and words[w] > n / 2 for w in words):
             if not any(term.startswith(s) or s.startswith(term) for s in stems):
                 stems.append(term)
-    out = dict.fromkeys(stems[:LEXICON], True)
+    out = dict.fromkeys(stems, True)
     for w in sorted(words, key=lambda w: (-words[w], w)):
-        if not any(w.startswith(s) for s in stems) and len(out) < LEXICON:
+        if not any(w.startswith(s) for s in stems):
             out.setdefault(w, False)
-    return out, frozenset(loose[:LEXICON])
+    return out, frozenset(loose)
 
 
 def features(rows: DataFrame, model: Model) -> DataFrame:
@@ -372,7 +371,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     of a text without hits. Only the text is used; null and repeated ids give rows of their own."""
     import pyarrow as pa
 
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most LEXICON entries
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # terms of the bounded sample
 
     def run(batches: Iterator) -> Iterator:
         own = shared.value

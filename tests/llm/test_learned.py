@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from lexiforge.llm import langid, licenses, toxicity
+from lexiforge.llm import common, langid, licenses, toxicity
 from lexiforge.llm.common import crc_mod
 
 TEN = "/root/testdata/sf0.01"
@@ -245,6 +245,61 @@ def test_toxicity_query_against_brute_force(spark):
     assert all(abs(r.score - model.score(texts[r.doc_id])) < 1e-6 and r.predicted == (r.score >= 0.3) for r in out)
 
 
+def plain_lexicon(rows):
+    """(entries, weak stems) by loops over whole dictionaries of (term, is a stem)."""
+    import math
+
+    forms_of = lambda t: toxicity.WORD.findall(t.lower())
+    stems_of = lambda w: [w[:n] for n in toxicity.STEMS if len(w) > n]
+    n = {1: sum(y for _, y in rows), 0: sum(1 - y for _, y in rows)}
+    least = max(toxicity.CONTEXTS, math.ceil(toxicity.EVIDENCE / math.log1p(n[0] / n[1])))
+    texts, twice, around, forms = ({} for _ in range(4))
+    for t, y in rows:
+        words = forms_of(t)
+        own = {}
+        for w in set(words):
+            if len(w) >= 3:
+                own.setdefault((w, False), set()).add(w)
+            for s in stems_of(w):
+                own.setdefault((s, True), set()).add(w)
+        for x, ws in own.items():
+            texts[x, y] = texts.get((x, y), 0) + 1
+            twice[x, y] = twice.get((x, y), 0) + (len(ws) > 1)
+        if y:
+            padded = ["", *words, ""]
+            for a, w, z in zip(padded, padded[1:], padded[2:], strict=False):
+                for x in ((w, False), *((s, True) for s in stems_of(w))):
+                    around.setdefault(x, set()).add((a, z))
+                    forms.setdefault(x, set()).add(w)
+    share = n[1] / n[0]
+    terms = {x for x, y in texts if y}
+    pure = {x for x in terms if texts[x, 1] >= least and texts.get((x, 0), 0) * share <= toxicity.IMPURE * texts[x, 1]}
+    weak = {x for x in terms - pure if x[1] and twice[x, 1] >= least and twice.get((x, 0), 0) * share <= toxicity.WEAK_IMPURE * twice[x, 1] and len(forms[x]) >= toxicity.FORMS and len(around[x]) >= least}
+    related = lambda a, b: a.startswith(b) or b.startswith(a)
+    loose = []
+    for s, _ in sorted(weak, key=lambda x: (-twice[x, 1], len(x[0]), x[0])):
+        if not any(related(s, o) for o in loose):
+            loose.append(s)
+    strong = sorted((x for x in pure if len(around[x]) >= least and not any(x[0].startswith(s) for s in loose)), key=lambda x: (-len(around[x]), x))
+    words = {w: len(around[w, False]) for w, stem in strong if not stem}
+    stems = []
+    for s, stem in strong:
+        if stem and len(forms[s, True]) >= 3 and not any(w.startswith(s) and c > len(around[s, True]) / 2 for w, c in words.items()) and not any(related(s, o) for o in stems):
+            stems.append(s)
+    return dict.fromkeys(stems, True) | {w: False for w in words if not any(w.startswith(s) for s in stems)}, frozenset(loose)
+
+
+def test_lexicon_against_plain_loops(spark):
+    """All labelled rows of sf0.1: the same terms as by loops over every term, however many there are."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    found = docs.join(labels, "doc_id").filter("text is not null").groupBy("text").agg(F.max("toxic").cast("int").alias("y")).select(F.col("text").alias("t"), "y")
+    rows = common.cut(found)
+    got = toxicity.lexicon(rows)
+    assert got == plain_lexicon([(r.t, r.y) for r in rows.collect()])
+    assert len(got[0]) > 10
+
+
 def test_toxicity_recall(spark):
     """Held-out rows of sf0.1; some labels are noise: toxic rows without any toxic word."""
     d = "/root/testdata/sf0.1"
