@@ -15,6 +15,7 @@ from ..operators import chunk, dedup, export, generate, regenerate, report, resc
 from ..sources import files, sinks
 from ..sources.storage import exists, remove, written
 from ..streaming.generation import Generation
+from .monitor import Monitor, observed
 from .settings import Settings
 
 STAGES = ("extract", "generate", "evaluate", "split", "export")
@@ -29,9 +30,8 @@ class Curation:
         self.calls = settings.calls(len(self.providers))
         self.out = settings.resolved("general.output_dir")
         self.cache = generate.CacheTable(spark, self.path("cache"))
-
-    def told(self, batch: int, answered: int) -> None:
-        """Called after each batch of the generation."""
+        self.monitor = Monitor(spark, self.out, self.out)
+        self.seen: dict[str, int] = {}
 
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -43,7 +43,10 @@ class Curation:
         return self.spark.read.parquet(self.path(name))
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+        """Writes a table; its counters are taken by the write."""
+        seen = observed(df, lambda x: x.write.mode("overwrite").parquet(self.path(name)))
+        if name in STAGES:
+            self.seen = seen
         return self.read(name)
 
     def run(self, steps: list[str] | None = None, force: bool = False) -> list[str]:
@@ -54,7 +57,15 @@ class Curation:
                 continue
             if steps is None and not force and self.done(name):
                 continue
-            getattr(self, name)()
+            self.monitor.start(name)
+            self.seen = {}
+            try:
+                getattr(self, name)()
+            except Exception as e:
+                self.monitor.record_error(e, name, "critical")
+                self.monitor.end(name, {}, failed=True)
+                raise
+            self.monitor.end(name, self.seen)
             ran.append(name)
         return ran
 
@@ -73,8 +84,9 @@ class Curation:
         get, folder = self.settings.get, self.path("generation")
         template, model = get("qa_generation.prompt_template"), self.providers[0].name
         cache = self.cache if get("cache.enabled") else None
-        work = Generation(self.spark, folder, self.providers, template, model, cache, get("cache.ttl_days"), get("qa_generation.num_qa"), get("processing.checkpoint_interval", 1), told=self.told, **self.calls)
-        pairs, failed, _ = generate.outcome(work.run(self.chunks()), model)
+        work = Generation(self.spark, folder, self.providers, template, model, cache, get("cache.ttl_days"), get("qa_generation.num_qa"), get("processing.checkpoint_interval", 1), **self.calls)
+        with self.monitor.listening("generate"):
+            pairs, failed, _ = generate.outcome(work.run(self.chunks(), "generate"), model)
         failed = self.save(failed, "failed_chunks")
         made = self.save(self.with_seq(pairs), "generate")
         sinks.write_generated(made, failed, self.path("json"))

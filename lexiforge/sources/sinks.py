@@ -88,20 +88,24 @@ def write_filtered(kept: DataFrame, removed: DataFrame, out: str) -> None:
     _json(removed, f"{out}/removed")
 
 
-def append_status(spark, out: str, step: str, processed: int, total: int) -> None:
-    """One row more in the table of live status."""
-    row = spark.createDataFrame([(step, processed, total)], "step string, processed long, total long").withColumn("at", F.current_timestamp())
-    row.write.mode("append").parquet(f"{out}/live_status")
+def append_status(spark, out: str, step: str, processed: int, total: int, batch: int | None = None) -> bool:
+    """Puts a stage's row into the live status; a batch that was put before changes nothing."""
+    from ..plans.monitor import Monitor
+
+    return Monitor(spark, out, "status")._put(step, "running", processed, total, batch)
 
 
 def status(spark, out: str) -> DataFrame:
     """step, processed, total, percent: the live status, or what the stages' tables hold where there is none."""
-    if exists(spark, f"{out}/live_status"):
+    if latest_status(spark, out) is not None:
         return latest_status(spark, out)
     rows = [(name, spark.read.parquet(f"{out}/{name}").count()) for name in ("extract", "generate", "evaluate", "split") if exists(spark, f"{out}/{name}")]
     return spark.createDataFrame([(n, c, c, 100.0) for n, c in rows], "step string, processed long, total long, percent double")
 
 
-def latest_status(spark, out: str) -> DataFrame:
-    s = spark.read.parquet(f"{out}/live_status")
-    return s.groupBy("step").agg(F.max_by(F.struct("processed", "total"), "at").alias("s")).select("step", "s.processed", "s.total", (F.col("s.processed") / F.greatest(F.lit(1), F.col("s.total")) * 100).alias("percent"))
+def latest_status(spark, out: str) -> DataFrame | None:
+    """The live rows with their state and counters; None where nobody has put any."""
+    from ..plans.monitor import status_table
+
+    live = status_table(spark, out).read()
+    return None if live is None else live.withColumn("percent", F.col("processed") / F.greatest(F.lit(1), F.col("total")) * 100)

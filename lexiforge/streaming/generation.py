@@ -8,8 +8,6 @@ journal of what its tasks were told; only chunks that nobody has answered are as
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,24 +31,23 @@ class Generation:
         num_qa: int = 5,
         every: int = 1,
         files: int = 8,
-        told: Callable[[int, int], None] = lambda batch, answered: None,
         **call,
     ):
-        """every: answers of a journal's file; files: of the chunk table that make up a batch; told: is called after each batch; call: as asked()."""
+        """every: answers of a journal's file; files: of the chunk table that make up a batch; call: as asked()."""
         self.spark, self.path, self.provider, self.call = spark, path.rstrip("/"), provider, call
         self.template, self.model, self.cache, self.ttl_days, self.num_qa = template, model, cache, ttl_days, num_qa
-        self.every, self.files, self.told = every, files, told
+        self.every, self.files = every, files
 
     def begun(self) -> bool:
         return exists(self.spark, f"{self.path}/chunks")
 
-    def run(self, chunks: DataFrame) -> DataFrame:
+    def run(self, chunks: DataFrame, name: str = "generation") -> DataFrame:
         """The answered chunks (ANSWER). chunks are written once; a generation that has begun goes on with those it has."""
         if not self.begun():
             chunks.select(*generate.CHUNK).write.mode("overwrite").parquet(f"{self.path}/chunks")
         schema = self.spark.read.parquet(f"{self.path}/chunks").schema
         stream = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", self.files).parquet(f"{self.path}/chunks")
-        query = stream.writeStream.foreachBatch(self.batch).option("checkpointLocation", f"{self.path}/state").trigger(availableNow=True).start()
+        query = stream.writeStream.queryName(name).foreachBatch(self.batch).option("checkpointLocation", f"{self.path}/state").trigger(availableNow=True).start()
         query.awaitTermination()
         return self.answers()
 
@@ -69,7 +66,6 @@ class Generation:
         if self.cache is not None:
             self.cache.append(generate.outcome(done, self.model)[2], self.path, no)
         remove(self.spark, journal)
-        self.told(no, done.count())
 
     def _answer(self, chunks: DataFrame, at: str, journal: str) -> None:
         cache = self.cache.read() if self.cache is not None else None

@@ -79,7 +79,6 @@ def test_a_stop_between_a_batchs_writes(spark, tmp_path, monkeypatch, step):
         elif step == "cache":
             m.setattr(generate.CacheTable, "append", fail)
         else:
-            m.setattr(Generation, "told", fail, raising=False)
             m.setattr(generate, "outcome", fail)
         with pytest.raises(Exception, match="stopped"):
             own().run(chunks(spark, 9))
