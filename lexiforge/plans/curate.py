@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import cache_key
 from ..operators import chunk, dedup, export, generate, regenerate, report, rescue, score, split
-from ..sources import files, sinks
+from ..sources import sinks
+from ..sources.arrivals import Documents
 from ..sources.storage import exists, remove, written
 from ..streaming.generation import Generation
 from .monitor import Monitor, observed
@@ -36,10 +37,15 @@ class Curation:
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
 
+    def documents(self) -> Documents:
+        return Documents(self.spark, self.path("extract"), self.settings.resolved("general.input_dir"))
+
     def done(self, name: str) -> bool:
-        return exists(self.spark, self.path(name))
+        return self.documents().exists() if name == "extract" else exists(self.spark, self.path(name))
 
     def read(self, name: str) -> DataFrame:
+        if name == "extract":
+            return self.documents().documents().filter("error is null").drop("error").withColumn("seq", F.xxhash64("file_path"))
         return self.spark.read.parquet(self.path(name))
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
@@ -73,8 +79,9 @@ class Curation:
         return self.run()
 
     def extract(self) -> DataFrame:
-        docs = files.read_documents(self.spark, self.settings.resolved("general.input_dir"))
-        return self.save(docs.filter("error is null").drop("error").withColumn("seq", F.xxhash64("file_path")), "extract")
+        """Reads files that are new or have changed since the last time."""
+        self.seen = {"rows": self.documents().update()}
+        return self.read("extract")
 
     def chunks(self) -> DataFrame:
         return chunk.chunked(self.read("extract"), size=self.settings.get("processing.chunk_size"), overlap=self.settings.get("processing.chunk_overlap"))

@@ -20,9 +20,9 @@ LAW = "struct<id:string,name:string,type:string,issuer:string,issued_date:string
 
 
 def list_files(spark: SparkSession, folder: str, extensions: tuple[str, ...] = EXTENSIONS, ignore: tuple[str, ...] = ()) -> DataFrame:
-    """path, name, size of files with the extensions, without those that match an ignore rule: a* begins so, an inner *
+    """path, name, size, modified of files with the extensions, without those that match an ignore rule: a* begins so, an inner *
     is any run, others occur anywhere."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.col("length").alias("size"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
     keep = F.lit(False)
     for e in extensions:
         keep = keep | F.lower("name").endswith(e)
@@ -81,10 +81,10 @@ def pdf_text(raw: bytes) -> str:
 READERS: dict[str, Callable[[bytes], str]] = {".txt": decode, ".docx": docx_text, ".doc": doc_text, ".pdf": pdf_text}
 
 
-def read_documents(spark: SparkSession, folder: str, extensions: tuple[str, ...] = EXTENSIONS, ignore: tuple[str, ...] = (), readers: dict[str, Callable[[bytes], str]] = READERS) -> DataFrame:
+def read_documents(spark: SparkSession, folder: str | list[str], extensions: tuple[str, ...] = EXTENSIONS, ignore: tuple[str, ...] = (), readers: dict[str, Callable[[bytes], str]] = READERS) -> DataFrame:
     """file_name, file_path, content (stripped), char_count (before that), word_count, metadata, error.
 
-    Blank documents are left out; files that can't be read have a null content and an error.
+    folder: one, or a list of files. Blank documents are left out; files that can't be read have a null content and an error.
     """
     from ..operators.metadata import extract_metadata
 
@@ -105,7 +105,8 @@ def read_documents(spark: SparkSession, folder: str, extensions: tuple[str, ...]
         keep = keep | F.lower("file_name").endswith(e)
     for rule in ignore:
         keep = keep & ~ignored("file_name", rule)
-    got = raw.filter(keep).withColumn("_t", text_of("file_name", "content"))
+    # As if it were not deterministic, so that the optimiser does not copy it below the filter and open each file twice.
+    got = raw.filter(keep).withColumn("_t", text_of.asNondeterministic()("file_name", "content"))
     got = got.select("file_name", F.col("path").alias("file_path"), strip("_t.text").alias("content"), F.length("_t.text").alias("char_count"), word_count("_t.text").alias("word_count"), F.col("_t.error").alias("error"))
     return extract_metadata(got.filter(F.col("error").isNotNull() | (F.length("content") > 0)))
 
