@@ -84,7 +84,11 @@ class Curation:
         return self.read("extract")
 
     def chunks(self) -> DataFrame:
-        return chunk.chunked(self.read("extract"), size=self.settings.get("processing.chunk_size"), overlap=self.settings.get("processing.chunk_overlap"))
+        """Chunks of all documents; tables with huge ones, by the lengths that were noted when they were read, are cut in parts."""
+        docs = self.read("extract")
+        longest = docs.agg(F.max("char_count")).first()[0]
+        cut = chunk.chunked_parts if (longest or 0) > chunk.HUGE else chunk.chunked
+        return cut(docs, size=self.settings.get("processing.chunk_size"), overlap=self.settings.get("processing.chunk_overlap"))
 
     def generate(self) -> DataFrame:
         """Pairs of all chunks. What was answered before a stop is not asked again: the folder of a generation goes only when its tables are committed."""
