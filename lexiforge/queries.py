@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from .functions import fixed as X
 from .functions import text as T
 from .operators import chunk, dedup, export, generate, metadata, parse, regenerate, report, rescue, score, split, temporal, tokenize
+from .plans import monitor
 from .sources import logtable, storage
 from .streaming import events as stream
+from .streaming.generation import Generation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -294,6 +296,25 @@ def _(spark, d):
     return out.select("near_duplicates", "evaluation.*", "citations.*", "format_issues.*", *[f"quality_summary.{n}" for n in ("high_quality", "medium_quality", "low_quality", "health_score", "health_band")])
 
 
+def _listed_sql(name: str, row: str, order: str) -> str:
+    return f"(SELECT string_agg({row}, ';' ORDER BY {order}) FROM ({SQL[name]}))"
+
+
+@query(
+    "full_report_lists",
+    f"""SELECT {_listed_sql('source_top20', "n || '|' || source_doc", 'n DESC, source_doc')} AS by_source, {_listed_sql('score_histogram', "score || '|' || n", 'score')} AS by_score,
+    {_listed_sql('length_stats', "field || '|' || min_length || '|' || max_length || '|' || floor(avg_length)::BIGINT", 'field')} AS lengths, {_listed_sql('top_reasons', "n || '|' || eval_reason", 'n DESC, eval_reason')} AS top_reasons,
+    (SELECT string_agg(i || '|' || j, ';' ORDER BY i, j) FROM (SELECT i, j FROM ({SQL['near_dup_pairs']}) ORDER BY i, j LIMIT 20)) AS near_duplicate_pairs""",
+)
+def _(spark, d):
+    """The other parts of full_report: its lists, each as one text."""
+    out = report.full_report(labelled(spark, d), dedup.near_pairs(qa(spark, d)))
+    text = lambda n, *f: F.array_join(F.transform(n, lambda x: F.concat_ws("|", *[g(x).cast("string") for g in f])), ";").alias(n)
+    field = lambda n: lambda x: x[n]
+    lengths = (field("field"), field("min_length"), field("max_length"), lambda x: F.floor(x["avg_length"]))
+    return out.select(text("by_source", lambda x: -x["m"], field("source_doc")), text("by_score", field("score"), field("n")), text("lengths", *lengths), text("top_reasons", lambda x: -x["m"], field("eval_reason")), text("near_duplicate_pairs", field("i"), field("j")))
+
+
 ISSUES = {
     "empty_question": f"{SQ} = ''",
     "empty_answer": f"{SA} = ''",
@@ -745,6 +766,29 @@ def _(spark, d):
     return log.read().select("cache_key", F.unix_seconds("at").alias("at_seconds"), "v")
 
 
+STREAM_PAIRS_SQL = f"WITH d AS (SELECT 'd' || doc_id AS source_doc, {HEAD_SQL} AS head FROM documents) SELECT source_doc, 0 AS chunk_id, head || '?' AS question, {STRIP.format("'Căn cứ Điều 1 Luật số 41/2024/QH15: ' || head")} AS answer, false AS from_cache FROM d"
+
+
+@query("generate_stream", STREAM_PAIRS_SQL)
+def _(spark, d):
+    """Pairs of all documents by the resumable generation: chunks as a stream, a table of answers for each batch."""
+    work = Generation(spark, storage.fresh_path(spark, "generation"), generate.TemplateProvider(), TEMPLATE, "template", files=2)
+    return generate.outcome(work.run(chunks(spark, d)), "template")[0].select("source_doc", "chunk_id", "question", "answer", "from_cache")
+
+
+@query("chunk_parts", CHUNK_SQL)
+def _(spark, d):
+    """The chunks of chunk_text, with documents above 4,000 characters cut in parts of 3,000 that are walked at once."""
+    return chunk.chunked_parts(table(spark, d, "documents"), "doc_id", "text", 1200, 100, huge=4000, part=3000).select("doc_name", "chunk_id", F.md5("content").alias("content_md5"))
+
+
+@query("run_counters", W + LABELLED_SQL.strip() + " SELECT count(*) AS rows, count(*) FILTER (label = 'good') AS good, count(*) FILTER (label = 'bad') AS bad FROM e")
+def _(spark, d):
+    """What a stage's own write has counted."""
+    seen = monitor.observed(labelled(spark, d).select("seq", "label"), lambda x: x.write.parquet(storage.fresh_path(spark, "counted")))
+    return spark.createDataFrame([(seen["rows"], seen["good"], seen["bad"])], "rows long, good long, bad long")
+
+
 # Conversations, reviews, events.
 TURNS = "SELECT conv_id, turn, role, text, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text FROM conversations"
 
