@@ -194,7 +194,16 @@ class Curation:
         self.save(split.leakage(placed), "leakage")
         return placed
 
+    def rescued(self) -> DataFrame:
+        """The rescued pairs of the last evaluation, of an earlier run too."""
+        return sinks.read_rescued(self.spark, self.path("json"))
+
     def export(self) -> DataFrame:
+        """The splits in the configured format. Without splits the good pairs are split by row at random, as earlier versions of the data were."""
+        if not self.done("split"):
+            good = self.read("evaluate").filter("label = 'good'")
+            sinks.write_legacy(good, self.path("json"), self.settings.get("output.format", "chat"))
+            return self.spark.read.json(f"{self.path('json')}/legacy_{self.settings.get('output.format', 'chat')}")
         structure = self.settings.get("output.structure", {})
         fields = structure.get("metadata_fields", [])
         out = export.formatted(self.read("split"), self.settings.get("output.format", "chat"), source="source" in fields, perspective="perspective" in fields, keep=("split",))

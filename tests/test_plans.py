@@ -162,6 +162,19 @@ def test_the_rate_is_the_whole_runs(spark):
     assert (stats.requests, stats.calls, stats.errors, stats.success_rate) == (6, 6, 0, 100.0)
 
 
+def test_earlier_results_and_export_without_splits(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(8):
+        (tmp_path / "in" / f"{k}.txt").write_text(f"Luật số: {k + 1}/2024/QH15\n" + f"Điều {k}. Mức hưởng 30 ngày. " * 20)
+    run = Curation(spark, settings(tmp_path), [Marked("own", "k")])
+    run.run(["extract", "generate", "evaluate"])
+    good = run.read("evaluate").filter("label = 'good'").count()
+    assert good and run.export().count() == good and run.read("evaluate").count() >= good
+    later = Curation(spark, settings(tmp_path), [Marked("own", "k")])
+    assert later.rescued().count() == run.rescued().count()
+    assert later.run() == ["split", "export"] and later.read("dataset_final").count() == later.read("split").count()
+
+
 def test_order_of_pairs_is_unique(spark):
     """200,000 documents: no two share an order, which 31 bits of a hash could not promise."""
     pairs = spark.range(200_000).selectExpr("concat('d', id) AS source_doc", "cast(id % 3 AS int) AS chunk_id", "cast(0 AS int) AS place")
