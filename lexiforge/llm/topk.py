@@ -264,7 +264,10 @@ def top_k(vectors: DataFrame, queries: Column | str, k: int = 5, id_col: str = "
     asked = cut(rows.filter(queries).groupBy("id").agg(F.min("x").alias("x")).select("id", F.size("x").alias("n"), "x"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = lambda found: found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    found = cut(ranked(met(visits(asked.withColumn("floor", none), boxes, True), rows, k)))
+    found = ranked(met(visits(asked.withColumn("floor", none), boxes, True), rows, k))
+    if max((int(parts.sum()) for _, parts, *_ in boxes.of.values()), default=0) <= 1:  # every query has met all rows
+        return found.select("query_id", "rank", "vec_id", "score")
+    found = cut(found)
     floors = found.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
     rest = met(visits(asked.join(floors, "id", "left"), boxes, False), rows, k)
     return ranked(rest.unionByName(found.drop("rank"))).select("query_id", "rank", "vec_id", "score")
