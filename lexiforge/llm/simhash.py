@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut, having, release, salted_join, small, written
+from .common import col, cut, having, release, salted_join, written
 
 BITS = 64
 WORDS, RADIUS, SEED = 4, 4, 42
